@@ -168,7 +168,8 @@ def from_unix(c: Column | str, unit: str = "seconds") -> Column:
     elif unit == "microseconds":
         ts = F.timestamp_micros(count)
     elif unit == "nanoseconds":
-        ts = F.timestamp_micros(F.floor(count / F.lit(1000)).cast("bigint"))
+        exact = count.cast("decimal(20,0)") / F.lit(1000).cast("decimal(4,0)")
+        ts = F.timestamp_micros(F.floor(exact).cast("bigint"))
     else:
         raise ValueError(f"unsupported epoch unit {unit!r}")
     return ts.cast("timestamp_ntz")

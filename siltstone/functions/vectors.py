@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from siltstone.functions.text import as_col
 
 
+# Scores are rounded here, so that equal vectors tie whatever batch they come in.
+SCORE_DECIMALS = 12
+
+
 def as_matrix(vectors: pa.Array, dim: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Rows of a list array as a matrix, and the mask of rows that hold a vector.
 
@@ -36,7 +40,7 @@ def as_matrix(vectors: pa.Array, dim: int | None = None) -> tuple[np.ndarray, np
 
 def _spread(values: np.ndarray, present: np.ndarray, undefined: np.ndarray) -> pa.Array:
     out = np.zeros(present.shape[0])
-    out[present] = np.where(undefined, 0.0, values)
+    out[present] = np.where(undefined, 0.0, np.round(values, SCORE_DECIMALS))
     missing = ~present
     missing[np.flatnonzero(present)[undefined]] = True
     return pa.array(out, mask=missing)

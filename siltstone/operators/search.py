@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from siltstone.functions.text import as_col, escape_like
-from siltstone.functions.vectors import as_matrix, cosine_to, has_vector
+from siltstone.functions.vectors import SCORE_DECIMALS, as_matrix, cosine_to, has_vector
 
 # Query vectors are handed to the tasks in blocks of at most this many bytes.
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
@@ -128,8 +128,9 @@ def _local_nearest(
                 continue
             key_type = batch.column(0).type
             keys = batch.column(0).filter(pa.array(present)).to_numpy(zero_copy_only=False)
+            keys = keys.astype(str) if keys.dtype == object else keys
             lengths = np.sqrt(np.einsum("ij,ij->i", x, x))
-            scores = q @ (x / np.where(lengths == 0, 1.0, lengths)[:, None]).T
+            scores = np.round(q @ (x / np.where(lengths == 0, 1.0, lengths)[:, None]).T, SCORE_DECIMALS)
             for i in range(len(query_ids)):
                 s, ks = scores[i], keys
                 if kept[i] is not None:

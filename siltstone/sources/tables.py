@@ -53,12 +53,14 @@ def create_bronze(rows: DataFrame, path: str) -> None:
     rows.withColumn("ingest_day", F.to_date("ingested_at")).write.mode("error").partitionBy("ingest_day").parquet(path)
 
 
-def scan_parquet_glob(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def scan_parquet_glob(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, pattern: str = "*.parquet"
+) -> DataFrame:
     """All Parquet files below a folder; an empty result is an error.
 
     Whether there is a row is answered from one file, not by counting the rows.
     """
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     df = (reader.schema(schema) if schema else reader).parquet(path)
     if df.isEmpty():
         raise FileNotFoundError(f"no rows below {path}")
