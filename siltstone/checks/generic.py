@@ -163,10 +163,15 @@ def relationships_where(
     df: DataFrame, column: str, to: DataFrame, field: str,
     from_condition: str | None = None, to_condition: str | None = None,
 ) -> DataFrame:
-    """Non-null keys without a partner. The partner side is reduced to distinct keys first."""
-    mine = keep(df, from_condition).where(F.col(column).isNotNull()).select(F.col(column).alias("id"))
+    """Non-null keys without a partner, one row per occurrence.
+
+    Both sides are reduced to distinct keys before they meet, so a frequent key
+    is looked up once; only missing keys are multiplied again.
+    """
+    mine = keep(df, from_condition).where(F.col(column).isNotNull()).groupBy(F.col(column).alias("id"))
     theirs = keep(to, to_condition).where(F.col(field).isNotNull()).select(F.col(field).alias("id")).distinct()
-    return anti_join(mine, theirs, [("id", "id")])
+    missing = anti_join(mine.agg(F.count(F.lit(1)).alias("_n")), theirs, [("id", "id")])
+    return missing.select("id", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")).alias("_i")).drop("_i")
 
 
 def sequential_values(

@@ -7,7 +7,7 @@ what is handed to the tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -40,33 +40,47 @@ def refine_centroids(df: DataFrame, centroids: np.ndarray, vector: str = "embedd
     """Move every centroid to the mean of its cell, ``rounds`` times.
 
     A task sums the vectors of each cell it sees and sends one partial sum per
-    cell, so the size of a cell does not matter.
+    cell, so the size of a cell does not matter; partial sums are added batch by
+    batch, and one row per cell comes back.
     """
-    dim = centroids.shape[1]
+    cells, dim = centroids.shape
+
+    def emit(sums: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
+        used = np.flatnonzero(seen)
+        totals = pa.array(list(sums[used]), pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), totals], names=["cell", "total"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, seen = np.zeros((cells, dim)), np.zeros(cells, dtype=bool)
+        for batch in batches:
+            rows, _ = as_matrix(batch.column(1), dim)
+            if rows.shape[0]:
+                cell = batch.column(0).to_numpy()
+                np.add.at(sums, cell, rows)
+                seen[cell] = True
+        yield emit(sums, seen)
+
+    vectors = df.where(has_vector(vector)).select(vector)
+    vectors = vectors.coalesce(16 * df.sparkSession.sparkContext.defaultParallelism)
     for _ in range(rounds):
         fixed = centroids
 
-        def partial(batches, fixed=fixed):
-            sums = np.zeros_like(fixed)
-            seen = np.zeros(fixed.shape[0], dtype=np.int64)
+        def partial(batches: Iterator[pa.RecordBatch], fixed: np.ndarray = fixed) -> Iterator[pa.RecordBatch]:
+            sums, seen = np.zeros((cells, dim)), np.zeros(cells, dtype=bool)
             for batch in batches:
-                rows, _ = as_matrix(batch.column(0), fixed.shape[1])
+                rows, _ = as_matrix(batch.column(0), dim)
                 if rows.shape[0]:
                     rows = _unit(rows)
                     cell = np.argmax(rows @ fixed.T, axis=1)
                     np.add.at(sums, cell, rows)
-                    seen += np.bincount(cell, minlength=fixed.shape[0])
-            used = np.flatnonzero(seen)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used, pa.int32()), pa.array(list(sums[used]), pa.list_(pa.float64()))],
-                names=["cell", "total"],
-            )
-
-        parts = df.where(has_vector(vector)).select(vector).mapInArrow(partial, "cell int, total array<double>")
-        wide = parts.groupBy("cell").agg(*[F.sum(F.col("total")[i]).alias(f"d{i}") for i in range(dim)]).toArrow()
+                    seen[cell] = True
+            yield emit(sums, seen)
+
+        schema = "cell int, total array<double>"
+        parts = vectors.mapInArrow(partial, schema).repartition("cell").mapInArrow(add_up, schema)
+        table = parts.toArrow()
         moved = centroids.copy()
-        cells = wide.column("cell").to_numpy()
-        moved[cells] = np.column_stack([wide.column(f"d{i}").to_numpy() for i in range(dim)])
+        moved[table.column("cell").to_numpy()] = as_matrix(table.column("total").combine_chunks(), dim)[0]
         centroids = _unit(moved)
     return centroids
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from siltstone.functions.text import as_col, escape_like
 from siltstone.functions.vectors import SCORE_DECIMALS, as_matrix, cosine_to, has_vector
@@ -66,28 +67,63 @@ def _blocks(queries: DataFrame, key: str, vector: str, limit: int) -> Iterator[t
             yield ids, rows
 
 
-def _best(scores: np.ndarray, keys: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k greatest scores; among equal scores the smallest keys."""
-    if scores.shape[0] > k:
-        edge = np.partition(scores, scores.shape[0] - k)[scores.shape[0] - k]
-        near = np.flatnonzero(scores >= edge)
-    else:
-        near = np.arange(scores.shape[0])
-    return near[np.lexsort((keys[near], -scores[near]))][:k]
+class _Nearest:
+    """The k best (score, key) pairs of every query seen so far in one task.
+
+    Scores below a query's k-th best are dropped at once; among equal scores the
+    smallest keys stay. A slice of queries is scored at a time, so the score
+    table stays small whatever the number of queries.
+    """
+
+    SLICE_CELLS = 4_000_000
+
+    def __init__(self, unit_queries: np.ndarray, k: int):
+        self.queries, self.k = unit_queries, k
+        self.bound = np.full(unit_queries.shape[0], -np.inf)
+        self.query = np.empty(0, dtype=np.int64)
+        self.score = np.empty(0)
+        self.key: np.ndarray | None = None
+
+    def add(self, keys: np.ndarray, rows: np.ndarray) -> None:
+        lengths = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+        unit = (rows / np.where(lengths == 0, 1.0, lengths)[:, None]).T
+        n = keys.shape[0]
+        found = [(self.query, self.score, self.key if self.key is not None else keys[:0])]
+        step = max(1, self.SLICE_CELLS // n)
+        for start in range(0, self.queries.shape[0], step):
+            scores = np.round(self.queries[start : start + step] @ unit, SCORE_DECIMALS)
+            bound = self.bound[start : start + step]
+            if n > self.k and np.isneginf(bound).any():
+                bound = np.maximum(bound, np.partition(scores, n - self.k, axis=1)[:, n - self.k])
+            q, column = np.nonzero(scores >= bound[:, None])
+            found.append((q + start, scores[q, column], keys[column]))
+        self._keep(*(np.concatenate(part) for part in zip(*found, strict=True)))
+
+    def _keep(self, query: np.ndarray, score: np.ndarray, key: np.ndarray) -> None:
+        order = np.lexsort((key, -score, query))
+        query, score, key = query[order], score[order], key[order]
+        place = np.arange(query.shape[0]) - np.searchsorted(query, query)
+        last = place == self.k - 1
+        self.bound[query[last]] = score[last]
+        best = place < self.k
+        self.query, self.score, self.key = query[best], score[best], key[best]
 
 
 def knn_join(
     queries: DataFrame, docs: DataFrame, k: int = 10, query_key: str = "query_id",
     query_vector: str = "query_vector", key: str = "id", vector: str = "embedding",
-    block_bytes: int = QUERY_BLOCK_BYTES,
+    block_bytes: int = QUERY_BLOCK_BYTES, max_tasks: int | None = None,
 ) -> DataFrame:
     """The k nearest documents of every query, with rank and score.
 
     Documents never move: each task multiplies its batches with a block of query
     vectors and keeps k candidates per query, so only tasks x queries x k rows
-    are shuffled.  Query sets beyond the block size take several passes.
+    are shuffled.  Splits are read one after the other by at most ``max_tasks``
+    tasks, which bounds that number.  Query sets beyond the block size take
+    several passes.
     """
     spark = docs.sparkSession
+    docs = docs.coalesce(max_tasks or 16 * spark.sparkContext.defaultParallelism)
     parts = [
         _local_nearest(spark, docs, ids, rows, k, queries.schema[query_key].dataType, query_key, key, vector)
         for ids, rows in _blocks(queries, query_key, query_vector, block_bytes)
@@ -111,41 +147,30 @@ def _local_nearest(
     query_type: T.DataType, query_key: str, key: str, vector: str,
 ) -> DataFrame:
     norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))
-    unit = spark.sparkContext.broadcast((ids, rows / np.where(norms == 0, 1.0, norms)[:, None]))
+    block = spark.sparkContext.broadcast((ids, rows / np.where(norms == 0, 1.0, norms)[:, None]))
     schema = T.StructType([
         T.StructField(query_key, query_type),
         T.StructField(key, docs.schema[key].dataType),
         T.StructField("score", T.DoubleType()),
     ])
+    target = to_arrow_schema(schema)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, q = unit.value
-        kept: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(query_ids)
-        key_type = None
+        query_ids, unit_queries = block.value
+        best = _Nearest(unit_queries, k)
         for batch in batches:
-            x, present = as_matrix(batch.column(1), q.shape[1])
-            if not x.shape[0]:
-                continue
-            key_type = batch.column(0).type
-            keys = batch.column(0).filter(pa.array(present)).to_numpy(zero_copy_only=False)
-            keys = keys.astype(str) if keys.dtype == object else keys
-            lengths = np.sqrt(np.einsum("ij,ij->i", x, x))
-            scores = np.round(q @ (x / np.where(lengths == 0, 1.0, lengths)[:, None]).T, SCORE_DECIMALS)
-            for i in range(len(query_ids)):
-                s, ks = scores[i], keys
-                if kept[i] is not None:
-                    s, ks = np.concatenate([kept[i][0], s]), np.concatenate([kept[i][1], ks])
-                pick = _best(s, ks, k)
-                kept[i] = (s[pick], ks[pick])
-        full = [(query_ids[i], part) for i, part in enumerate(kept) if part is not None]
-        if full:
+            x, present = as_matrix(batch.column(1), unit_queries.shape[1])
+            if x.shape[0]:
+                keys = batch.column(0).filter(pa.array(present)).to_numpy(zero_copy_only=False)
+                best.add(keys.astype(str) if keys.dtype == object else keys, x)
+        if best.key is not None:
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([q_id for q_id, part in full for _ in part[0]]),
-                    pa.array(np.concatenate([part[1] for _, part in full]), key_type),
-                    pa.array(np.concatenate([part[0] for _, part in full])),
+                    pa.array(query_ids, target.field(0).type).take(pa.array(best.query)),
+                    pa.array(best.key, target.field(1).type),
+                    pa.array(best.score),
                 ],
-                names=[query_key, key, "score"],
+                schema=target,
             )
 
     return docs.where(has_vector(vector)).select(key, vector).mapInArrow(nearest, schema)

@@ -71,10 +71,11 @@ def gold_documents(
 def embed_missing(gold: DataFrame, encoder: Encoder | None = None, dim: int = 384) -> DataFrame:
     """Fill the vectors of rows that have none; other rows keep theirs.
 
-    The two parts are scanned apart, so only rows in need pass through Python.
+    One pass: only the texts of rows in need are handed to the encoder.
     """
-    todo = gold.where(~has_vector("embedding")).withColumn("embedding", embed_text("content", encoder, dim))
-    return gold.where(has_vector("embedding")).unionByName(todo.select(gold.columns))
+    done = has_vector("embedding")
+    encoded = embed_text(F.when(~done, F.col("content")), encoder, dim)
+    return gold.withColumn("embedding", F.when(done, F.col("embedding")).otherwise(encoded))
 
 
 def transform_partitions(

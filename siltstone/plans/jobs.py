@@ -11,6 +11,7 @@ from siltstone.functions.encoder import Encoder
 from siltstone.operators.aggregates import embedding_coverage
 from siltstone.operators.ann import build_index, train_centroids
 from siltstone.plans.documents import embed_missing, transform_partitions
+from siltstone.session import settle
 from siltstone.sources import files, versions
 from siltstone.sources.tables import as_replica, backup_partitioned, discover_partitions, ingest_by_priority, merge_staging
 
@@ -45,6 +46,8 @@ def reindex(
         rows = samples
     filled = embed_missing(rows, encoder, dim)
     if cells:
+        # The vectors are read several times from here on, so they are made once.
+        filled = settle(filled)
         filled = build_index(filled, train_centroids(filled, cells))
     versions.publish_version(filled, root, as_of)
     replica = versions.read_version(spark, root)

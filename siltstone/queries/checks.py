@@ -120,9 +120,9 @@ def not_accepted_values(t):
     return G.not_accepted_values(t.part, "p_brand", ["Brand#2", "Brand#17", "Brand#99"])
 
 
-@query("not_constant", "SELECT conv_id, count(DISTINCT role) AS distinct_values FROM conversations GROUP BY ALL HAVING count(DISTINCT role) = 1")
+@query("not_constant", "SELECT s_nationkey, count(DISTINCT s_acctbal > 0) AS distinct_values FROM supplier GROUP BY ALL HAVING count(DISTINCT s_acctbal > 0) = 1")
 def not_constant(t):
-    return G.not_constant(t.conversations, "role", ["conv_id"])
+    return G.not_constant(t.supplier.withColumn("credit", F.col("s_acctbal") > 0), "credit", ["s_nationkey"])
 
 
 @query("not_empty_string", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE trim(replace(l_linestatus, 'O', ' ')) = ''")
@@ -137,10 +137,10 @@ def not_null_proportion(t):
     return rounded(G.not_null_proportion(marked(t), "quality", 0.4, 0.45, ["source"]), 9, "not_null_proportion")
 
 
-@query("recency", """SELECT user_id, CAST(max(ts) AS VARCHAR) AS most_recent, '2024-01-29 12:00:00' AS threshold FROM events GROUP BY ALL
-HAVING max(ts) < TIMESTAMP '2024-01-29 12:00:00'""")
+@query("recency", """SELECT user_id, CAST(max(ts) AS VARCHAR) AS most_recent, '2024-01-30 20:00:00' AS threshold FROM events GROUP BY ALL
+HAVING max(ts) < TIMESTAMP '2024-01-30 20:00:00'""")
 def recency(t):
-    return G.recency(t.events, "ts", "HOUR", 12, ntz("2024-01-30"), group_by=["user_id"])
+    return G.recency(t.events, "ts", "HOUR", 4, ntz("2024-01-31"), group_by=["user_id"])
 
 
 @query("relationships_where", """SELECT o_custkey AS id FROM orders WHERE o_custkey IS NOT NULL AND o_orderstatus = 'F'

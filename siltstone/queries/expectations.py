@@ -20,9 +20,9 @@ def observed(table: str, by: str, measure: str, test: str, where: str = "", show
 USERS = "count(DISTINCT user_id)"
 
 
-@query("expect_column_distinct_count_to_be_greater_than", observed("events", "event_type", USERS, "$m > 149"))
+@query("expect_column_distinct_count_to_be_greater_than", observed("events", "event_type", USERS, "$m > 149", "WHERE value > 40"))
 def _(t):
-    return E.expect_column_distinct_count_to_be_greater_than(t.events, "user_id", 149, ["event_type"])
+    return E.expect_column_distinct_count_to_be_greater_than(t.events, "user_id", 149, ["event_type"], "value > 40")
 
 
 @query("expect_column_distinct_count_to_be_less_than", observed("events", "event_type", USERS, "$m < 150", "WHERE value > 10"))
@@ -72,14 +72,14 @@ def _(t):
     return rounded(E.expect_column_mean_to_be_between(t.lineitem, "l_quantity", 25, 26, group_by=["l_suppkey"]), 6, "observed")
 
 
-@query("expect_column_median_to_be_between", observed("events", "user_id", "median(value)", "$m > 15", shown="round(median(value), 6)"))
+@query("expect_column_median_to_be_between", observed("events", "user_id", "median(value)", "$m > 30", shown="round(median(value), 6)"))
 def _(t):
-    return rounded(E.expect_column_median_to_be_between(t.events, "value", 15, group_by=["user_id"], strictly=True), 6, "observed")
+    return rounded(E.expect_column_median_to_be_between(t.events, "value", 30, group_by=["user_id"], strictly=True), 6, "observed")
 
 
-@query("expect_column_min_to_be_between", observed("customer", "c_mktsegment", "min(c_acctbal)", "$m > -995", "WHERE c_nationkey < 20"))
+@query("expect_column_min_to_be_between", observed("customer", "c_mktsegment", "min(c_acctbal)", "$m > -970", "WHERE c_nationkey <> 3"))
 def _(t):
-    return E.expect_column_min_to_be_between(t.customer, "c_acctbal", -995, group_by=["c_mktsegment"], row_condition="c_nationkey < 20", strictly=True)
+    return E.expect_column_min_to_be_between(t.customer, "c_acctbal", -970, group_by=["c_mktsegment"], row_condition="c_nationkey <> 3", strictly=True)
 
 
 @query("expect_column_most_common_value_to_be_in_set", """SELECT p_brand AS value_field FROM (SELECT p_brand, row_number() OVER (ORDER BY n DESC, p_brand) AS place
@@ -303,20 +303,20 @@ def _(t):
 
 
 @query("expect_row_values_to_have_data_for_every_n_datepart", """SELECT CAST(d AS VARCHAR) AS date_day, true AS is_missing, 0::BIGINT AS row_cnt FROM (
-  SELECT unnest(generate_series(CAST(min(o_orderdate) AS DATE)::TIMESTAMP, CAST(max(o_orderdate) AS DATE)::TIMESTAMP - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d FROM orders WHERE o_custkey < 300)
-WHERE d NOT IN (SELECT date_trunc('day', o_orderdate) FROM orders WHERE o_custkey < 300) AND d < TIMESTAMP '2000-01-01'""")
+  SELECT unnest(generate_series(CAST(min(o_orderdate) AS DATE)::TIMESTAMP, CAST(max(o_orderdate) AS DATE)::TIMESTAMP - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d FROM orders WHERE o_totalprice > 400000)
+WHERE d NOT IN (SELECT date_trunc('day', o_orderdate) FROM orders WHERE o_totalprice > 400000) AND d < TIMESTAMP '2000-01-01'""")
 def _(t):
     return E.expect_row_values_to_have_data_for_every_n_datepart(
-        t.orders, "o_orderdate", "day", "o_custkey < 300", "date_day < timestamp_ntz'2000-01-01'"
+        t.orders, "o_orderdate", "day", "o_totalprice > 400000", "date_day < timestamp_ntz'2000-01-01'"
     )
 
 
 @query("expect_data_for_every_third_hour", """SELECT CAST(d AS VARCHAR) AS date_hour, true AS is_missing, 0::BIGINT AS row_cnt FROM (
   SELECT unnest(generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-28 23:00:00', INTERVAL 3 HOUR)) AS d)
-WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id < 10 AND date_trunc('hour', ts) >= d AND date_trunc('hour', ts) < d + INTERVAL 3 HOUR)""")
+WHERE NOT EXISTS (SELECT 1 FROM events WHERE value > 100 AND date_trunc('hour', ts) >= d AND date_trunc('hour', ts) < d + INTERVAL 3 HOUR)""")
 def _(t):
     return E.expect_row_values_to_have_data_for_every_n_datepart(
-        t.events, "ts", "hour", "user_id < 10", interval=3, test_start_date="2024-01-02", test_end_date="2024-01-29"
+        t.events, "ts", "hour", "value > 100", interval=3, test_start_date="2024-01-02", test_end_date="2024-01-29"
     )
 
 
@@ -378,9 +378,9 @@ def _(t):
 
 
 @query("expect_row_values_to_have_recent_data", """SELECT CAST(max(ts) AS VARCHAR) AS max_timestamp FROM events
-WHERE ts <= TIMESTAMP '2024-01-25' AND user_id < 20 HAVING coalesce(max(ts), TIMESTAMP '1970-01-01') < TIMESTAMP '2024-01-25' - INTERVAL 1 MINUTE""")
+WHERE ts <= TIMESTAMP '2024-01-25' AND event_type = 'error' HAVING coalesce(max(ts), TIMESTAMP '1970-01-01') < TIMESTAMP '2024-01-25' - INTERVAL 1 MINUTE""")
 def _(t):
-    return E.expect_row_values_to_have_recent_data(t.events, "ts", "MINUTE", 1, ntz("2024-01-25"), "user_id < 20")
+    return E.expect_row_values_to_have_recent_data(t.events, "ts", "MINUTE", 1, ntz("2024-01-25"), "event_type = 'error'")
 
 
 EQUAL = """SELECT coalesce(a.k, b.k) AS {k}, a.e AS expression, b.e AS compare_expression, {d} AS expression_difference
@@ -404,9 +404,9 @@ def _(t):
     return E.expect_table_row_count_to_be_between(t.orders, 5, 15, group_by=["o_custkey"])
 
 
-@query("expect_table_row_count_to_equal", observed("conversations", "conv_id", "count(*)", "$m = 6", "WHERE turn < 20"))
+@query("expect_table_row_count_to_equal", observed("conversations", "conv_id", "count(*)", "$m = 3", "WHERE role = 'user'"))
 def _(t):
-    return E.expect_table_row_count_to_equal(t.conversations, 6, ["conv_id"], "turn < 20")
+    return E.expect_table_row_count_to_equal(t.conversations, 3, ["conv_id"], "role = 'user'")
 
 
 @query("expect_table_row_count_to_equal_other_table", EQUAL.format(

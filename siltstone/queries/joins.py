@@ -24,12 +24,12 @@ def join_inner_set(t):
     return t.part.join(F.broadcast(values), "p_type").select("p_partkey", "p_type")
 
 
-@query("join_full_outer", """SELECT coalesce(a.k, b.k) AS k, a.orders, b.customers FROM
-  (SELECT CAST(o_custkey % 40 AS INTEGER) AS k, count(*) AS orders FROM orders GROUP BY ALL) a
-  FULL JOIN (SELECT c_nationkey AS k, count(*) AS customers FROM customer GROUP BY ALL) b ON a.k = b.k""")
+@query("join_full_outer", """SELECT coalesce(a.k, b.k) AS k, a.rich, b.suppliers FROM
+  (SELECT c_nationkey AS k, count(*) AS rich FROM customer WHERE c_acctbal > 9800 GROUP BY ALL) a
+  FULL JOIN (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier WHERE s_acctbal > 5000 GROUP BY ALL) b ON a.k = b.k""")
 def join_full_outer(t):
-    a = t.orders.groupBy((F.col("o_custkey") % 40).cast("int").alias("k")).agg(F.count(F.lit(1)).alias("orders"))
-    b = t.customer.groupBy(F.col("c_nationkey").alias("k")).agg(F.count(F.lit(1)).alias("customers"))
+    a = t.customer.where("c_acctbal > 9800").groupBy(F.col("c_nationkey").alias("k")).agg(F.count(F.lit(1)).alias("rich"))
+    b = t.supplier.where("s_acctbal > 5000").groupBy(F.col("s_nationkey").alias("k")).agg(F.count(F.lit(1)).alias("suppliers"))
     return J.full_outer(a, b, ["k"])
 
 
@@ -105,10 +105,10 @@ def join_left_spine(t):
 
 
 @query("join_group_recency", """SELECT user_id, count(*) AS row_count, CAST(max(ts) AS VARCHAR) AS latest FROM events
-GROUP BY ALL HAVING max(ts) < TIMESTAMP '2024-01-28'""")
+GROUP BY ALL HAVING max(ts) < TIMESTAMP '2024-01-30'""")
 def join_group_recency(t):
     counts = t.events.groupBy("user_id").agg(F.count(F.lit(1)).alias("row_count"))
-    latest = t.events.groupBy("user_id").agg(F.max("ts").alias("latest")).where(F.col("latest") < ntz("2024-01-28"))
+    latest = t.events.groupBy("user_id").agg(F.max("ts").alias("latest")).where(F.col("latest") < ntz("2024-01-30"))
     return counts.join(latest, "user_id")
 
 

@@ -54,16 +54,16 @@ def row_condition(t):
     return P.row_condition(t.orders, "o_orderstatus = 'F' and o_totalprice > 200000").select("o_orderkey", "o_totalprice")
 
 
-IGNORE = """WITH scored AS (SELECT doc_id, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)),
-wide AS (SELECT doc_id, quality, CASE WHEN doc_id % 3 <> 0 THEN toxic END AS toxic FROM scored)
+IGNORE = """WITH scored AS (SELECT doc_id, n_chars, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)),
+wide AS (SELECT doc_id, quality, CASE WHEN n_chars > 500 THEN toxic END AS toxic FROM scored)
 SELECT doc_id, 'not all missing' AS rule FROM wide WHERE NOT (quality IS NULL AND toxic IS NULL)
 UNION ALL SELECT doc_id, 'none missing' FROM wide WHERE NOT (quality IS NULL OR toxic IS NULL)"""
 
 
 @query("ignore_row_if", IGNORE)
 def ignore_row_if(t):
-    wide = t.documents.select("doc_id").join(t.labels, "doc_id", "left").withColumn(
-        "toxic", F.when(F.col("doc_id") % 3 != 0, F.col("toxic"))
+    wide = t.documents.select("doc_id", "n_chars").join(t.labels, "doc_id", "left").withColumn(
+        "toxic", F.when(F.col("n_chars") > 500, F.col("toxic"))
     )
     some = wide.where(P.keep_unless_missing("all_values_are_missing", ["quality", "toxic"]))
     full = wide.where(P.keep_unless_missing("any_value_is_missing", ["quality", "toxic"]))

@@ -163,12 +163,11 @@ def embed_text(t):
 @query("haversine_distance", """SELECT c_custkey, round(mi, 6) AS mi, round(mi * 1.60934, 6) AS km FROM (
   SELECT c_custkey, 2 * 3961 * asin(sqrt(power(sin(radians((lat2 - lat1) / 2)), 2)
     + cos(radians(lat1)) * cos(radians(lat2)) * power(sin(radians((lon2 - lon1) / 2)), 2))) AS mi
-  FROM (SELECT c_custkey, (c_custkey % 170 - 85)::DOUBLE AS lat1, (c_custkey % 350 - 175)::DOUBLE AS lon1,
+  FROM (SELECT c_custkey, c_acctbal / 120 AS lat1, c_acctbal / 60 AS lon1,
           (c_nationkey * 3 - 30)::DOUBLE AS lat2, (c_nationkey * 7 - 90)::DOUBLE AS lon2 FROM customer))""")
 def haversine_distance(t):
     points = t.customer.select(
-        "c_custkey", (F.col("c_custkey") % 170 - 85).cast("double").alias("lat1"),
-        (F.col("c_custkey") % 350 - 175).cast("double").alias("lon1"),
+        "c_custkey", (F.col("c_acctbal") / 120).alias("lat1"), (F.col("c_acctbal") / 60).alias("lon1"),
         (F.col("c_nationkey") * 3 - 30).cast("double").alias("lat2"),
         (F.col("c_nationkey") * 7 - 90).cast("double").alias("lon2"),
     )
