@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,13 +19,18 @@ Encoder = Callable[[list[str]], np.ndarray]
 EMBEDDING_DIM = 384
 ENCODE_BATCH = 32
 
+# Rows counted at a time.
+SLICE_ROWS = 1024
 
-def word_buckets(c: Column | str, dim: int) -> Column:
-    """Bucket number of every white-space separated word (first 32 bits of its md5)."""
-    words = F.filter(F.split(F.lower(as_col(c)), r"\s+"), lambda w: w != "")
-    return F.transform(
-        words, lambda w: F.pmod(F.conv(F.left(F.md5(w), F.lit(8)), 16, 10).cast("bigint"), F.lit(dim)).cast("int")
-    )
+
+def _once(encode):
+    """Keep the optimizer from repeating an encoder, as it does when a later filter reads its result."""
+    return encode.asNondeterministic()
+
+
+def bucket_of(word: str, dim: int) -> int:
+    """Bucket number of a word: the first 32 bits of its md5."""
+    return int.from_bytes(hashlib.md5(word.encode()).digest()[:4], "big") % dim
 
 
 def _as_list_array(matrix: np.ndarray) -> pa.Array:
@@ -32,28 +39,42 @@ def _as_list_array(matrix: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, flat)
 
 
+def _word_buckets(texts: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of every word of the batch in order, and the number of words per row.
+
+    Each distinct word is hashed once. Empty pieces at the ends of a text go to
+    bucket ``dim``, which is cut off later.
+    """
+    pieces = pc.ascii_split_whitespace(texts)
+    sizes = pieces.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    words = pieces.flatten().dictionary_encode()
+    known = words.dictionary.to_pylist()
+    buckets = np.fromiter((bucket_of(w, dim) if w else dim for w in known), np.int64, len(known))
+    return buckets[words.indices.to_numpy()], sizes
+
+
 def hashed_embedding(c: Column | str, dim: int = EMBEDDING_DIM) -> Column:
-    """Word counts per bucket, scaled to length one.
+    """Counts of the white-space separated, lower-cased words per bucket, scaled to length one.
 
-    Words are split and hashed in the JVM; a batch is counted with one
-    ``bincount``.  The encoding is done for a slice of rows at a time so that
-    the count table stays small for wide vectors.
+    Words are split and hashed for a whole batch, then counted a slice of rows
+    at a time, so that the table of counts stays small for wide vectors.
     """
 
     @F.arrow_udf("array<float>")
-    def count(buckets: pa.Array) -> pa.Array:
-        parts = []
-        for start in range(0, len(buckets), 1024):
-            part = buckets.slice(start, 1024)
-            sizes = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            rows = np.repeat(np.arange(len(part)), sizes)
-            flat = part.flatten().to_numpy(zero_copy_only=False)
-            counts = np.bincount(rows * dim + flat, minlength=len(part) * dim).reshape(len(part), dim)
+    def count(texts: pa.Array) -> pa.Array:
+        buckets, sizes = _word_buckets(texts, dim)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        parts = [pa.array([], pa.list_(pa.float32()))]
+        for start in range(0, len(texts), SLICE_ROWS):
+            n = min(SLICE_ROWS, len(texts) - start)
+            rows = np.repeat(np.arange(n), sizes[start : start + n])
+            flat = rows * (dim + 1) + buckets[ends[start] : ends[start + n]]
+            counts = np.bincount(flat, minlength=n * (dim + 1)).reshape(n, dim + 1)[:, :dim]
             norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
             parts.append(_as_list_array(counts / np.where(norms == 0, 1, norms)))
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
+        return pa.concat_arrays(parts)
 
-    return F.when(as_col(c).isNotNull(), count(F.coalesce(word_buckets(c, dim), F.array().cast("array<int>"))))
+    return F.when(as_col(c).isNotNull(), _once(count)(F.lower(as_col(c))))
 
 
 def encode_with(c: Column | str, encoder: Encoder, batch: int = ENCODE_BATCH) -> Column:
@@ -71,7 +92,7 @@ def encode_with(c: Column | str, encoder: Encoder, batch: int = ENCODE_BATCH) ->
                 out[i] = row
         return pa.array(out, pa.list_(pa.float32()))
 
-    return run(as_col(c))
+    return _once(run)(as_col(c))
 
 
 def embed_text(c: Column | str, encoder: Encoder | None = None, dim: int = EMBEDDING_DIM) -> Column:

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 # Fixed value: surrogate keys must equal those already stored elsewhere.
 NULL_KEY_PART = "_dbt_utils_surrogate_key_null_"
 
+# Fixed value: the signs a regular expression counts as white space.
+WHITE_SPACE = " \t\n\x0b\f\r"
+
 # URL prefixes dropped before the host or path is cut out.
 HOST_PREFIXES = ("android-app://", "http://", "https://")
 PATH_PREFIXES = ("http://", "https://")
@@ -23,7 +26,7 @@ def as_col(c: Column | str) -> Column:
 
 def trim_space(c: Column | str) -> Column:
     """Strip every kind of leading and trailing white space (``trim`` strips blanks only)."""
-    return F.regexp_replace(as_col(c), r"^\s+|\s+$", "")
+    return F.btrim(as_col(c), F.lit(WHITE_SPACE))
 
 
 def content_hash(c: Column | str) -> Column:
@@ -99,8 +102,9 @@ def match_position(
 
 
 def word_count(c: Column | str) -> Column:
-    """Number of pieces between single blanks, empty pieces included."""
-    return F.size(F.split(as_col(c), " "))
+    """Number of pieces between single blanks, empty pieces included; no pieces are made."""
+    text = as_col(c)
+    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
 
 
 def chunk_count(c: Column | str, size: int, overlap: int = 0) -> Column:

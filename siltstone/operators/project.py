@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.functions.text import as_col, empty_to_null
+from siltstone.functions.text import as_col, empty_to_null, trim_space, word_count
 from siltstone.functions.vectors import has_vector
 
 
@@ -68,7 +68,7 @@ def like_predicate(c: Column | str, pattern: str, positive: bool = True) -> Colu
 def quality_score(c: Column | str) -> Column:
     """Score of a text chunk from its length, letter case, word count and content."""
     text = as_col(c)
-    words = F.size(F.split(text, " "))
+    words = word_count(text)
 
     def points(value: str) -> Column:
         return F.lit(value).cast("decimal(4,1)")
@@ -76,6 +76,6 @@ def quality_score(c: Column | str) -> Column:
     by_length = F.when(F.length(text) > 200, points("0.3")).when(F.length(text) > 100, points("0.2"))
     by_words = F.when(words > 20, points("0.3")).when(words > 10, points("0.2"))
     upper_case = F.when(text.rlike("[A-Z]"), points("0.2")).otherwise(points("0.0"))
-    not_blank = F.when(~text.rlike(r"^\s*$"), points("0.2")).otherwise(points("0.0"))
+    not_blank = F.when(F.length(trim_space(text)) > 0, points("0.2")).otherwise(points("0.0"))
     total = by_length.otherwise(points("0.1")) + upper_case + by_words.otherwise(points("0.1")) + not_blank
     return total.cast("decimal(4,1)")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,27 +42,40 @@ def silver_documents(
 
 
 def chunk_text(
-    df: DataFrame, size: int = CHUNK_SIZE, overlap: int = 0, key: str = "id", text: str = "content"
+    df: DataFrame, size: int = CHUNK_SIZE, overlap: int = 0, key: str = "id", text: str = "content",
+    extra: dict[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
-    """One row per chunk: chunk_index, total_chunks, chunk_content and chunk_id beside the input columns."""
+    """One row per chunk: total_chunks, chunk_index, chunk_content and chunk_id beside the input columns.
+
+    ``extra`` names further columns computed from the chunk.  Pieces and extras
+    are made inside the generator, once each; filters on them read the result
+    instead of repeating the work.
+    """
     counted = df.withColumn("total_chunks", X.chunk_count(text, size, overlap))
-    rows = counted.withColumn("chunk_index", F.explode(F.sequence(F.lit(1), F.col("total_chunks"))))
+    numbers = F.sequence(F.lit(1), F.col("total_chunks"))
     whole = F.col("total_chunks") == 1
-    piece = F.when(whole, F.col(text)).otherwise(X.chunk_at(text, F.col("chunk_index"), size, overlap))
-    return rows.withColumns({
-        "chunk_content": piece,
-        "chunk_id": F.concat_ws("-", F.col(key), F.col("chunk_index").cast("string")),
+    pieces = F.transform(numbers, lambda i: F.when(whole, F.col(text)).otherwise(X.chunk_at(text, i, size, overlap)))
+    shaped = F.transform(pieces, lambda piece, i: F.struct(
+        (i + 1).alias("chunk_index"), piece.alias("chunk_content"),
+        *[make(piece).alias(name) for name, make in (extra or {}).items()],
+    ))
+    rows = counted.select("*", F.inline(shaped))
+    return rows.withColumn("chunk_id", F.concat_ws("-", F.col(key), F.col("chunk_index").cast("string")))
+
+
+def scored_chunks(df: DataFrame, size: int, min_quality: float, overlap: int = 0) -> DataFrame:
+    """Chunks that hold text and reach the quality threshold, with their score."""
+    chunks = chunk_text(df.where(F.length("content") > 0), size, overlap, extra={
+        "quality_score": quality_score, "is_blank": lambda piece: F.length(X.trim_space(piece)) == 0,
     })
+    return chunks.where(~F.col("is_blank") & (F.col("quality_score") >= F.lit(min_quality)))
 
 
 def gold_documents(
     silver: DataFrame, as_of: Column, chunk: int = CHUNK_SIZE, min_quality: float = MIN_QUALITY, overlap: int = 0
 ) -> DataFrame:
     """Scored chunks without embedding. A narrow plan: nothing is shuffled."""
-    chunks = chunk_text(silver.where(F.length("content") > 0), chunk, overlap)
-    filled = chunks.where(F.length(X.trim_space("chunk_content")) > 0)
-    scored = filled.withColumn("quality_score", quality_score("chunk_content"))
-    return scored.where(F.col("quality_score") >= F.lit(min_quality)).select(
+    return scored_chunks(silver, chunk, min_quality, overlap).select(
         F.col("chunk_id").alias("id"), F.col("chunk_content").alias("content"),
         F.col("chunk_index").cast("bigint").alias("chunk_index"), "total_chunks", "metadata", "source",
         F.col("content_hash").alias("original_content_hash"),
@@ -84,13 +99,9 @@ def transform_partitions(
 ) -> DataFrame:
     """Scored chunks in the day-partitioned layout; all days in one job, or only some."""
     rows = silver if days is None else silver.where(F.col("ingest_day").isin(days))
-    chunks = chunk_text(rows.where(F.length("content") > 0), size)
-    scored = chunks.where(F.length(X.trim_space("chunk_content")) > 0).withColumn(
-        "quality_score", quality_score("chunk_content").cast("double")
-    )
-    return scored.where(F.col("quality_score") >= min_quality).select(
+    return scored_chunks(rows, size, min_quality).select(
         "chunk_id", F.col("id").alias("source_document_id"), "chunk_content",
         F.col("chunk_index").alias("chunk_idx"), F.length("content").alias("original_length"),
-        "source", "ingested_at", "content_hash", "quality_score",
+        "source", "ingested_at", "content_hash", F.col("quality_score").cast("double").alias("quality_score"),
         as_of.cast("string").alias("processed_at"), F.lit(worker).alias("worker_version"), "ingest_day",
     )

@@ -10,7 +10,7 @@ from siltstone.operators import search as S
 from siltstone.queries.common import COSINE, DIM, QUERY_SQL, hashed_text, query_vector, vectors_sql
 from siltstone.queries.registry import query, rounded
 from siltstone.session import scratch_path
-from siltstone.sources.tables import scan_parquet_glob
+from siltstone.sources.tables import scan_parquet_glob, spread
 
 TOP = """SELECT vec_id, label, round(s, 6) AS score FROM
   (SELECT vec_id, label, {cos} AS s FROM embeddings WHERE len(embedding) > 0 {where}) ORDER BY s DESC, vec_id LIMIT {k}"""
@@ -87,7 +87,7 @@ ranked AS (SELECT item_id, doc_id, s, row_number() OVER (PARTITION BY item_id OR
 
 
 def knn(t, k: int):
-    docs = hashed_text(t.documents, "text").select("doc_id", "embedding")
+    docs = hashed_text(spread(t.documents), "text").select("doc_id", "embedding")
     asked = hashed_text(t.benchmark, "text").select("item_id", F.col("embedding").alias("query_vector"))
     return S.knn_join(asked, docs, k, "item_id", key="doc_id")
 
