@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltstone.functions.vectors import cosine_expression, cosine_similarity
+from siltstone.functions.sql import register_sql_functions
+from siltstone.functions.vectors import cosine_similarity
 from siltstone.operators import ann
 from siltstone.operators import search as S
 from siltstone.queries.common import COSINE, DIM, QUERY_SQL, hashed_text, query_vector, vectors_sql
@@ -28,6 +29,15 @@ def cosine(t):
     return rounded(pairs.select("vec_id", cosine_similarity("embedding", "centre").alias("score")), 6, "score")
 
 
+@query("cosine_similarity_sql", """SELECT e.vec_id, round(list_cosine_similarity(e.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS score
+FROM embeddings e JOIN (SELECT label, arg_max(embedding, vec_id) AS embedding FROM embeddings GROUP BY ALL) c USING (label)""")
+def cosine_sql(t):
+    register_sql_functions(t.spark)
+    last = t.embeddings.groupBy("label").agg(F.max_by("embedding", "vec_id").alias("centre"))
+    pairs = t.embeddings.join(last, "label")
+    return rounded(pairs.selectExpr("vec_id", "cosine_similarity(embedding, centre) as score"), 6, "score")
+
+
 @query("vector_topk", _top(10))
 def vector_topk(t):
     return rounded(S.vector_topk(t.embeddings, query_vector(t), 10, "vec_id", columns=["label"]), 6, "score")

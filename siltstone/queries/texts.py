@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from siltstone.functions import maths as M
 from siltstone.functions import text as X
 from siltstone.functions.encoder import hashed_embedding
+from siltstone.functions.sql import register_sql_functions
 from siltstone.plans.documents import chunk_text
 from siltstone.queries.common import DIM, vectors_sql
 from siltstone.queries.registry import query, rounded
@@ -101,12 +102,34 @@ def chunk_text_overlap(t):
     return rows.select("doc_id", "chunk_index", F.md5("chunk_content").alias("piece"))
 
 
-@query("string_ops", """SELECT doc_id, length(text) AS chars, left(text, 12) AS head, substr(text, 5, 7) AS mid,
-  lang || ':' || source AS tag FROM documents""")
-def string_ops(t):
-    return t.documents.select(
-        "doc_id", F.length("text").alias("chars"), F.left("text", F.lit(12)).alias("head"),
-        F.substring("text", 5, 7).alias("mid"), F.concat("lang", F.lit(":"), "source").alias("tag"),
+@query("length", "SELECT doc_id, length(text) AS chars FROM documents")
+def length(t):
+    return t.documents.select("doc_id", F.length("text").alias("chars"))
+
+
+@query("left", "SELECT doc_id, left(text, 12) AS head FROM documents")
+def left(t):
+    return t.documents.select("doc_id", F.left("text", F.lit(12)).alias("head"))
+
+
+@query("substr", "SELECT doc_id, substr(text, 5, 7) AS mid FROM documents")
+def substr(t):
+    return t.documents.select("doc_id", F.substring("text", 5, 7).alias("mid"))
+
+
+@query("concat", "SELECT doc_id, lang || ':' || source AS tag FROM documents")
+def concat(t):
+    return t.documents.select("doc_id", F.concat("lang", F.lit(":"), "source").alias("tag"))
+
+
+@query("sql_functions", f"""SELECT doc_id, {HASH} AS content_hash, len(string_split(text, ' '))::INTEGER AS words,
+  n_chars::DOUBLE / nullif(quality, 0) AS share FROM documents LEFT JOIN labels USING (doc_id)""")
+def sql_functions(t):
+    """The functions called from SQL text."""
+    register_sql_functions(t.spark)
+    rows = t.documents.join(t.labels, "doc_id", "left")
+    return rows.selectExpr(
+        "doc_id", "content_hash(text) as content_hash", "word_count(text) as words", "safe_divide(n_chars, quality) as share"
     )
 
 
