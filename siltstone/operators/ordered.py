@@ -98,6 +98,52 @@ def with_running_total(
     return joined.withColumn(name, F.col("_inside") + F.col("_offset")).drop(RANGE, "_inside", "_offset")
 
 
+# Rank error of the first-pass sketch, and the half widths of the brackets laid around a quantile.
+SKETCH_ACCURACY = 10_000
+BRACKETS = (0.0005, 0.001, 0.01, 0.1, 1.0)
+
+# Sketches of more groups than this are not handed to every task; the values are counted whole then.
+MAX_SKETCHED_GROUPS = 50_000
+
+
+def _collapse_far_values(rows: DataFrame, by: list[str], quantiles: Sequence[float]) -> DataFrame:
+    """Replace values that cannot be next to a quantile by one stand-in per gap.
+
+    A bounded sketch gives each group a bracket of values around each quantile,
+    wide enough for the sketch's rank error and for small groups. Values inside
+    a bracket stay; the rest keep only their place in the order, so that almost
+    all rows vanish in the partial counts that follow. ``_far`` marks stand-ins.
+    """
+    plain = rows.withColumn("_far", F.lit(False))
+    ends = sorted({min(max(q + side * w, 0.0), 1.0) for q in quantiles for w in BRACKETS for side in (-1, 1)})
+    marks = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("_size"),
+        F.percentile_approx("_v", [float(e) for e in ends], SKETCH_ACCURACY).alias("_marks"),
+    )
+    needed = F.lit(2.0 / SKETCH_ACCURACY) + F.try_divide(F.lit(2.0), F.col("_size"))
+    chosen = []
+    for i, q in enumerate(quantiles):
+        for side, name in ((-1, f"_from{i}"), (1, f"_to{i}")):
+            places = [ends.index(min(max(q + side * w, 0.0), 1.0)) for w in BRACKETS]
+            mark = F.col("_marks")[places[-1]]
+            for w, place in reversed(list(zip(BRACKETS[:-1], places[:-1], strict=True))):
+                mark = F.when(needed <= w, F.col("_marks")[place]).otherwise(mark)
+            chosen.append(mark.alias(name))
+    brackets = settle(marks.select(*[F.col(k).alias(f"_k_{k}") for k in by], *chosen))
+    if brackets.count() > MAX_SKETCHED_GROUPS:
+        return plain
+    same_group = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by] or None
+    v = F.col("_v")
+    near = F.lit(False)
+    below = F.lit(float("-inf"))
+    for i in range(len(quantiles)):
+        near = near | v.between(F.col(f"_from{i}"), F.col(f"_to{i}"))
+        below = F.greatest(below, F.when(F.col(f"_to{i}") < v, F.col(f"_to{i}")))
+    return rows.join(F.broadcast(brackets), same_group, "inner").select(
+        *by, F.when(near, v).otherwise(below).alias("_v"), (~near).alias("_far")
+    )
+
+
 def spread_exact_quantiles(
     df: DataFrame,
     value: str | Column,
@@ -108,25 +154,25 @@ def spread_exact_quantiles(
 ) -> DataFrame:
     """Exact interpolated quantiles without gathering a group's values in one task.
 
-    Values are counted first (partial counts before the shuffle), then ranked by
-    a distributed running total; the two neighbours of each quantile's position
+    A first pass brackets each quantile; the second counts the values in the
+    brackets (partial counts before the shuffle). These few are ranked by a
+    distributed running total and the two neighbours of each quantile's position
     are picked with a plain aggregate.
     """
     by = list(by)
     names = list(names or [f"q{round(q * 100)}" for q in quantiles])
     v = F.col(value) if isinstance(value, str) else value
-    counts = (
-        df.select(*by, v.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-        .groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    )
-    ranked = with_running_total(counts, by, ["_v"], "_n", "_upto", "_size", ranges)
+    rows = df.select(*by, v.cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    counts = _collapse_far_values(rows, by, quantiles).groupBy(*by, "_v", "_far").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = with_running_total(counts, by, ["_v", "_far"], "_n", "_upto", "_size", ranges)
     picks, results = [], []
+    missed = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
     for i, (q, name) in enumerate(zip(quantiles, names, strict=True)):
         at = F.lit(float(q)) * (F.col("_size") - 1)
 
         def value_at(rank: Column) -> Column:
             inside = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
-            return F.max(F.when(inside, F.col("_v")))
+            return F.max(F.when(inside & F.col("_far"), missed).when(inside, F.col("_v")))
 
         picks += [
             value_at(F.floor(at)).alias(f"_lo{i}"),

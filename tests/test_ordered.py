@@ -92,6 +92,21 @@ def test_exact_quantiles(table, by):
         assert [r[n] for n in "abcde"] == pytest.approx(list(expected))
 
 
+@pytest.mark.parametrize("limit", [0, 50_000])
+def test_quantiles_of_large_and_small_groups(spark, monkeypatch, limit):
+    monkeypatch.setattr(O, "MAX_SKETCHED_GROUPS", limit)
+    r = np.random.default_rng(5)
+    sizes = {"one": 1, "two": 2, "few": 11, "some": 900, "many": 60_000, None: 3}
+    data = {g: np.round(r.normal(size=n) * 1000, 2) for g, n in sizes.items()}
+    data["many"][:20_000] = 7.5  # one value holds a third of the group
+    df = spark.createDataFrame([(g, float(v)) for g, vs in data.items() for v in vs], "g string, v double")
+    qs = [0.01, 0.37, 0.5, 0.999]
+    for row in O.spread_exact_quantiles(df, "v", qs, ["g"], list("abcd")).collect():
+        assert [row[n] for n in "abcd"] == pytest.approx(list(np.quantile(data[row.g], qs)))
+    kept = O._collapse_far_values(df.select("g", F.col("v").alias("_v")), ["g"], [0.5]).where("g = 'many'")
+    assert kept.select("_v").distinct().count() < (1000 if limit else 60_000)
+
+
 def test_quantile_of_nothing_is_null(spark):
     empty = spark.createDataFrame([], "g int, v double")
     assert [tuple(r) for r in O.spread_exact_quantiles(empty, "v", [0.5]).collect()] == [(None,)]
