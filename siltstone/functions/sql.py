@@ -12,7 +12,7 @@ FUNCTIONS = {
     "cosine_similarity(a array<float>, b array<float>) returns double": f"""
         try_divide(aggregate(zip_with(a, b, (p, q) -> cast(p as double) * cast(q as double)), 0D, (s, x) -> s + x),
                    sqrt({_SQUARES.format(v='a')}) * sqrt({_SQUARES.format(v='b')}))""",
-    "content_hash(x string) returns string": r"upper(sha2(lower(btrim(x, ' \t\n\u000b\f\r')), 256))",
+    "content_hash(x string) returns string": r"upper(sha2(lower(btrim(x, ' \t\n\u000b\u000c\r')), 256))",
     "word_count(x string) returns int": "length(x) - length(replace(x, ' ', '')) + 1",
     "safe_divide(a double, b double) returns double": "try_divide(a, b)",
     "haversine_distance(lat1 double, lon1 double, lat2 double, lon2 double) returns double": f"""

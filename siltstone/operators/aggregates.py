@@ -132,7 +132,9 @@ def percentile_over(df: DataFrame, column: str, quantile: float, by: Sequence[st
     per_group = percentile_cont(df, column, [quantile], by, [name])
     if not by:
         return with_one_row(df, per_group)
-    return df.join(per_group, list(by), "left")
+    keyed = per_group.select(*[F.col(k).alias(f"_k_{k}") for k in by], name)
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by]
+    return df.join(keyed, same, "left").drop(*[f"_k_{k}" for k in by])
 
 
 def having(df: DataFrame, by: Sequence[str], measure: Column, name: str, condition: str) -> DataFrame:

@@ -25,13 +25,17 @@ def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]]
 
 
 def not_in(left: DataFrame, column: str, right: DataFrame, field: str) -> DataFrame:
-    """``NOT IN``: empty when the right side holds a NULL, NULL keys on the left are dropped."""
-    view = f"not_in_{abs(hash((id(left), id(right), column)))}"
-    left.createOrReplaceTempView(f"{view}_l")
-    right.createOrReplaceTempView(f"{view}_r")
-    return left.sparkSession.sql(
-        f"select * from {view}_l where {column} not in (select {field} from {view}_r)"
-    )
+    """``NOT IN`` with its treatment of NULL, as an ordinary anti join.
+
+    Everything passes an empty right side; nothing passes one that holds a NULL;
+    a NULL on the left passes only an empty one.  (Spark's own ``NOT IN`` can
+    only be run by sending the whole right side to every task.)
+    """
+    facts = right.agg(F.count(F.lit(1)).alias("_rows"), F.count_if(F.col(field).isNull()).alias("_nulls"))
+    keys = right.where(F.col(field).isNotNull()).select(F.col(field).alias("_key")).distinct()
+    alone = left.join(keys, F.col(column) == F.col("_key"), "left_anti")
+    passes = (F.col("_rows") == 0) | ((F.col("_nulls") == 0) & F.col(column).isNotNull())
+    return with_one_row(alone, facts).where(passes).drop("_rows", "_nulls")
 
 
 def full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -75,27 +75,36 @@ def with_running_total(
     total: str,
     ranges: int | None = None,
 ) -> DataFrame:
-    """Add the running sum of ``amount`` within ``by`` (inclusive) and the sum of the group."""
+    """Add the running sum of ``amount`` within ``by`` (inclusive) and the sum of the group.
+
+    Only a group that reaches over the edge of a range needs sums from other
+    ranges. Such groups are first or last in their ranges, so at most two rows
+    per range are sent to the tasks.
+    """
     by, order = list(by), list(order)
     cut = cut_by_range(df, by + order, ranges)
-    inside = W.partitionBy(RANGE, *by).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    here = W.partitionBy(RANGE, *by)
+    so_far = here.orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = cut.withColumns({"_inside": F.sum(amount).over(so_far), "_here": F.sum(amount).over(here)})
     sums = cut.groupBy(RANGE, *by).agg(F.sum(amount).alias("_sum"))
-    # At most one row per range and group; a group never has more rows here than ranges.
+    if by:
+        group = F.struct(*[F.col(k) for k in by])
+        edges = sums.groupBy(RANGE).agg(F.min(group).alias("_first"), F.max(group).alias("_last"))
+        at_edge = group.eqNullSafe(F.col("_first")) | group.eqNullSafe(F.col("_last"))
+        sums = sums.join(F.broadcast(edges), RANGE).where(at_edge)
     whole = W.partitionBy(*by)
     before = whole.orderBy(RANGE).rowsBetween(W.unboundedPreceding, -1)
     offsets = sums.select(
-        RANGE,
-        *by,
-        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_sum").over(whole).alias(total),
+        F.col(RANGE).alias("_at"),
+        *[F.col(k).alias(f"_k_{k}") for k in by],
+        F.sum("_sum").over(before).alias("_offset"),
+        F.sum("_sum").over(whole).alias("_total"),
     )
-    running = cut.withColumn("_inside", F.sum(amount).over(inside))
-    if by:
-        keys = [F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}")) for k in [RANGE, *by]]
-        joined = running.alias("r").join(offsets.alias("o"), keys, "inner").select("r.*", "o._offset", f"o.{total}")
-    else:
-        joined = running.join(F.broadcast(offsets), RANGE)
-    return joined.withColumn(name, F.col("_inside") + F.col("_offset")).drop(RANGE, "_inside", "_offset")
+    same = [F.col(RANGE) == F.col("_at")] + [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by]
+    return rows.join(F.broadcast(offsets), same, "left").withColumns({
+        name: F.col("_inside") + F.coalesce(F.col("_offset"), F.lit(0)),
+        total: F.coalesce(F.col("_total"), F.col("_here")),
+    }).drop(RANGE, "_inside", "_here", "_at", "_offset", "_total", *[f"_k_{k}" for k in by])
 
 
 # Rank error of the first-pass sketch, and the half widths of the brackets laid around a quantile.

@@ -48,7 +48,7 @@ def lag_sequential(t):
 @query("lead_ranges", """SELECT l_suppkey, lower_bound, upper_bound, next_lower_bound, is_last_record FROM (
   SELECT l_suppkey, l_quantity AS lower_bound, l_quantity + l_linenumber AS upper_bound,
     lead(l_quantity) OVER w AS next_lower_bound,
-    row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity DESC, l_quantity + l_linenumber DESC) = 1 AS is_last_record
+    lead(true) OVER w IS NULL AS is_last_record
   FROM lineitem WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_quantity, l_quantity + l_linenumber))""")
 def lead_ranges(t):
     rows = t.lineitem.withColumn("high", F.col("l_quantity") + F.col("l_linenumber"))

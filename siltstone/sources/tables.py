@@ -53,14 +53,27 @@ def bronze_from_documents(documents: DataFrame, start: str = "2024-01-01 00:00:0
     )
 
 
-def append_bronze(rows: DataFrame, path: str) -> None:
+def _write_days(rows: DataFrame, path: str, mode: str, files_per_day: int | None) -> None:
+    """Write into one folder per day.
+
+    Without ``files_per_day`` every task writes the days it holds, which suits
+    a batch of few days. With it, each day is gathered into that many files, by
+    as many tasks, however large the day is.
+    """
+    dated = rows.withColumn("ingest_day", F.to_date("ingested_at"))
+    if files_per_day:
+        dated = dated.repartition("ingest_day", F.pmod(F.xxhash64("id"), F.lit(files_per_day)))
+    dated.write.mode(mode).partitionBy("ingest_day").parquet(path)
+
+
+def append_bronze(rows: DataFrame, path: str, files_per_day: int | None = None) -> None:
     """Append raw rows to the day-partitioned table."""
-    rows.withColumn("ingest_day", F.to_date("ingested_at")).write.mode("append").partitionBy("ingest_day").parquet(path)
+    _write_days(rows, path, "append", files_per_day)
 
 
-def create_bronze(rows: DataFrame, path: str) -> None:
+def create_bronze(rows: DataFrame, path: str, files_per_day: int | None = None) -> None:
     """Start the day-partitioned table; fails when it exists."""
-    rows.withColumn("ingest_day", F.to_date("ingested_at")).write.mode("error").partitionBy("ingest_day").parquet(path)
+    _write_days(rows, path, "error", files_per_day)
 
 
 def scan_parquet_glob(

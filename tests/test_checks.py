@@ -235,3 +235,14 @@ def test_bad_arguments(data):
         E.expect_compound_columns_to_be_unique(data, ["s"], "sometimes")
     with pytest.raises(ValueError):
         E.expect_column_values_to_match_regex_list(data, "s", ["a"], "some")
+
+
+def test_not_in_with_null(spark, rows):
+    from siltstone.operators.joins import not_in
+
+    left = spark.createDataFrame([(1,), (2,), (None,)], "a int")
+    right = spark.createDataFrame([(2,), (3,)], "b int")
+    with_null = right.union(spark.createDataFrame([(None,)], "b int"))
+    assert rows(not_in(left, "a", right, "b")) == [(1,)]
+    assert not_in(left, "a", with_null, "b").isEmpty()
+    assert len(rows(not_in(left, "a", right.where("false"), "b"))) == 3

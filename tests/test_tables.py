@@ -232,3 +232,12 @@ def test_sync_replica_to_lake(spark, raw, replica):
     assert set(found) == {"2-1", "5-1", "5-2", "5-3", "new"}
     assert found["5-1"].content == "edited" and float(found["5-1"].quality_score) == 9.5 and found["5-1"].source == "duckdb_sync"
     assert merged.schema == gold.schema or merged.columns == gold.columns
+
+
+def test_days_are_written_in_the_asked_number_of_files(spark, raw):
+    path = scratch_path(spark, "days")
+    many = raw.withColumn("id", F.explode(F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: F.concat_ws("-", "id", i.cast("string")))))
+    S.create_bronze(many.repartition(8), path, files_per_day=2)
+    per_day = FI.list_files(spark, path).groupBy(F.regexp_extract("path", "ingest_day=([^/]+)", 1)).count().collect()
+    assert len(per_day) == 4 and all(r["count"] <= 2 for r in per_day)
+    assert spark.read.parquet(path).count() == 200
