@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from siltstone.checks.kernel import between
 from siltstone.operators.joins import anti_join
 from siltstone.operators.project import row_condition as keep
-from siltstone.operators.reshape import except_counts, except_symmetric
+from siltstone.operators.reshape import except_counts, except_symmetric, repeat_rows
 from siltstone.operators.windows import with_next_range, with_previous_value
 
 
@@ -171,7 +171,7 @@ def relationships_where(
     mine = keep(df, from_condition).where(F.col(column).isNotNull()).groupBy(F.col(column).alias("id"))
     theirs = keep(to, to_condition).where(F.col(field).isNotNull()).select(F.col(field).alias("id")).distinct()
     missing = anti_join(mine.agg(F.count(F.lit(1)).alias("_n")), theirs, [("id", "id")])
-    return missing.select("id", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")).alias("_i")).drop("_i")
+    return repeat_rows(missing, F.col("_n")).select("id")
 
 
 def sequential_values(

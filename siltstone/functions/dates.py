@@ -184,7 +184,3 @@ def last_day(c: Column | str, unit: str = "month") -> Column:
     months = {"month": 1, "quarter": 3, "year": 12}[unit]
     return F.date_sub(F.add_months(F.trunc(as_col(c), unit), months), 1)
 
-
-def shift(c: Column | str, unit: str, n: int) -> Column:
-    """Add ``n`` units to a timestamp."""
-    return F.timestamp_add(unit, F.lit(n), as_col(c))

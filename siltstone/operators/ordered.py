@@ -27,34 +27,23 @@ def cut_by_range(df: DataFrame, keys: Sequence[str], ranges: int | None = None)
     return settle(cut.withColumn(RANGE, F.spark_partition_id()))
 
 
-def with_neighbour(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[str],
-    source: str | Column,
-    name: str,
-    ahead: bool = False,
-    ranges: int | None = None,
+def neighbours(
+    cut: DataFrame, by: Sequence[str], order: Sequence[str], source: str | Column, name: str, ahead: bool = False
 ) -> DataFrame:
-    """Add ``source`` of the row before (or after) within ``by`` in ascending ``order``.
-
-    Rows equal in ``by`` and ``order`` would share one range, so callers reduce
-    them to a single row beforehand.
-    """
+    """Add ``source`` of the row before (or after) within ``by`` to a frame made by ``cut_by_range``."""
     by, order = list(by), list(order)
     wanted = F.col(source) if isinstance(source, str) else source
-    cut = cut_by_range(df.withColumn("_source", wanted), by + order, ranges)
     step, end_of = (F.lead, F.min_by) if ahead else (F.lag, F.max_by)
     inside = W.partitionBy(RANGE, *by).orderBy(*order)
     rows = cut.withColumns({
         "_edge": step(F.lit(True)).over(inside).isNull(),
-        "_inside": step("_source").over(inside),
+        "_inside": step(wanted).over(inside),
     })
     # One row per range: the row facing the neighbouring range, moved over to it.
     group = F.struct(*[F.col(k) for k in by]) if by else F.lit(True)
     position = F.struct(*[F.col(k) for k in by + order])
     ends = cut.groupBy(RANGE).agg(
-        end_of(F.struct(group.alias("by"), F.col("_source").alias("value")), position).alias("_end")
+        end_of(F.struct(group.alias("by"), wanted.alias("value")), position).alias("_end")
     )
     moved = ends.select(RANGE, step("_end").over(W.orderBy(RANGE)).alias("_end"))
     carried = moved.select(RANGE, F.col("_end.by").alias("_end_by"), F.col("_end.value").alias("_end_value"))
@@ -62,10 +51,28 @@ def with_neighbour(
     return (
         rows.join(F.broadcast(carried), RANGE, "left")  # as many rows as there are ranges
         .withColumn(name, F.when(F.col("_edge"), across).otherwise(F.col("_inside")))
-        .drop(RANGE, "_source", "_edge", "_inside", "_end_by", "_end_value")
+        .drop("_edge", "_inside", "_end_by", "_end_value")
     )
 
 
+def with_neighbour(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str],
+    source: str | Column,
+    name: str,
+    ahead: bool = False,
+    ranges: int | None = None,
+) -> DataFrame:
+    """Add ``source`` of the row before (or after) within ``by`` in ascending ``order``.
+
+    Rows equal in ``by`` and ``order`` would share one range, so callers reduce
+    them to a single row beforehand.
+    """
+    cut = cut_by_range(df, [*by, *order], ranges)
+    return neighbours(cut, by, order, source, name, ahead).drop(RANGE)
+
+
 def with_running_total(
     df: DataFrame,
     by: Sequence[str],

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.session import shuffle_width
+
 
 def union_relations(
     relations: Mapping[str, DataFrame],
@@ -92,6 +94,25 @@ def unpivot(
     return df.select(*exclude, F.inline(F.array(*pairs)))
 
 
+# Copies of a row made by one generator call.
+COPIES_AT_ONCE = 10_000
+
+
+def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
+    """Every row ``times`` times.
+
+    Large counts are cut into blocks that are spread over the tasks first, so
+    neither an array nor a task has to hold all copies of a row.
+    """
+    n = F.col("_times")
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / COPIES_AT_ONCE).cast("bigint"))
+    counted = df.withColumn("_times", times.cast("bigint")).where(n > 0)
+    cut = counted.withColumn("_block", F.explode(blocks)).repartition(shuffle_width(df.sparkSession))
+    in_block = F.least(n - F.col("_block") * COPIES_AT_ONCE, F.lit(COPIES_AT_ONCE))
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), in_block)).alias("_copy")
+    return cut.select(*df.columns, copies).drop("_copy")
+
+
 def generate_series(spark: SparkSession, upper: int) -> DataFrame:
     """Numbers 1..upper, made in parallel."""
     if upper < 1:
@@ -123,7 +144,7 @@ def spine_between(bounds: DataFrame, unit: str, start: str, end: str) -> DataFra
     The number of rows is the number of calendar units between the bounds.
     """
     a, b = F.col(start).cast("timestamp_ntz"), F.col(end).cast("timestamp_ntz")
-    steps = F.timestamp_diff(unit, a, b)
+    steps = intervals_between(a, b, unit)
     numbered = bounds.where(steps > 0).select(
         a.alias("_start"), F.explode(F.sequence(F.lit(0).cast("bigint"), steps - 1)).alias("_step")
     )

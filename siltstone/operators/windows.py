@@ -14,7 +14,8 @@ from pyspark.sql import Window as W
 
 from siltstone.functions.maths import log_natural
 from siltstone.operators.joins import with_one_row
-from siltstone.operators.ordered import with_neighbour
+from siltstone.operators.ordered import cut_by_range, neighbours, with_neighbour
+from siltstone.operators.reshape import repeat_rows
 
 
 def deduplicate(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:
@@ -47,12 +48,12 @@ def monotonic_breaks(
     """
     by = list(by)
     pairs = df.select(*by, F.col(sort_column or column).alias("sort_column"), F.col(column).alias("value_field"))
-    values = pairs.groupBy(*by, "sort_column", "value_field").agg(F.count(F.lit(1)).alias("_copies"))
+    value = F.col("value_field")
     first, last = (F.min, F.max) if increasing else (F.max, F.min)
     # A NULL comes first among equal sort keys, and nothing is compared with it.
-    has_null = F.max(F.col("value_field").isNull())
-    keys = values.groupBy(*by, "sort_column").agg(
-        F.when(~has_null, first("value_field")).alias("_enter"), last("value_field").alias("_leave")
+    has_null = F.max(value.isNull())
+    keys = pairs.groupBy(*by, "sort_column").agg(
+        F.when(~has_null, first(value)).alias("_enter"), last(value).alias("_leave")
     )
     lagged = with_neighbour(keys, by, ["sort_column"], "_leave", "value_field_lag")
     enter, before = F.col("_enter"), F.col("value_field_lag")
@@ -63,16 +64,9 @@ def monotonic_breaks(
     between = lagged.where(broken).select(*by, "sort_column", enter.alias("value_field"), before)
     if not strictly:
         return between
-    repeats = _further_copies(values.where(F.col("value_field").isNotNull()))
-    return between.unionByName(
-        repeats.select(*by, "sort_column", "value_field", F.col("value_field").alias("value_field_lag"))
-    )
-
-
-def _further_copies(counted: DataFrame) -> DataFrame:
-    """One row for the second and every later copy of a counted row."""
-    many = counted.where("_copies > 1")
-    return many.withColumn("_copy", F.explode(F.sequence(F.lit(2).cast("bigint"), "_copies"))).drop("_copy")
+    counted = pairs.where(value.isNotNull()).groupBy(*by, "sort_column", "value_field")
+    repeats = repeat_rows(counted.agg(F.count(F.lit(1)).alias("_copies")), F.col("_copies") - 1)
+    return between.unionByName(repeats.select(*by, "sort_column", "value_field", value.alias("value_field_lag")))
 
 
 def with_previous_value(df: DataFrame, column: str, by: Sequence[str], name: str) -> DataFrame:
@@ -83,9 +77,10 @@ def with_previous_value(df: DataFrame, column: str, by: Sequence[str], name: str
     """
     by = list(by)
     counted = df.groupBy(*by, column).agg(F.count(F.lit(1)).alias("_copies"))
-    lagged = with_neighbour(counted, by, [column], column, name)
-    copies = _further_copies(counted).select(*by, column, F.col(column).alias(name))
-    return lagged.select(*by, column, name).unionByName(copies)
+    cut = cut_by_range(counted, [*by, column])
+    once = neighbours(cut, by, [column], column, name).select(*by, column, name)
+    copies = repeat_rows(cut, F.col("_copies") - 1).select(*by, column, F.col(column).alias(name))
+    return once.unionByName(copies)
 
 
 def with_next_range(df: DataFrame, lower: str, upper: str, by: Sequence[str] = ()) -> DataFrame:
@@ -98,15 +93,14 @@ def with_next_range(df: DataFrame, lower: str, upper: str, by: Sequence[str] = (
     counted = df.select(*by, *bounds).groupBy(*by, "lower_bound", "upper_bound").agg(
         F.count(F.lit(1)).alias("_copies")
     )
-    following = with_neighbour(
-        counted, by, ["lower_bound", "upper_bound"], F.struct("lower_bound"), "_next", ahead=True
-    )
-    shown = [*by, "lower_bound", "upper_bound"]
+    order = ["lower_bound", "upper_bound"]
+    cut = cut_by_range(counted, by + order)
+    following = neighbours(cut, by, order, F.struct("lower_bound"), "_next", ahead=True)
     final = following.select(
-        *shown, F.col("_next.lower_bound").alias("next_lower_bound"), F.col("_next").isNull().alias("is_last_record")
+        *by, *order, F.col("_next.lower_bound").alias("next_lower_bound"), F.col("_next").isNull().alias("is_last_record")
     )
-    copies = _further_copies(counted).select(
-        *shown, F.col("lower_bound").alias("next_lower_bound"), F.lit(False).alias("is_last_record")
+    copies = repeat_rows(cut, F.col("_copies") - 1).select(
+        *by, *order, F.col("lower_bound").alias("next_lower_bound"), F.lit(False).alias("is_last_record")
     )
     return final.unionByName(copies)
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltstone.operators import aggregates as A
-from siltstone.queries.common import AS_OF, GOLD, gold, hashed_text
-from siltstone.queries.registry import ntz, query, rounded
+from siltstone.queries.common import AS_OF, GOLD, gold
+from siltstone.queries.registry import query, rounded
 
 
 @query("index_status", f"""WITH {GOLD} SELECT count(*) AS document_count, '{AS_OF}' AS last_updated FROM gold""")

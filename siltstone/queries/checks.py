@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from siltstone.checks import generic as G
 from siltstone.checks import kernel as K
-from siltstone.operators import reshape as R
-from siltstone.queries.common import GOLD, SILVER, gold, silver
+from siltstone.queries.common import GOLD, gold
 from siltstone.queries.registry import ntz, query, rounded
 
 

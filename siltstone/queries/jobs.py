@@ -9,7 +9,7 @@ from siltstone.operators.search import compare_lanes as compare
 from siltstone.operators.search import knn_join
 from siltstone.plans import jobs as J
 from siltstone.queries.common import (
-    AS_OF, BRONZE, DIM, GOLD, NEWEST, SILVER, bronze, digest, gold, hashed_text, silver, vectors_sql,
+    AS_OF, DIM, GOLD, SILVER, bronze, digest, gold, hashed_text, silver, vectors_sql,
 )
 from siltstone.queries.registry import ntz, query
 from siltstone.queries.search import KNN, knn

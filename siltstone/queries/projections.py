@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from siltstone.operators import project as P
 from siltstone.operators.search import text_search
-from siltstone.queries.common import GOLD, SCORE, SILVER, digest, gold, hashed_text, silver
+from siltstone.queries.common import GOLD, SCORE, SILVER, digest, gold, silver
 from siltstone.queries.registry import query
 
 

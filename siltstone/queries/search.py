@@ -8,7 +8,7 @@ from siltstone.functions.sql import register_sql_functions
 from siltstone.functions.vectors import cosine_similarity
 from siltstone.operators import ann
 from siltstone.operators import search as S
-from siltstone.queries.common import COSINE, DIM, QUERY_SQL, hashed_text, query_vector, vectors_sql
+from siltstone.queries.common import COSINE, QUERY_SQL, hashed_text, query_vector, vectors_sql
 from siltstone.queries.registry import query, rounded
 from siltstone.session import scratch_path
 from siltstone.sources.tables import scan_parquet_glob, spread

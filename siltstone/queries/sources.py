@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltstone.queries.common import (
-    AS_OF, BRONZE, GOLD, NEWEST, SILVER, bronze, digest, gold, silver,
+    AS_OF, BRONZE, GOLD, SILVER, bronze, digest, gold, silver,
 )
 from siltstone.queries.registry import ntz, query
 from siltstone.plans.documents import transform_partitions, newest_per_content

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from siltstone.operators import aggregates as A
 from siltstone.operators import windows as WO

@@ -167,3 +167,14 @@ def test_sequences_golden(spark):
     hours = spark.createDataFrame([(f"2021-01-01 0{i}:00",) for i in range(4)], "t string").select(F.col("t").cast("timestamp_ntz"))
     assert G.sequential_values(hours, "t", 1, "HOUR").isEmpty()
     assert G.sequential_values(hours, "t", 1, "DAY").count() == 3
+
+
+@pytest.mark.parametrize("at_once", [3, 10_000])
+def test_rows_are_repeated_in_blocks(spark, monkeypatch, at_once):
+    from siltstone.operators import reshape as R
+
+    monkeypatch.setattr(R, "COPIES_AT_ONCE", at_once)
+    counts = {"a": 0, "b": 1, "c": 3, "d": 4, "e": 25_000}
+    df = spark.createDataFrame(list(counts.items()), "k string, n int")
+    found = {r.k: r["count"] for r in R.repeat_rows(df, F.col("n")).groupBy("k").count().collect()}
+    assert found == {k: n for k, n in counts.items() if n}

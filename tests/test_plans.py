@@ -13,7 +13,7 @@ from siltstone.operators import reshape as R
 from siltstone.operators import search as S
 from siltstone.operators import windows as WO
 from siltstone.plans import documents as P
-from siltstone.queries.common import bronze, gold, query_vector, silver
+from siltstone.queries.common import gold, query_vector
 from siltstone.queries.registry import ntz
 from siltstone.sources import tables as SO
 from siltstone.sources.tables import Tables
