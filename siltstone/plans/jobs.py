@@ -83,12 +83,20 @@ def maintain_tables(
 
 
 def partitioned_gold(
-    spark: SparkSession, silver_path: str, staging_path: str, target: DataFrame | None, as_of: Column
+    spark: SparkSession, silver_path: str, staging_path: str, target_path: str, as_of: Column,
+    days: Sequence | None = None,
 ) -> DataFrame:
-    """Transform the days found below a path in one job, stage them, return the rows to append."""
+    """Transform the days found below a path in one job, add the new chunks to the target, drop the staging.
+
+    Running it again adds nothing, as chunks the target holds are left out.
+    """
     if discover_partitions(spark, silver_path).isEmpty():
         raise FileNotFoundError(f"no partitions below {silver_path}")
-    chunks = transform_partitions(spark.read.parquet(silver_path), as_of)
+    chunks = transform_partitions(spark.read.parquet(silver_path), as_of, days)
     chunks.write.mode("overwrite").partitionBy("ingest_day").parquet(staging_path)
     staged = spark.read.parquet(staging_path)
-    return staged if target is None else merge_staging(target, staged)
+    known = versions.parquet_or_none(spark, target_path)
+    added = staged if known is None else merge_staging(known, staged)
+    added.write.mode("append").partitionBy("ingest_day").parquet(target_path)
+    versions.remove_folders(spark, [staging_path])
+    return spark.read.parquet(target_path)

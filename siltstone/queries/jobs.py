@@ -134,8 +134,10 @@ def maintain_tables(t):
 
 @query("partitioned_gold", f"WITH {GOLD} {GOLD_V2}")
 def partitioned_gold(t):
-    staging = scratch_path(t.spark, "staging")
-    return _show_v2(J.partitioned_gold(t.spark, _day_partitioned_silver(t), staging, None, ntz(AS_OF)))
+    silver_path, target = _day_partitioned_silver(t), scratch_path(t.spark, "gold")
+    for staging in (scratch_path(t.spark, "staging"), scratch_path(t.spark, "staging")):
+        found = J.partitioned_gold(t.spark, silver_path, staging, target, ntz(AS_OF))
+    return _show_v2(found)
 
 
 @query("compare_lanes", KNN + """, a AS (SELECT item_id, doc_id, rank, s FROM ranked WHERE rank <= 5),

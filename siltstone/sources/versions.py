@@ -15,14 +15,21 @@ from pyspark.sql import Window as W
 REGISTER_SCHEMA = "version int, folder string, published_at timestamp_ntz"
 
 
-def register(spark: SparkSession, root: str) -> DataFrame:
-    """Published versions; without any, an empty frame."""
+def parquet_or_none(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
+    """The Parquet data at a path, or None when the path does not exist."""
+    reader = spark.read.schema(schema) if schema else spark.read
     try:
-        return spark.read.schema(REGISTER_SCHEMA).parquet(f"{root}/_published")
+        return reader.parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], REGISTER_SCHEMA)
+        return None
+
+
+def register(spark: SparkSession, root: str) -> DataFrame:
+    """Published versions; without any, an empty frame."""
+    rows = parquet_or_none(spark, f"{root}/_published", REGISTER_SCHEMA)
+    return spark.createDataFrame([], REGISTER_SCHEMA) if rows is None else rows
 
 
 def current_version(spark: SparkSession, root: str, as_of: Column | None = None) -> tuple[int, str] | None:

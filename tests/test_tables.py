@@ -241,3 +241,16 @@ def test_days_are_written_in_the_asked_number_of_files(spark, raw):
     per_day = FI.list_files(spark, path).groupBy(F.regexp_extract("path", "ingest_day=([^/]+)", 1)).count().collect()
     assert len(per_day) == 4 and all(r["count"] <= 2 for r in per_day)
     assert spark.read.parquet(path).count() == 200
+
+
+def test_partitioned_gold_stages_merges_and_cleans(spark, raw):
+    silver, staging, target = (scratch_path(spark, n) for n in ("silver", "staging", "gold"))
+    clean = P.newest_per_content(raw).where(F.length("content").between(50, 10000))
+    S.create_bronze(clean, silver)
+    first = J.partitioned_gold(spark, silver, staging, target, ntz(AS_OF), days=["2024-01-04"])
+    assert sorted(r.chunk_id for r in first.collect()) == ["5-1", "5-2", "5-3"]
+    assert V.parquet_or_none(spark, staging) is None
+    both = J.partitioned_gold(spark, silver, staging, target, ntz(AS_OF))
+    assert sorted(r.chunk_id for r in both.collect()) == ["2-1", "5-1", "5-2", "5-3"]
+    with pytest.raises(Exception, match="exist"):
+        J.partitioned_gold(spark, scratch_path(spark, "none"), staging, target, ntz(AS_OF))
