@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +19,9 @@ Encoder = Callable[[list[str]], np.ndarray]
 EMBEDDING_DIM = 384
 ENCODE_BATCH = 32
 
-# Rows counted at a time.
+# Rows counted and bytes of text split at a time.
 SLICE_ROWS = 1024
+PART_BYTES = 32 * 1024 * 1024
 
 
 def _once(encode):
@@ -56,27 +57,40 @@ def _word_buckets(texts: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
 def hashed_embedding(c: Column | str, dim: int = EMBEDDING_DIM) -> Column:
     """Counts of the white-space separated, lower-cased words per bucket, scaled to length one.
 
-    Words are split and hashed for a whole batch, then counted a slice of rows
-    at a time, so that the table of counts stays small for wide vectors.
+    Words are split and hashed for a large part of a batch at once, then counted
+    a slice of rows at a time, so that neither long texts nor the table of
+    counts of wide vectors take much memory.
     """
 
     @F.arrow_udf("array<float>")
     def count(texts: pa.Array) -> pa.Array:
-        buckets, sizes = _word_buckets(texts, dim)
-        ends = np.concatenate([[0], np.cumsum(sizes)])
         parts = [pa.array([], pa.list_(pa.float32()))]
-        for start in range(0, len(texts), SLICE_ROWS):
-            n = min(SLICE_ROWS, len(texts) - start)
-            rows = np.repeat(np.arange(n), sizes[start : start + n])
-            flat = rows * (dim + 1) + buckets[ends[start] : ends[start + n]]
-            counts = np.bincount(flat, minlength=n * (dim + 1)).reshape(n, dim + 1)[:, :dim]
-            norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
-            parts.append(_as_list_array(counts / np.where(norms == 0, 1, norms)))
+        for first, last in _parts_by_size(texts):
+            buckets, sizes = _word_buckets(texts.slice(first, last - first), dim)
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            for start in range(0, last - first, SLICE_ROWS):
+                n = min(SLICE_ROWS, last - first - start)
+                rows = np.repeat(np.arange(n), sizes[start : start + n])
+                flat = rows * (dim + 1) + buckets[ends[start] : ends[start + n]]
+                counts = np.bincount(flat, minlength=n * (dim + 1)).reshape(n, dim + 1)[:, :dim]
+                norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+                parts.append(_as_list_array(counts / np.where(norms == 0, 1, norms)))
         return pa.concat_arrays(parts)
 
     return F.when(as_col(c).isNotNull(), _once(count)(F.lower(as_col(c))))
 
 
+def _parts_by_size(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Row ranges that hold at most ``PART_BYTES`` of text, or a single row."""
+    total = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(texts):
+        done = total[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(total, done + PART_BYTES, side="right")))
+        yield first, last
+        first = last
+
+
 def encode_with(c: Column | str, encoder: Encoder, batch: int = ENCODE_BATCH) -> Column:
     """Vectors from any encoder that turns a list of texts into a matrix."""
 

@@ -66,7 +66,7 @@ def vectors_sql(name: str, rows: str, key: str, text: str, dim: int = DIM) -> st
 
 
 def bronze(t: Tables) -> DataFrame:
-    return bronze_from_documents(spread(t.documents))
+    return bronze_from_documents(spread(t.documents, "doc_id"))
 
 
 def silver(t: Tables) -> DataFrame:

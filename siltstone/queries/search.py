@@ -97,7 +97,7 @@ ranked AS (SELECT item_id, doc_id, s, row_number() OVER (PARTITION BY item_id OR
 
 
 def knn(t, k: int):
-    docs = hashed_text(spread(t.documents), "text").select("doc_id", "embedding")
+    docs = hashed_text(spread(t.documents, "doc_id"), "text").select("doc_id", "embedding")
     asked = hashed_text(t.benchmark, "text").select("item_id", F.col("embedding").alias("query_vector"))
     return S.knn_join(asked, docs, k, "item_id", key="doc_id")
 

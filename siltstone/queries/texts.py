@@ -18,7 +18,7 @@ HASH = r"upper(sha256(lower(regexp_replace(text, '^\s+|\s+$', '', 'g'))))"
 
 @query("content_hash", f"SELECT doc_id, {HASH} AS content_hash FROM documents")
 def content_hash(t):
-    return spread(t.documents).select("doc_id", X.content_hash("text").alias("content_hash"))
+    return spread(t.documents, "doc_id").select("doc_id", X.content_hash("text").alias("content_hash"))
 
 
 KEY = "coalesce(CAST({} AS VARCHAR), '_dbt_utils_surrogate_key_null_')"
@@ -90,7 +90,7 @@ def word_count(t):
 FROM (SELECT doc_id, text, n, unnest(range(1, n + 1)) AS i FROM
   (SELECT *, CAST(greatest(1, ceil(length(text) / 1000.0)) AS INTEGER) AS n FROM documents))""")
 def chunk_text_query(t):
-    rows = chunk_text(spread(t.documents), 1000, key="doc_id", text="text")
+    rows = chunk_text(spread(t.documents, "doc_id"), 1000, key="doc_id", text="text")
     return rows.select("doc_id", "chunk_index", "total_chunks", "chunk_id", F.md5("chunk_content").alias("piece"))
 
 
@@ -180,7 +180,7 @@ def array_ops(t):
 
 @query("embed_text", f"WITH {vectors_sql('d', 'documents', 'doc_id', 'text')} SELECT doc_id, bucket, w FROM d")
 def embed_text(t):
-    vectors = spread(t.documents).select("doc_id", hashed_embedding("text", DIM).alias("v"))
+    vectors = spread(t.documents, "doc_id").select("doc_id", hashed_embedding("text", DIM).alias("v"))
     return vectors.select("doc_id", F.posexplode("v").alias("bucket", "w")).where("w <> 0")
 
 

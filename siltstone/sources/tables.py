@@ -31,14 +31,15 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str) -> DataFrame:
     """Give work that is heavy on the CPU one partition per core when a table has fewer splits.
 
     For frames read straight from files, whose number of splits is known from
     the listing.  A table with enough splits, as any large one, is left alone.
+    ``key`` should be nearly unique.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def bronze_from_documents(documents: DataFrame, start: str = "2024-01-01 00:00:00") -> DataFrame:

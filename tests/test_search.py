@@ -156,3 +156,14 @@ def test_pluggable_encoder_gets_batches_and_no_nulls(spark):
     df = spark.createDataFrame([("a",), (None,), ("bbb",), ("cc",), ("",)], "t string").coalesce(1)
     found = [r.v for r in df.select(EN.encode_with("t", lengths, batch=2).alias("v")).collect()]
     assert found == [[1.0, 1.0], None, [3.0, 1.0], [2.0, 1.0], [0.0, 1.0]]
+
+
+def test_parts_hold_all_rows_once():
+    import pyarrow as pa
+
+    texts = pa.array(["a" * n for n in (5, 3, 20, 1, 1, 0)] + [None, "zz"])
+    EN_bytes, EN.PART_BYTES = EN.PART_BYTES, 8
+    try:
+        assert list(EN._parts_by_size(texts)) == [(0, 2), (2, 3), (3, 8)]
+    finally:
+        EN.PART_BYTES = EN_bytes
