@@ -303,20 +303,20 @@ def _(t):
 
 
 @query("expect_row_values_to_have_data_for_every_n_datepart", """SELECT CAST(d AS VARCHAR) AS date_day, true AS is_missing, 0::BIGINT AS row_cnt FROM (
-  SELECT unnest(generate_series(CAST(min(o_orderdate) AS DATE)::TIMESTAMP, CAST(max(o_orderdate) AS DATE)::TIMESTAMP - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d FROM orders WHERE o_totalprice > 400000)
-WHERE d NOT IN (SELECT date_trunc('day', o_orderdate) FROM orders WHERE o_totalprice > 400000) AND d < TIMESTAMP '2000-01-01'""")
+  SELECT unnest(generate_series(CAST(min(o_orderdate) AS DATE)::TIMESTAMP, CAST(max(o_orderdate) AS DATE)::TIMESTAMP - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d FROM orders WHERE o_totalprice > 495000)
+WHERE d NOT IN (SELECT date_trunc('day', o_orderdate) FROM orders WHERE o_totalprice > 495000) AND d < TIMESTAMP '2000-01-01'""")
 def _(t):
     return E.expect_row_values_to_have_data_for_every_n_datepart(
-        t.orders, "o_orderdate", "day", "o_totalprice > 400000", "date_day < timestamp_ntz'2000-01-01'"
+        t.orders, "o_orderdate", "day", "o_totalprice > 495000", "date_day < timestamp_ntz'2000-01-01'"
     )
 
 
 @query("expect_data_for_every_third_hour", """SELECT CAST(d AS VARCHAR) AS date_hour, true AS is_missing, 0::BIGINT AS row_cnt FROM (
   SELECT unnest(generate_series(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-28 23:00:00', INTERVAL 3 HOUR)) AS d)
-WHERE NOT EXISTS (SELECT 1 FROM events WHERE value > 100 AND date_trunc('hour', ts) >= d AND date_trunc('hour', ts) < d + INTERVAL 3 HOUR)""")
+WHERE NOT EXISTS (SELECT 1 FROM events WHERE value > 250 AND date_trunc('hour', ts) >= d AND date_trunc('hour', ts) < d + INTERVAL 3 HOUR)""")
 def _(t):
     return E.expect_row_values_to_have_data_for_every_n_datepart(
-        t.events, "ts", "hour", "value > 100", interval=3, test_start_date="2024-01-02", test_end_date="2024-01-29"
+        t.events, "ts", "hour", "value > 250", interval=3, test_start_date="2024-01-02", test_end_date="2024-01-29"
     )
 
 
