@@ -38,6 +38,15 @@ def read_state(spark: SparkSession, state_path: str) -> DataFrame:
     return spark.read.parquet(state_path).drop("batch")
 
 
+def compact_state(spark: SparkSession, state_path: str, target_path: str) -> None:
+    """Start a new state that holds only the newest row per hash of an old one.
+
+    It stands before every later batch, so batches go on being added to it.
+    """
+    newest = deduplicate(read_state(spark, state_path), ["content_hash"], [F.desc("ingested_at"), F.desc("id")])
+    newest.write.mode("error").parquet(f"{target_path}/batch=-1")
+
+
 def silver_from_state(
     state: DataFrame, as_of: Column, min_len: int = MIN_LENGTH, max_len: int = MAX_LENGTH
 ) -> DataFrame:

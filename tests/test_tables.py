@@ -254,3 +254,13 @@ def test_partitioned_gold_stages_merges_and_cleans(spark, raw):
     assert sorted(r.chunk_id for r in both.collect()) == ["2-1", "5-1", "5-2", "5-3"]
     with pytest.raises(Exception, match="exist"):
         J.partitioned_gold(spark, scratch_path(spark, "none"), staging, target, ntz(AS_OF))
+
+
+def test_compacted_state_gives_the_same_table_and_takes_batches(spark, raw, rows):
+    old, new = scratch_path(spark, "old"), scratch_path(spark, "new")
+    I.add_batch(raw.where("id < '2'"), old, 0)
+    I.add_batch(raw.where("id in ('2', '3')"), old, 1)
+    I.compact_state(spark, old, new)
+    assert I.read_state(spark, old).count() == 3 and I.read_state(spark, new).count() == 2
+    I.add_batch(raw.where("id > '3'"), new, 2)
+    assert rows(I.silver_from_state(I.read_state(spark, new), ntz(AS_OF))) == rows(P.silver_documents(raw, ntz(AS_OF)))
