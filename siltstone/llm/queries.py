@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from siltstone.llm.exact_dedup import copy_groups
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
+from siltstone.llm.secrets import secret_report
+from siltstone.llm.shards import shard_documents
 
 
 @query("op2_exact_dedup", """
@@ -16,5 +18,15 @@ def op2(spark, folder):
     return copy_groups(table(spark, folder, "documents"))
 
 
+@query("op4_secret_scan")
+def op4(spark, folder):
+    return secret_report(table(spark, folder, "documents"))
+
+
+@query("op8_sharding")
+def op8(spark, folder):
+    return shard_documents(table(spark, folder, "documents"))
+
+
 def load() -> tuple[dict, dict]:
     return QUERIES, ORACLES
