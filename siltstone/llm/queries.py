@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from siltstone.llm.exact_dedup import copy_groups
+from siltstone.llm.packing import pack
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
 from siltstone.llm.secrets import secret_report
 from siltstone.llm.shards import shard_documents
 
+# Where the public vocabularies lie, unless the caller says otherwise.
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op1_best_fit_packing")
+def op1(spark, folder):
+    return pack(table(spark, folder, "documents"), WORD_TOKENIZER)
+
 
 @query("op2_exact_dedup", """
 WITH hashed AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
