@@ -26,6 +26,7 @@ from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,7 @@ BUCKETS = 256
 OUT_ROWS = 8192
 
 
+@lru_cache(maxsize=1)
 def word_encoder(path: str) -> UnitTable:
     """Ids by the tokenizers library. Chunks between blanks never share a token in a tokenizer that drops white space."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -6,6 +6,7 @@ import public_tokenizers
 
 from siltstone.llm.exact_dedup import copy_groups
 from siltstone.llm.packing import pack
+from siltstone.llm.pieces import round_trip
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
 from siltstone.llm.secrets import secret_report
 from siltstone.llm.shards import shard_documents
@@ -40,5 +41,10 @@ def op8(spark, folder):
     return shard_documents(table(spark, folder, "documents"))
 
 
+@query("op9_sentencepiece")
+def op9(spark, folder):
+    return round_trip(table(spark, folder, "documents"), PIECE_MODEL)
+
+
 def load() -> tuple[dict, dict]:
     return QUERIES, ORACLES

@@ -12,46 +12,62 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 
-# Distinct units a task remembers; when there are more it starts afresh. Longer units are not remembered.
+# Distinct units of a generation; a process remembers two. Longer units are not remembered.
 MOST_UNITS = 1 << 18
 LONGEST_UNIT = 128
 # Characters of a text split at a time, up to the next place where units part.
 SLICE = 1 << 20
 
 
-class UnitTable:
-    """Flat ids of remembered units and where each unit's ids lie."""
-
-    def __init__(self, units: re.Pattern, parting: re.Pattern, encode: Callable[[list[str]], list[list[int]]]):
-        self.units, self.parting, self.encode_units = units, parting, encode
-        self._forget()
+class Generation:
+    """Flat ids of remembered units, and where each unit's ids lie."""
 
-    def _forget(self) -> None:
+    def __init__(self):
         self.codes: dict[str, int] = {}
         self.ids = np.empty(1 << 16, np.int32)
         self.starts = np.zeros(1 << 12, np.int64)
 
-    def _learn(self, units: list[str]) -> None:
-        first = len(self.codes)
-        end = int(self.starts[first])
-        for unit, ids in zip(units, self.encode_units(units)):
-            if first + 2 > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            while end + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-            self.ids[end : end + len(ids)] = ids
-            self.codes[unit] = first
-            end += len(ids)
-            first += 1
-            self.starts[first] = end
+    def add(self, unit: str, ids) -> None:
+        code = len(self.codes)
+        start = int(self.starts[code])
+        end = start + len(ids)
+        if code + 2 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        while end > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        self.ids[start:end] = ids
+        self.starts[code + 1] = end
+        self.codes[unit] = code
+
+    def ids_of(self, code: int) -> np.ndarray:
+        return self.ids[self.starts[code] : self.starts[code + 1]]
+
+
+class UnitTable:
+    """Ids of texts by their units. A full generation becomes the old one; units met again move to the new one."""
+
+    def __init__(self, units: re.Pattern, parting: re.Pattern, encode: Callable[[list[str]], list[list[int]]]):
+        self.units, self.parting, self.encode_units = units, parting, encode
+        self.new, self.old = Generation(), Generation()
 
     def _codes_of(self, units: list[str]) -> list[int]:
-        codes = list(map(self.codes.get, units))
-        if None in codes:
-            new = list(dict.fromkeys(u for u, c in zip(units, codes) if c is None))
-            self._learn(new)
-            codes = list(map(self.codes.__getitem__, units))
-        return codes
+        codes = list(map(self.new.codes.get, units))
+        if None not in codes:
+            return codes
+        if len(self.new.codes) > MOST_UNITS:
+            self.new, self.old = Generation(), self.new
+            return self._codes_of(units)
+        missing = list(dict.fromkeys(u for u, c in zip(units, codes) if c is None))
+        unmet = []
+        for unit in missing:
+            code = self.old.codes.get(unit)
+            if code is None:
+                unmet.append(unit)
+            else:
+                self.new.add(unit, self.old.ids_of(code))
+        for unit, ids in zip(unmet, self.encode_units(unmet)):
+            self.new.add(unit, ids)
+        return list(map(self.new.codes.__getitem__, units))
 
     def _slice_ids(self, text: str) -> Iterator[np.ndarray]:
         units = self.units.findall(text)
@@ -72,11 +88,9 @@ class UnitTable:
             yield self._gather(units)
 
     def _gather(self, units: list[str]) -> np.ndarray:
-        if len(self.codes) > MOST_UNITS:
-            self._forget()
         codes = np.array(self._codes_of(units))
-        starts = self.starts[codes]
-        return self.ids[spans_of(starts, self.starts[codes + 1] - starts)]
+        starts = self.new.starts[codes]
+        return self.new.ids[spans_of(starts, self.new.starts[codes + 1] - starts)]
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text, which is split a slice at a time."""
