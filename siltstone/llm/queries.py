@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from siltstone.llm.exact_dedup import copy_groups
+from siltstone.llm.fingerprints import fingerprints
 from siltstone.llm.packing import pack
 from siltstone.llm.pieces import round_trip
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
@@ -46,5 +47,10 @@ def op9(spark, folder):
     return round_trip(table(spark, folder, "documents"), PIECE_MODEL)
 
 
+@query("op10_fingerprints")
+def op10(spark, folder):
+    return fingerprints(table(spark, folder, "documents"))
+
+
 def load() -> tuple[dict, dict]:
     return QUERIES, ORACLES
