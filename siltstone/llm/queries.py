@@ -11,6 +11,7 @@ from siltstone.llm.pieces import round_trip
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
 from siltstone.llm.secrets import secret_report
 from siltstone.llm.shards import shard_documents
+from siltstone.llm.simhash import near_groups
 
 # Where the public vocabularies lie, unless the caller says otherwise.
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -52,5 +53,10 @@ def op10(spark, folder):
     return fingerprints(table(spark, folder, "documents"))
 
 
+@query("op7_simhash_near_dedup")
+def op7(spark, folder):
+    return near_groups(table(spark, folder, "documents"))
+
+
 def load() -> tuple[dict, dict]:
     return QUERIES, ORACLES
