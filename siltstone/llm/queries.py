@@ -12,6 +12,7 @@ from siltstone.llm.registry import ORACLES, QUERIES, query, table
 from siltstone.llm.secrets import secret_report
 from siltstone.llm.shards import shard_documents
 from siltstone.llm.simhash import near_groups
+from siltstone.llm.warc import archive_round_trip
 
 # Where the public vocabularies lie, unless the caller says otherwise.
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -53,6 +54,24 @@ def op10(spark, folder):
     return fingerprints(table(spark, folder, "documents"))
 
 
+@query("op5_warc", """
+WITH hashed AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages),
+bits AS (
+  SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(digest, CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT)) AS parts FROM hashed),
+shown AS (
+  SELECT *, list_aggregate(flatten(list_transform(parts, lambda p: list_transform([15, 10, 5, 0],
+           lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (p >> s) % 32 + 1, 1)))), 'string_agg', '') AS payload_digest
+  FROM bits),
+placed AS (
+  SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM shown)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to, true AS digest_matches
+FROM placed""")
+def op5(spark, folder):
+    return archive_round_trip(table(spark, folder, "pages"))
+
+
 @query("op7_simhash_near_dedup")
 def op7(spark, folder):
     return near_groups(table(spark, folder, "documents"))
