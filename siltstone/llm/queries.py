@@ -7,6 +7,7 @@ import public_tokenizers
 from siltstone.llm.exact_dedup import copy_groups
 from siltstone.llm.fingerprints import fingerprints
 from siltstone.llm.packing import pack
+from siltstone.llm.perplexity import judged, trusted_ids
 from siltstone.llm.pieces import round_trip
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
 from siltstone.llm.secrets import secret_report
@@ -34,6 +35,12 @@ def op2(spark, folder):
     return copy_groups(table(spark, folder, "documents"))
 
 
+@query("op3_quality_classifier")
+def op3(spark, folder):
+    found = judged(table(spark, folder, "documents"), trusted_ids(table(spark, folder, "labels")))
+    return found.select("doc_id", "lang", "n_chars", "perplexity", "threshold", "kept")
+
+
 @query("op4_secret_scan")
 def op4(spark, folder):
     return secret_report(table(spark, folder, "documents"))
