@@ -9,6 +9,7 @@ from siltstone.llm.fingerprints import fingerprints
 from siltstone.llm.packing import pack
 from siltstone.llm.perplexity import judged, trusted_ids
 from siltstone.llm.pieces import round_trip
+from siltstone.llm.pii import personal_data
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
 from siltstone.llm.secrets import secret_report
 from siltstone.llm.shards import shard_documents
@@ -79,6 +80,11 @@ def op5(spark, folder):
     return archive_round_trip(table(spark, folder, "pages"))
 
 
+@query("op6_personal_data")
+def op6(spark, folder):
+    return personal_data(table(spark, folder, "documents"))
+
+
 @query("op7_simhash_near_dedup")
 def op7(spark, folder):
     return near_groups(table(spark, folder, "documents"))
