@@ -30,34 +30,79 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.llm.keys import numbered
-from siltstone.llm.units import UnitTable
+from siltstone.llm.units import UnitTable, parts_by_size
 from siltstone.session import settle
 
 CAPACITY = 2048
 END_ID = 0
 # Buckets in which pieces of one length are numbered.
 BUCKETS = 256
-# Output rows handed to Spark at a time.
-OUT_ROWS = 8192
 
 
-@lru_cache(maxsize=1)
-def word_encoder(path: str) -> UnitTable:
-    """Ids by the tokenizers library. Chunks between blanks never share a token in a tokenizer that drops white space."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
+# Letters up to a blank or a sign after which no word, contraction or special token of the tokenizer can go on.
+WORD = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+UNITS = re.compile(WORD + r"(?![^ \t\r\n.,;:!?#$%&*()])|[^ \t\r\n]+")
+LATIN = re.compile("[\x00-\xff]*")
+# Words encoded as one text.
+WORDS_AT_ONCE = 512
+
+
+class WordEncoder:
+    """Ids by the tokenizers library, for a tokenizer that lowers case, drops blanks and marks the ends of words."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends_word[i] = token.endswith("</w>")
+        self.table = UnitTable(self._unit_ids, self._units)
+
+    def _each(self, units: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+
+    def _unit_ids(self, units: list[str]) -> list[list[int]]:
+        """Plain words are encoded many at a time and parted at the ends of words; other units one by one."""
+        is_word = [re.fullmatch(WORD, u) is not None for u in units]
+        words = [u for u, w in zip(units, is_word) if w]
+        found: list[list[int]] = []
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            part = words[at : at + WORDS_AT_ONCE]
+            ids = self._each([" ".join(part)])[0]
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+            found += [ids[a:b] for a, b in zip([0, *ends], ends)] if len(ends) == len(part) else self._each(part)
+        of_words, of_others = iter(found), iter(self._each([u for u, w in zip(units, is_word) if not w]))
+        return [next(of_words if w else of_others) for w in is_word]
+
+    def _units(self, chunk: str) -> list[str]:
+        if chunk.isascii() and chunk.isalpha():
+            return [chunk]
+        if "<|" not in chunk and LATIN.fullmatch(chunk):
+            chunk = chunk.lower()
+        return UNITS.findall(chunk)
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of whole texts. Chunks between blanks never share a token in a tokenizer that drops white space.
+
+        Lower case makes fewer chunks; it is left to the tokenizer where it could make or hide a special token.
+        """
+        texts = texts.fill_null("")
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        return self.table.encode(pc.ascii_split_whitespace(texts))
 
-    def encode(chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
-    return UnitTable(re.compile(r"[^ \t\r\n]+"), re.compile(r"[ \t\r\n]"), encode)
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of this process: later tasks find the units that earlier ones have met."""
+    return WordEncoder(path)
 
 
 def cut(ids: np.ndarray, capacity: int) -> Iterator[tuple[int, int, int, int]]:
@@ -79,15 +124,12 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
         for batch in batches:
-            at, found = [], []
-            for i, text in enumerate(batch.column("text")):
-                for piece in cut(encoder.encode(text.as_py() or ""), capacity):
-                    at.append(i)
-                    found.append(piece)
-                if len(found) >= OUT_ROWS:
-                    yield _rows(batch, at, found)
-                    at, found = [], []
-            if found:
+            for first, last in parts_by_size(batch.column("text")):
+                at, found = [], []
+                for i, ids in enumerate(encoder.encode(batch.column("text").slice(first, last - first)), first):
+                    for piece in cut(ids, capacity):
+                        at.append(i)
+                        found.append(piece)
                 yield _rows(batch, at, found)
 
     def _rows(batch: pa.RecordBatch, at: list[int], found: list[tuple]) -> pa.RecordBatch:

@@ -29,13 +29,17 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from siltstone.llm.units import ByteTable, UnitTable
+from siltstone.llm.units import ByteTable, UnitTable, parts_by_size
 
 # Fixed value: the sign that stands for a blank in pieces.
 BLANK = "▁"
+# A text's units where blanks may stand together or at its end.
+UNITS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 # Pairs of tokens whose compatibility a task remembers.
 MOST_PAIRS = 1 << 20
 # Probe texts that a model with identity normalisation, a leading blank and kept blanks encodes without loss.
@@ -84,8 +88,7 @@ class PieceModel:
         self.known_pairs = 0
         self.spoken = ByteTable(spoken)
         self.numbers = ByteTable([b"%d," % i for i in range(model.vocab_size())])
-        self.table = UnitTable(
-            re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+"), re.compile(f"(?<=[^{BLANK}]){BLANK}"), lambda units: [self.unit_ids(u) for u in units])
+        self.table = UnitTable(lambda units: [self.unit_ids(u) for u in units])
 
     def merged(self, text: str) -> list[str]:
         """Tokens of a short text by the merging rule itself."""
@@ -149,8 +152,19 @@ class PieceModel:
                 backwards.append(self.id_of[token])
         return backwards[::-1]
 
-    def encode(self, text: str) -> np.ndarray:
-        return self.table.encode(BLANK + text.replace(" ", BLANK)) if text else np.empty(0, np.int32)
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of whole texts. With a blank before it and for every blank in it, a text is a row of units."""
+        marked = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(BLANK, pc.replace_substring(texts, " ", BLANK), ""))
+        single = pc.invert(pc.match_substring_regex(marked, f"{BLANK}{BLANK}|{BLANK}$|^$"))
+        # Where blanks stand alone, units are what lies between them, but for the blank that each begins with.
+        units = pc.split_pattern(pc.utf8_slice_codeunits(marked, 1), BLANK)
+        if pc.all(single).as_py() is not False:
+            return self.table.encode(pa.ListArray.from_arrays(units.offsets, pc.binary_join_element_wise(BLANK, units.values, "")))
+        parted = [
+            [BLANK + w for w in words] if alone else UNITS.findall(text)
+            for text, words, alone in zip(marked.to_pylist(), units.to_pylist(), single.to_pylist())
+        ]
+        return self.table.encode(pa.array(parted, pa.list_(pa.string())))
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of any ids: blanks for their sign, without the leading one; each wrong byte becomes U+FFFD."""
@@ -201,28 +215,17 @@ def round_trip(docs: DataFrame, model: str) -> DataFrame:
     ])
 
 
-# Tokens in an output batch, where ids are returned.
-OUT_VALUES = 1 << 20
-OUT_ROWS = 4096
-
-
 def _each_text(docs: DataFrame, model: str, result, fields: list[T.StructField]) -> DataFrame:
-    from pyspark.sql.pandas.types import to_arrow_type
-
     schema = T.StructType([docs.schema["doc_id"], *fields])
     types = [to_arrow_type(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = piece_model(model)
         for batch in batches:
-            first, found, held = 0, [], 0
-            for i, text in enumerate(batch.column("text")):
-                ids = pieces.encode(text.as_py() or "")
-                found.append(result(pieces, ids))
-                held += len(ids)
-                if i + 1 == batch.num_rows or len(found) >= OUT_ROWS or held >= OUT_VALUES:
-                    columns = [pa.array(values, kind) for values, kind in zip(zip(*found), types)]
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, len(found)), *columns], names=schema.names)
-                    first, found, held = i + 1, [], 0
+            for first, last in parts_by_size(batch.column("text")):
+                part = batch.slice(first, last - first)
+                found = [result(pieces, ids) for ids in pieces.encode(part.column("text").fill_null(""))]
+                columns = [pa.array(values, kind) for values, kind in zip(zip(*found), types)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)

@@ -1,22 +1,51 @@
-"""Token ids of texts by way of their separate units, each distinct unit encoded once.
+"""Token ids of texts by way of their separate words, each distinct word of a batch looked up once.
 
-Both tokenizers here treat a text as units that never share a token. A task
-keeps the ids of the units that it has met in one flat table of bounded size,
-so a text is a sequence of look-ups.
+Both tokenizers here treat a text as units that never share a token. A process
+keeps the ids of units that it has met in tables of bounded size, so that most
+of the work on a text is to part it into words and to look these up.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-# Distinct units of a generation; a process remembers two. Longer units are not remembered.
+# Distinct units, and their ids, from which a generation is full; a process remembers two.
 MOST_UNITS = 1 << 18
-LONGEST_UNIT = 128
-# Characters of a text split at a time, up to the next place where units part.
-SLICE = 1 << 20
+MOST_IDS = 1 << 22
+# Bytes of text whose words are parted at a time.
+PART_BYTES = 16 << 20
+
+
+def spans_of(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places starts[0], starts[0] + 1, ... of every span, one span after another."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def sums_of(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of so many consecutive values each."""
+    ends = np.cumsum(counts)
+    totals = np.append(0, np.cumsum(values))
+    return totals[ends] - totals[ends - counts]
+
+
+def parts_by_size(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of up to PART_BYTES of text, one row at least."""
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    first, held = 0, 0
+    for i, size in enumerate(sizes):
+        if held and held + size > PART_BYTES:
+            yield first, i
+            first, held = i, 0
+        held += int(size) + 1
+    if len(sizes):
+        yield first, len(sizes)
 
 
 class Generation:
@@ -27,89 +56,73 @@ class Generation:
         self.ids = np.empty(1 << 16, np.int32)
         self.starts = np.zeros(1 << 12, np.int64)
 
-    def add(self, unit: str, ids) -> None:
-        code = len(self.codes)
-        start = int(self.starts[code])
-        end = start + len(ids)
-        if code + 2 > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        while end > len(self.ids):
+    def end(self) -> int:
+        return int(self.starts[len(self.codes)])
+
+    def full(self) -> bool:
+        return len(self.codes) > MOST_UNITS or self.end() > MOST_IDS
+
+    def add(self, units: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """New units with their ids one after another."""
+        first, end = len(self.codes), self.end()
+        while end + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        self.ids[start:end] = ids
-        self.starts[code + 1] = end
-        self.codes[unit] = code
+        while first + len(units) + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        self.ids[end : end + len(ids)] = ids
+        self.starts[first + 1 : first + 1 + len(units)] = end + np.cumsum(lengths)
+        self.codes.update(zip(units, range(first, first + len(units))))
 
-    def ids_of(self, code: int) -> np.ndarray:
-        return self.ids[self.starts[code] : self.starts[code + 1]]
+    def ids_of(self, codes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units one after another, and how many each has."""
+        codes = np.array(codes, np.int64)
+        starts = self.starts[codes]
+        lengths = self.starts[codes + 1] - starts
+        return self.ids[spans_of(starts, lengths)], lengths
 
 
 class UnitTable:
-    """Ids of texts by their units. A full generation becomes the old one; units met again move to the new one."""
+    """Ids of words by their units. A full generation becomes the old one; units met again move to the new one.
+
+    ``encode`` gives the ids of units that are new, ``units`` parts a word unless words are units.
+    """
 
-    def __init__(self, units: re.Pattern, parting: re.Pattern, encode: Callable[[list[str]], list[list[int]]]):
-        self.units, self.parting, self.encode_units = units, parting, encode
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], units: Callable[[str], list[str]] | None = None):
+        self.units, self.encode_units = units, encode
         self.new, self.old = Generation(), Generation()
 
-    def _codes_of(self, units: list[str]) -> list[int]:
-        codes = list(map(self.new.codes.get, units))
-        if None not in codes:
-            return codes
-        if len(self.new.codes) > MOST_UNITS:
+    def _learn(self, units: list[str]) -> None:
+        known = [u for u in units if u in self.old.codes]
+        self.new.add(known, *self.old.ids_of([self.old.codes[u] for u in known]))
+        unmet = [u for u in units if u not in self.old.codes]
+        found = self.encode_units(unmet)
+        lengths = np.array([len(x) for x in found], np.int64)
+        self.new.add(unmet, np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())), lengths)
+
+    def _distinct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words one after another, and how many each has."""
+        if self.new.full():
             self.new, self.old = Generation(), self.new
-            return self._codes_of(units)
-        missing = list(dict.fromkeys(u for u, c in zip(units, codes) if c is None))
-        unmet = []
-        for unit in missing:
-            code = self.old.codes.get(unit)
-            if code is None:
-                unmet.append(unit)
-            else:
-                self.new.add(unit, self.old.ids_of(code))
-        for unit, ids in zip(unmet, self.encode_units(unmet)):
-            self.new.add(unit, ids)
-        return list(map(self.new.codes.__getitem__, units))
-
-    def _slice_ids(self, text: str) -> Iterator[np.ndarray]:
-        units = self.units.findall(text)
-        if not units:
-            return
-        if max(map(len, units)) > LONGEST_UNIT:
-            pending: list[str] = []
-            for unit in units:
-                if len(unit) <= LONGEST_UNIT:
-                    pending.append(unit)
-                    continue
-                if pending:
-                    yield self._gather(pending)
-                    pending = []
-                yield np.array(self.encode_units([unit])[0], np.int32)
-            units = pending
-        if units:
-            yield self._gather(units)
-
-    def _gather(self, units: list[str]) -> np.ndarray:
-        codes = np.array(self._codes_of(units))
-        starts = self.new.starts[codes]
-        return self.new.ids[spans_of(starts, self.new.starts[codes + 1] - starts)]
-
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a whole text, which is split a slice at a time."""
-        parts, at = [], 0
-        while at < len(text):
-            end = len(text)
-            if end - at > SLICE:
-                cut = self.parting.search(text, at + SLICE)
-                end = cut.start() if cut else end
-            parts += self._slice_ids(text[at:end])
-            at = end
-        return np.concatenate(parts) if parts else np.empty(0, np.int32)
-
-
-def spans_of(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The places starts[0], starts[0] + 1, ... of every span, one span after another."""
-    ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
+        parted = [self.units(w) for w in words] if self.units else None
+        units = words if parted is None else list(chain.from_iterable(parted))
+        codes = list(map(self.new.codes.get, units))
+        if None in codes:
+            missing = [i for i, c in enumerate(codes) if c is None]
+            self._learn(list(dict.fromkeys(units[i] for i in missing)))
+            for i in missing:
+                codes[i] = self.new.codes[units[i]]
+        ids, lengths = self.new.ids_of(codes)
+        return ids, lengths if parted is None else sums_of(lengths, np.array([len(p) for p in parted], np.int64))
+
+    def encode(self, words: pa.ListArray) -> list[np.ndarray]:
+        """Ids of every text, given as its words."""
+        counts = words.value_lengths().to_numpy()
+        coded = words.flatten().dictionary_encode()
+        ids, lengths = self._distinct(coded.dictionary.to_pylist())
+        at = coded.indices.to_numpy()
+        each = lengths[at]
+        flat = ids[spans_of((np.cumsum(lengths) - lengths)[at], each)]
+        return np.split(flat, np.cumsum(sums_of(each, counts))[:-1]) if len(counts) else []
 
 
 class ByteTable:

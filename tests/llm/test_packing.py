@@ -5,12 +5,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from siltstone.llm.packing import best_fit, pack, plan, plan_table, reduce_by_dominance
+from siltstone.llm.packing import WordEncoder, best_fit, pack, plan, plan_table, reduce_by_dominance
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -70,8 +71,21 @@ def test_best_fit_takes_the_fullest_place():
     assert sorted(b.holds for b in bins) == [((5, 1),), ((6, 1), (4, 1))]
 
 
+LIBRARY = Tokenizer.from_file(PATH)
+OWN = WordEncoder(PATH)
+
+
 def tokens(text):
-    return [*Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids, 0]
+    return [*LIBRARY.encode(text, add_special_tokens=False).ids, 0]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.one_of(
+    st.sampled_from([" ", "'", "'s", "'LL", "don't", "<|endoftext|>", "<|STARTOFTEXT|>", ".", "***", "Éa", "E\u0301", "\u0301", "ß", "\u00b5",
+                     "A", "word", "İ", "Σ", "\x85", "\xa0", "\n", "12", "ａ", "語", "the"]),
+    st.text(st.characters(codec="utf-8"), max_size=3)), max_size=12).map("".join))
+def test_ids_are_the_librarys(text):
+    assert [x.tolist() for x in OWN.encode(pa.array([text, None, "the " + text]))] == [tokens(t)[:-1] for t in (text, "", "the " + text)]
 
 
 TEXTS = [None, "", " ", "Hello, world's end\tÉé Ünïcode 12345 !!!", "a<|endoftext|>b <|startoftext|>", "word " * 5000, "x" * 3000,
