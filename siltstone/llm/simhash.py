@@ -9,11 +9,12 @@ bits over three segments, the two segments that differ least have at most two
 together, so fingerprints that are to be linked share a key of both in one of
 the three pairs of segments. Keys are joined and the distance verified.
 
-Equal fingerprints are one node. In a first step all members of a key are only
-compared with its smallest member, which already connects most of a dense group
-without its pairs; in a second step members of a key are compared with each
-other where they are not connected yet. So no link that joins two groups is
-lost, and a dense group never becomes all its pairs.
+Equal fingerprints are one node. Keys are shuffled once and read in order; the
+members of a key are compared with each other, and of the links found only as
+many are kept as connect the same members, so a dense group never becomes all
+its pairs. A key with more than LONG_RUN members is not held by a task: its
+members are first compared with the smallest one, then, by a join, with those
+that they are not connected to yet. No link that joins two groups is lost.
 
 Defined results: null counts as empty; a text without words has fingerprint
 zero; rows with equal ids are separate rows; null ids lose against any other as
@@ -43,6 +44,9 @@ SEED = 42
 # Hashes whose bits are counted at a time.
 PART = 1 << 14
 
+# Members of a key up to which all pairs are compared at once, and from which a task does not hold them.
+SHORT_RUN, LONG_RUN = 64, 8192
+
 # Fixed value: the generator polynomial of the binary Golay code of length 23.
 GENERATOR = 0b101011100011
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
@@ -157,18 +161,112 @@ def _close(a: Column, b: Column, bits: int) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= bits
 
 
+def _pairs_of_runs(keys: np.ndarray, prints: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of close fingerprints with equal keys; keys are in order."""
+    found = []
+    at, step = np.arange(len(keys)), 1
+    while len(at):
+        at = at[at + step < len(keys)]
+        at = at[keys[at] == keys[at + step]]
+        close = at[np.bitwise_count(prints[at] ^ prints[at + step]) <= bits]
+        found.append((close, close + step))
+        step += 1
+    left, right = zip(*found) if found else ((), ())
+    return np.concatenate([[], *left]).astype(np.int64), np.concatenate([[], *right]).astype(np.int64)
+
+
+def _forest(prints: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(place, places linked to it): enough links to connect what all close pairs would."""
+    left = np.arange(len(prints))
+    while len(left):
+        reached, left = [int(left[0])], left[1:]
+        while reached and len(left):
+            at = reached.pop()
+            close = np.bitwise_count(prints[left] ^ prints[at]) <= bits
+            if close.any():
+                yield at, left[close]
+                reached += left[close].tolist()
+                left = left[~close]
+
+
+def links_of_run_rows(keys: np.ndarray, prints: np.ndarray, bits: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of whole runs of equal keys. Those longer than ``longest``, or with more close pairs than members, give a forest."""
+    prints = prints.view(np.uint64)  # numpy counts the bits of a negative number's magnitude
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+    sizes = np.diff(starts, append=len(keys))
+    run = np.repeat(np.arange(len(starts)), sizes)
+    short = sizes <= longest
+    places = np.flatnonzero(short[run])
+    i, j = _pairs_of_runs(keys[places], prints[places], bits)
+    i, j = places[i], places[j]
+    dense = np.bincount(run[i], minlength=len(starts)) > sizes
+    sparse = ~dense[run[i]]
+    a, b = [prints[i[sparse]]], [prints[j[sparse]]]
+    for r in np.flatnonzero(dense | ~short):
+        mine = prints[starts[r] : starts[r] + sizes[r]]
+        for at, linked in _forest(mine, bits):
+            a.append(np.full(len(linked), mine[at]))
+            b.append(mine[linked])
+    return np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64)
+
+
+def key_links(keys: DataFrame, bits: int) -> DataFrame:
+    """(hot, a, b), written once: links (a, b) of fingerprints within keys, or (key, fingerprint) of long runs.
+
+    Keys are sorted within their task and read as a stream. A key with more
+    than LONG_RUN fingerprints is not held but handed on row by row.
+    """
+    short_run, long_run = SHORT_RUN, LONG_RUN
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(keys: np.ndarray, prints: np.ndarray, hot: bool) -> pa.RecordBatch:
+            if not hot:
+                pair = np.unique(np.stack(links_of_run_rows(keys, prints, bits, short_run), axis=1), axis=0)
+                keys, prints = pair[:, 0], pair[:, 1]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(keys), hot)), pa.array(keys.astype(np.int64)), pa.array(prints)], names=["hot", "a", "b"])
+
+        held_keys, held_prints, long_key = np.empty(0, np.int32), np.empty(0, np.int64), None
+        for batch in batches:
+            held_keys = np.append(held_keys, batch.column("key").to_numpy())
+            held_prints = np.append(held_prints, batch.column("print").to_numpy())
+            if not len(held_keys):
+                continue
+            if long_key is not None:
+                end = np.searchsorted(held_keys, long_key, side="right")
+                yield links(held_keys[:end], held_prints[:end], True)
+                held_keys, held_prints = held_keys[end:], held_prints[end:]
+                if not len(held_keys):
+                    continue
+                long_key = None
+            last = np.searchsorted(held_keys, held_keys[-1], side="left")
+            yield links(held_keys[:last], held_prints[:last], False)
+            held_keys, held_prints = held_keys[last:], held_prints[last:]
+            if len(held_keys) > long_run:
+                long_key = held_keys[-1]
+                yield links(held_keys, held_prints, True)
+                held_keys, held_prints = held_keys[:0], held_prints[:0]
+        yield links(held_keys, held_prints, False)
+
+    return settle(keys.repartition("key").sortWithinPartitions("key").mapInArrow(run, "hot boolean, a long, b long"))
+
+
 def linked_prints(nodes: DataFrame, bits: int) -> DataFrame:
     """(node, label): fingerprints that have a link, with the smallest that can be reached.
 
     ``nodes`` are distinct fingerprints.
     """
-    keys = keyed(nodes)
-    shared = keys.groupBy("key").agg(F.min("print").alias("least"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    members = settle(keys.join(shared.select("key", "least"), "key"))
-    first = members.where((F.col("print") != F.col("least")) & _close(F.col("print"), F.col("least"), bits)).select(
-        F.col("print").alias("a"), F.col("least").alias("b"))
-    groups = components(first)
-    # The members of a key that are not connected yet.
+    found = key_links(keyed(nodes), bits)
+    links = found.where("not hot").select("a", "b")
+    members = found.where("hot").select(F.col("a").alias("key"), F.col("b").alias("print"))
+    if members.limit(1).count() == 0:
+        return components(links)
+    # Long runs: first every member with the smallest, then those that are not connected yet with each other.
+    least = members.groupBy("key").agg(F.min("print").alias("least"), F.count(F.lit(1)).alias("_n"))
+    star = join_facts(members, least, ["key"], "_n", members.count()).where(
+        (F.col("print") != F.col("least")) & _close(F.col("print"), F.col("least"), bits)
+    ).select(F.col("print").alias("a"), F.col("least").alias("b"))
+    groups = components(links.unionByName(star))
     labelled = members.join(groups.withColumnRenamed("node", "print"), "print", "left").select(
         "key", "print", F.coalesce("label", "print").alias("label"))
     left = labelled.select("key", F.col("print").alias("a"), F.col("label").alias("label_a"))

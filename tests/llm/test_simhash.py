@@ -78,7 +78,10 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_links_of_dense_and_random_fingerprints(spark):
+@pytest.mark.parametrize("short,long", [(64, 8192), (3, 10)])
+def test_links_of_dense_and_random_fingerprints(spark, monkeypatch, short, long):
+    monkeypatch.setattr(simhash, "SHORT_RUN", short)
+    monkeypatch.setattr(simhash, "LONG_RUN", long)
     rng = random.Random(2)
     prints = {rng.getrandbits(64) for _ in range(300)} | {0, 1, 31, (1 << 64) - 1}
     for centre in list(prints)[:6]:
