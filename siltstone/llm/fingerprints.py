@@ -216,6 +216,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     schema = T.StructType([docs.schema["doc_id"], *FIELDS])
     types = [to_arrow_type(f.dataType) for f in schema.fields]
+    chunk = CHUNK
 
     def report(ids: list, texts: list[str], following: str) -> pa.RecordBatch:
         """Rows of consecutive documents; ``following`` is the text after the last."""
@@ -239,7 +240,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                         yield report(ids, texts, text)
                     ids, texts, held = [], [], 0
                     continue
-                if held >= CHUNK and part == at:
+                if held >= chunk and part == at:
                     yield report(ids, texts, text)
                     ids, texts, held = [], [], 0
                 at = part
