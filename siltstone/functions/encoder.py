@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -91,8 +93,31 @@ def _parts_by_size(texts: pa.Array) -> Iterator[tuple[int, int]]:
         first = last
 
 
+@dataclass(frozen=True)
+class EncoderFactory:
+    """Makes an encoder in the Python worker that needs it, such as a model read from files.
+
+    Only the function and its arguments travel to the workers. A worker keeps
+    what it has made, so a model is loaded once and not for every task.
+    """
+
+    make: Callable[..., Encoder]
+    arguments: tuple = ()
+
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        return made_encoder(self.make, self.arguments)(texts)
+
+
+@lru_cache(maxsize=4)
+def made_encoder(make: Callable[..., Encoder], arguments: tuple) -> Encoder:
+    return make(*arguments)
+
+
 def encode_with(c: Column | str, encoder: Encoder, batch: int = ENCODE_BATCH) -> Column:
-    """Vectors from any encoder that turns a list of texts into a matrix."""
+    """Vectors from any encoder that turns a list of texts into a matrix.
+
+    An ``EncoderFactory`` of an importable function loads its model once per worker.
+    """
 
     @F.arrow_udf("array<float>")
     def run(texts: pa.Array) -> pa.Array:

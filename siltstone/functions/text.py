@@ -1,11 +1,13 @@
-"""String, hash, URL, JSON and chunking functions. All stay in the JVM."""
+"""String, hash, URL, JSON and chunking functions. All but the n-th match stay in the JVM."""
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,30 +77,29 @@ def url_parameter(c: Column | str, name: str) -> Column:
 def match_position(
     c: Column | str, pattern: str, position: int = 1, occurrence: int = 1, flags: str = ""
 ) -> Column:
-    """1-based start of the n-th match at or after ``position``; 0 when there is none."""
+    """1-based start of the n-th match at or after ``position``; 0 when there is none.
+
+    Matches are found in the uncut text, so anchors and look-behind see what
+    stands before ``position``. Spark's own function gives the first match; it
+    has no other, so further ones come from a vectorised function.
+    """
     regex = F.lit(f"(?{flags}){pattern}" if flags else pattern)
     text = as_col(c)
     if position == 1 and occurrence == 1:
         return F.regexp_instr(text, regex)
 
-    def next_match(state: Column, _: Column) -> Column:
-        rest = F.substr(text, state["start"])
-        hit = F.regexp_instr(rest, regex)
-        found = state["open"] & (hit > 0)
-        at = state["start"] + hit - 1
-        width = F.greatest(F.length(F.regexp_substr(rest, regex)), F.lit(1))
-        return F.struct(
-            F.when(found, at + width).otherwise(state["start"]).alias("start"),
-            F.when(found, at).otherwise(F.lit(0)).alias("at"),
-            found.alias("open"),
-        )
-
-    first = F.struct(
-        F.lit(position).alias("start"), F.lit(0).alias("at"), F.lit(True).alias("open")
-    )
-    steps = F.sequence(F.lit(1), F.lit(occurrence))
-    found = F.aggregate(steps, first, next_match, lambda s: s["at"])
-    return F.when(text.isNotNull(), found)
+    compiled = re.compile(f"(?{flags}){pattern}" if flags else pattern)
+
+    @F.arrow_udf("int")
+    def nth(texts: pa.Array) -> pa.Array:
+        def start(value: str) -> int:
+            found = compiled.finditer(value, position - 1)
+            hit = next(itertools.islice(found, occurrence - 1, None), None)
+            return hit.start() + 1 if hit else 0
+
+        return pa.array([None if v is None else start(v) for v in texts.to_pylist()], pa.int32())
+
+    return nth(text)
 
 
 def word_count(c: Column | str) -> Column:

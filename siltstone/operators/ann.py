@@ -11,12 +11,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import as_col
 from siltstone.functions.vectors import as_matrix, has_vector
 from siltstone.operators.search import vector_topk
+from siltstone.sources.tables import write_by
 
 MAX_CENTROID_BYTES = 64 * 1024 * 1024
 
@@ -26,8 +27,25 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(norms == 0, 1.0, norms)[:, None]
 
 
+# Scores held at a time while rows are given their cell.
+SLICE_CELLS = 4_000_000
+
+
+def nearest_rows(rows: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Number of the most similar centroid of every row, a slice of rows at a time."""
+    step = max(1, SLICE_CELLS // max(1, len(centroids)))
+    parts = [np.argmax(rows[at : at + step] @ centroids.T, axis=1) for at in range(0, len(rows), step)]
+    return np.concatenate(parts) if parts else np.empty(0, np.int64)
+
+
 def seed_centroids(df: DataFrame, cells: int, key: str = "id", vector: str = "embedding") -> np.ndarray:
-    """Vectors of the rows with the smallest key hashes: a fixed pseudo-random choice."""
+    """Vectors of the rows with the smallest key hashes: a fixed pseudo-random choice.
+
+    Their size is known from one row and checked before any of them come to the driver.
+    """
+    one = df.where(has_vector(vector)).select(F.size(vector).alias("dim")).first()
+    if one is not None and cells * one["dim"] * 8 > MAX_CENTROID_BYTES:
+        raise ValueError(f"{cells} centroids take more than {MAX_CENTROID_BYTES} bytes; use fewer cells")
     chosen = (
         df.where(has_vector(vector)).orderBy(F.md5(F.col(key).cast("string")), key).limit(cells)
         .select(key, vector).toArrow()
@@ -61,7 +79,6 @@ def refine_centroids(df: DataFrame, centroids: np.ndarray, vector: str = "embedd
         yield emit(sums, seen)
 
     vectors = df.where(has_vector(vector)).select(vector)
-    vectors = vectors.coalesce(16 * df.sparkSession.sparkContext.defaultParallelism)
     for _ in range(rounds):
         fixed = centroids
 
@@ -71,7 +88,7 @@ def refine_centroids(df: DataFrame, centroids: np.ndarray, vector: str = "embedd
                 rows, _ = as_matrix(batch.column(0), dim)
                 if rows.shape[0]:
                     rows = _unit(rows)
-                    cell = np.argmax(rows @ fixed.T, axis=1)
+                    cell = nearest_rows(rows, fixed)
                     np.add.at(sums, cell, rows)
                     seen[cell] = True
             yield emit(sums, seen)
@@ -88,10 +105,7 @@ def refine_centroids(df: DataFrame, centroids: np.ndarray, vector: str = "embedd
 def train_centroids(
     df: DataFrame, cells: int, key: str = "id", vector: str = "embedding", rounds: int = 2
 ) -> np.ndarray:
-    centroids = seed_centroids(df, cells, key, vector)
-    if centroids.nbytes > MAX_CENTROID_BYTES:
-        raise ValueError(f"{cells} centroids take more than {MAX_CENTROID_BYTES} bytes; use fewer cells")
-    return refine_centroids(df, centroids, vector, rounds)
+    return refine_centroids(df, seed_centroids(df, cells, key, vector), vector, rounds)
 
 
 def cell_of(vector: Column | str, centroids: np.ndarray) -> Column:
@@ -103,7 +117,7 @@ def cell_of(vector: Column | str, centroids: np.ndarray) -> Column:
         rows, present = as_matrix(v, fixed.shape[1])
         out = np.full(len(v), -1, dtype=np.int32)
         if rows.shape[0]:
-            out[present] = np.argmax(_unit(rows) @ fixed.T, axis=1)
+            out[present] = nearest_rows(_unit(rows), fixed)
         return pa.array(out, pa.int32(), mask=~present)
 
     return nearest(as_col(vector))
@@ -114,10 +128,19 @@ def build_index(df: DataFrame, centroids: np.ndarray, vector: str = "embedding")
     return df.where(has_vector(vector)).withColumn("cell", cell_of(vector, centroids))
 
 
-def write_index(index: DataFrame, path: str, key: str = "id", spread: int = 16) -> None:
-    """One directory per cell; a large cell is written by several tasks."""
-    salt = F.pmod(F.xxhash64(key), F.lit(spread))
-    index.repartition(F.col("cell"), salt).write.mode("overwrite").partitionBy("cell").parquet(path)
+def centroid_table(spark: SparkSession, centroids: np.ndarray) -> DataFrame:
+    """Centroids as rows, to be stored with an index; their size was checked when they were made."""
+    return spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(centroids)], "cell int, centroid array<double>").coalesce(1)
+
+
+def read_centroids(table: DataFrame) -> np.ndarray:
+    """Centroids from their table, as many as the index has cells."""
+    return np.array([r["centroid"] for r in table.orderBy("cell").collect()])
+
+
+def write_index(index: DataFrame, path: str) -> None:
+    """One directory per cell; a cell is written by as many tasks as its size asks for."""
+    write_by(index, path, "overwrite", "cell")
 
 
 def probe_cells(query: Sequence[float], centroids: np.ndarray, probes: int) -> list[int]:

@@ -118,9 +118,6 @@ def with_running_total(
 SKETCH_ACCURACY = 10_000
 BRACKETS = (0.0005, 0.001, 0.01, 0.1, 1.0)
 
-# Sketches of more groups than this are not handed to every task; the values are counted whole then.
-MAX_SKETCHED_GROUPS = 50_000
-
 
 def _collapse_far_values(rows: DataFrame, by: list[str], quantiles: Sequence[float]) -> DataFrame:
     """Replace values that cannot be next to a quantile by one stand-in per gap.
@@ -130,7 +127,6 @@ def _collapse_far_values(rows: DataFrame, by: list[str], quantiles: Sequence[flo
     a bracket stay; the rest keep only their place in the order, so that almost
     all rows vanish in the partial counts that follow. ``_far`` marks stand-ins.
     """
-    plain = rows.withColumn("_far", F.lit(False))
     ends = sorted({min(max(q + side * w, 0.0), 1.0) for q in quantiles for w in BRACKETS for side in (-1, 1)})
     marks = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_size"),
@@ -145,17 +141,17 @@ def _collapse_far_values(rows: DataFrame, by: list[str], quantiles: Sequence[flo
             for w, place in reversed(list(zip(BRACKETS[:-1], places[:-1], strict=True))):
                 mark = F.when(needed <= w, F.col("_marks")[place]).otherwise(mark)
             chosen.append(mark.alias(name))
-    brackets = settle(marks.select(*[F.col(k).alias(f"_k_{k}") for k in by], *chosen))
-    if brackets.count() > MAX_SKETCHED_GROUPS:
-        return plain
+    brackets = marks.select(*[F.col(k).alias(f"_k_{k}") for k in by], *chosen)
+    # Without groups the brackets are one row; with them Spark chooses by their size, and splits large groups.
     same_group = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by] or None
+    beside = brackets if by else F.broadcast(brackets)
     v = F.col("_v")
     near = F.lit(False)
     below = F.lit(float("-inf"))
     for i in range(len(quantiles)):
         near = near | v.between(F.col(f"_from{i}"), F.col(f"_to{i}"))
         below = F.greatest(below, F.when(F.col(f"_to{i}") < v, F.col(f"_to{i}")))
-    return rows.join(F.broadcast(brackets), same_group, "inner").select(
+    return rows.join(beside, same_group, "inner").select(
         *by, F.when(near, v).otherwise(below).alias("_v"), (~near).alias("_far")
     )
 

@@ -18,6 +18,9 @@ from siltstone.functions.vectors import SCORE_DECIMALS, as_matrix, cosine_to, ha
 # Query vectors are handed to the tasks in blocks of at most this many bytes.
 QUERY_BLOCK_BYTES = 64 * 1024 * 1024
 
+# Stands for an undefined score while rows are ranked: below every cosine. It is reported as 0.0.
+UNDEFINED = -2.0
+
 
 def text_search(
     df: DataFrame, query: str, k: int | None = 10, text: str = "content", key: str = "id",
@@ -35,7 +38,7 @@ def vector_topk(
 ) -> DataFrame:
     """The k most similar rows. Each task keeps its own k best before anything moves."""
     scored = df.where(has_vector(vector)).select(key, *columns, cosine_to(vector, query).alias("_score"))
-    # An undefined score (zero vector) is reported as 0.0, and ranked last.
+    # An undefined score (zero vector) is reported as 0.0, and ranked last, as in the join.
     best = scored.orderBy(F.desc_nulls_last("_score"), F.asc(key)).limit(k)
     return best.select(key, *columns, F.coalesce("_score", F.lit(0.0)).alias("score"))
 
@@ -87,11 +90,13 @@ class _Nearest:
     def add(self, keys: np.ndarray, rows: np.ndarray) -> None:
         lengths = np.sqrt(np.einsum("ij,ij->i", rows, rows))
         unit = (rows / np.where(lengths == 0, 1.0, lengths)[:, None]).T
+        undefined = (lengths == 0) | ~np.isfinite(lengths)
         n = keys.shape[0]
         found = [(self.query, self.score, self.key if self.key is not None else keys[:0])]
         step = max(1, self.SLICE_CELLS // n)
         for start in range(0, self.queries.shape[0], step):
             scores = np.round(self.queries[start : start + step] @ unit, SCORE_DECIMALS)
+            scores[:, undefined] = UNDEFINED
             bound = self.bound[start : start + step]
             if n > self.k and np.isneginf(bound).any():
                 bound = np.maximum(bound, np.partition(scores, n - self.k, axis=1)[:, n - self.k])
@@ -112,18 +117,15 @@ class _Nearest:
 def knn_join(
     queries: DataFrame, docs: DataFrame, k: int = 10, query_key: str = "query_id",
     query_vector: str = "query_vector", key: str = "id", vector: str = "embedding",
-    block_bytes: int = QUERY_BLOCK_BYTES, max_tasks: int | None = None,
+    block_bytes: int = QUERY_BLOCK_BYTES,
 ) -> DataFrame:
     """The k nearest documents of every query, with rank and score.
 
     Documents never move: each task multiplies its batches with a block of query
     vectors and keeps k candidates per query, so only tasks x queries x k rows
-    are shuffled.  Splits are read one after the other by at most ``max_tasks``
-    tasks, which bounds that number.  Query sets beyond the block size take
-    several passes.
+    are shuffled.  Query sets beyond the block size take several passes.
     """
     spark = docs.sparkSession
-    docs = docs.coalesce(max_tasks or 16 * spark.sparkContext.defaultParallelism)
     parts = [
         _local_nearest(spark, docs, ids, rows, k, queries.schema[query_key].dataType, query_key, key, vector)
         for ids, rows in _blocks(queries, query_key, query_vector, block_bytes)
@@ -139,7 +141,8 @@ def knn_join(
     for part in parts[1:]:
         found = found.unionByName(part)
     order = W.partitionBy(query_key).orderBy(F.desc("score"), F.asc(key))
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.withColumn("score", F.when(F.col("score") == UNDEFINED, 0.0).otherwise(F.col("score")))
 
 
 def _local_nearest(

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.functions.encoder import hashed_embedding
+from siltstone.functions.encoder import EMBEDDING_DIM, hashed_embedding
 from siltstone.plans.documents import gold_documents, silver_documents
 from siltstone.queries.registry import ntz
-from siltstone.sources.tables import Tables, bronze_from_documents, spread
+from siltstone.sources.tables import Tables, bronze_from_documents
 
 AS_OF = "2024-02-01 00:00:00"
 ORDERS_AS_OF = "2001-08-02 00:00:00"
-DIM = 64
+DIM = EMBEDDING_DIM
 
 BRONZE = """bronze AS (
   SELECT CAST(doc_id AS VARCHAR) AS id, text AS content, source,
@@ -66,7 +66,7 @@ def vectors_sql(name: str, rows: str, key: str, text: str, dim: int = DIM) -> st
 
 
 def bronze(t: Tables) -> DataFrame:
-    return bronze_from_documents(spread(t.documents, "doc_id"))
+    return bronze_from_documents(t.documents)
 
 
 def silver(t: Tables) -> DataFrame:

@@ -107,9 +107,8 @@ def join_left_spine(t):
 @query("join_group_recency", """SELECT user_id, count(*) AS row_count, CAST(max(ts) AS VARCHAR) AS latest FROM events
 GROUP BY ALL HAVING max(ts) < TIMESTAMP '2024-01-30'""")
 def join_group_recency(t):
-    counts = t.events.groupBy("user_id").agg(F.count(F.lit(1)).alias("row_count"))
-    latest = t.events.groupBy("user_id").agg(F.max("ts").alias("latest")).where(F.col("latest") < ntz("2024-01-30"))
-    return counts.join(latest, "user_id")
+    seen = t.events.groupBy("user_id").agg(F.count(F.lit(1)).alias("row_count"), F.max("ts").alias("latest"))
+    return seen.where(F.col("latest") < ntz("2024-01-30"))
 
 
 @query("not_in_subquery", """SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)""")

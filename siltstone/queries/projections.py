@@ -21,10 +21,10 @@ def filtered_columns(t):
     return t.part.select(P.filtered_columns(t.part, ["P_BRAND", "p_type", "p_retailprice"]))
 
 
-@query("nullcheck", """SELECT doc_id, nullif(trim(left(text, 1)), '') AS head, source FROM documents""")
+@query("nullcheck", """SELECT doc_id, md5(nullif(replace(text, 'a', ''), '')) AS rest, source FROM documents""")
 def nullcheck(t):
-    rows = t.documents.select("doc_id", F.trim(F.left("text", F.lit(1))).alias("head"), "source")
-    return P.nullcheck(rows, ["HEAD"])
+    rows = t.documents.select("doc_id", F.replace("text", F.lit("a"), F.lit("")).alias("rest"), "source")
+    return P.nullcheck(rows, ["REST"]).withColumn("rest", F.md5("rest"))
 
 
 @query("nullcheck_table", """SELECT nullif(l_returnflag, '') AS l_returnflag,

@@ -236,11 +236,15 @@ def merge_staging(t):
     return both.select("chunk_id", digest("chunk_content"), "side")
 
 
-@query("file_stats")
+@query("file_stats", """SELECT 6::BIGINT AS file_count, true AS sizes_agree, count(*) AS n FROM lineitem""")
 def file_stats(t):
+    """Sizes differ from run to run; that they agree with each other does not."""
     path = scratch_path(t.spark, "files")
     t.lineitem.repartition(6).write.parquet(path)
-    return FI.file_stats(t.spark, path)
+    low, mean, high, total = (F.col(f"{k}_size_mb") for k in ("min", "avg", "max", "total"))
+    agree = (low > 0) & (low <= mean) & (mean <= high) & (F.abs(total - mean * F.col("file_count")) < 0.05)
+    rows = t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"))  # one row
+    return FI.file_stats(t.spark, path).select("file_count", agree.alias("sizes_agree")).join(F.broadcast(rows), how="inner")
 
 
 @query("compact", "SELECT l_returnflag, count(*) AS n, round(sum(l_quantity), 2) AS quantity, 1 AS files FROM lineitem GROUP BY ALL")
@@ -255,19 +259,25 @@ def compact(t):
     return counts.join(F.broadcast(files), how="inner")
 
 
-@query("find_orphan_files")
+@query("find_orphan_files", """SELECT o_orderstatus AS folder, count(*) > 0 AS has_rows, true AS has_bytes FROM orders
+WHERE o_orderstatus IN ('O', 'P') GROUP BY ALL""")
 def find_orphan_files(t):
     path = scratch_path(t.spark, "orphans")
     for status in ("F", "O", "P"):
         t.orders.where(F.col("o_orderstatus") == status).coalesce(1).write.parquet(f"{path}/{status}")
     kept = FI.list_files(t.spark, f"{path}/F")
     orphans = FI.find_orphan_files(FI.list_files(t.spark, path), kept, F.timestamp_add("DAY", F.lit(4), F.current_timestamp()))
-    return orphans.select(F.regexp_extract("path", "/([FOP])/[^/]+$", 1).alias("folder"), "length")
+    folder = F.regexp_extract("path", "/([FOP])/[^/]+$", 1).alias("folder")
+    rows = t.orders.groupBy(F.col("o_orderstatus").alias("folder")).agg((F.count(F.lit(1)) > 0).alias("has_rows"))
+    return orphans.select(folder, (F.col("length") > 0).alias("has_bytes")).join(rows, "folder")
 
 
-@query("compare_file_stats")
+@query("compare_file_stats", """SELECT 6::BIGINT AS files_before, 1::BIGINT AS files_after, -5::BIGINT AS file_change, true AS mean_grew, count(*) AS n FROM orders""")
 def compare_file_stats(t):
     path, target = scratch_path(t.spark, "small"), scratch_path(t.spark, "compacted")
     t.orders.repartition(6).write.parquet(path)
     FI.compact(t.spark, path, target)
-    return FI.compare_file_stats(FI.file_stats(t.spark, path), FI.file_stats(t.spark, target))
+    change = FI.compare_file_stats(FI.file_stats(t.spark, path), FI.file_stats(t.spark, target))
+    rows = t.spark.read.parquet(target).agg(F.count(F.lit(1)).alias("n"))  # one row
+    return change.select("files_before", "files_after", "file_change", (F.col("avg_mb_change") >= 0).alias("mean_grew")).join(
+        F.broadcast(rows), how="inner")

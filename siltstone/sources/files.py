@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.sources.tables import write_by
+
 # Sizes and limits of the maintenance job.
 MEGABYTE = 1024 * 1024
 TARGET_MB = 128
@@ -46,16 +49,32 @@ def compact(
 ) -> bool:
     """Rewrite small files into files near the target size, in a new folder.
 
-    Neighbouring input splits are read by one task; rows are not shuffled.
+    Partition folders stay, each with files by its size. Without them
+    neighbouring input splits are read by one task and rows are not shuffled.
     """
     if not needs_compaction(spark, path, target_mb, min_files):
         return False
-    total = list_files(spark, path).agg(F.sum("length")).first()[0]
-    files = max(1, math.ceil(total / (target_mb * MEGABYTE)))
-    spark.read.parquet(path).coalesce(files).write.mode("error").parquet(target_path)
+    folders = partition_columns(spark, path)
+    if folders:
+        write_by(spark.read.parquet(path), target_path, "error", *folders)
+    else:
+        compacted(spark, path, target_mb).write.mode("error").parquet(target_path)
     return True
 
 
+def compacted(spark: SparkSession, path: str, target_mb: float = TARGET_MB) -> DataFrame:
+    """The rows of a folder in as many tasks as files of the target size hold them."""
+    total = list_files(spark, path).agg(F.sum("length")).first()[0]
+    return spark.read.parquet(path).coalesce(max(1, math.ceil(total / (target_mb * MEGABYTE))))
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folder columns below a path, outermost first, taken from one file's name."""
+    inside = F.regexp_replace("path", ".*" + re.escape(path.rstrip("/").rpartition("/")[2]) + "/", "")
+    one = list_files(spark, path).select(inside.alias("inside")).first()
+    return [] if one is None else [part.partition("=")[0] for part in one["inside"].split("/")[:-1] if "=" in part]
+
+
 def find_orphan_files(
     listed: DataFrame, referenced: DataFrame, as_of: Column, older_than_days: int = ORPHAN_DAYS
 ) -> DataFrame:

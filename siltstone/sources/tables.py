@@ -31,17 +31,6 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give work that is heavy on the CPU one partition per core when a table has fewer splits.
-
-    For frames read straight from files, whose number of splits is known from
-    the listing.  A table with enough splits, as any large one, is left alone.
-    ``key`` should be nearly unique.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def bronze_from_documents(documents: DataFrame, start: str = "2024-01-01 00:00:00") -> DataFrame:
     """Raw document rows; the ingestion time is derived from the id, one minute apart."""
     stamp = F.timestamp_add("MINUTE", F.col("doc_id").cast("int"), F.lit(start).cast("timestamp_ntz"))
@@ -54,27 +43,28 @@ def bronze_from_documents(documents: DataFrame, start: str = "2024-01-01 00:00:0
     )
 
 
-def _write_days(rows: DataFrame, path: str, mode: str, files_per_day: int | None) -> None:
-    """Write into one folder per day.
+def gathered(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows of a folder in as many tasks, and so files, as their size asks for.
 
-    Without ``files_per_day`` every task writes the days it holds, which suits
-    a batch of few days. With it, each day is gathered into that many files, by
-    as many tasks, however large the day is.
+    Spark measures the shuffled rows: small folders share a task, and a folder
+    larger than ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is split.
     """
-    dated = rows.withColumn("ingest_day", F.to_date("ingested_at"))
-    if files_per_day:
-        dated = dated.repartition("ingest_day", F.pmod(F.xxhash64("id"), F.lit(files_per_day)))
-    dated.write.mode(mode).partitionBy("ingest_day").parquet(path)
+    return rows.hint("rebalance", *[F.col(c) for c in by])
+
 
+def write_by(rows: DataFrame, path: str, mode: str, *by: str) -> None:
+    """Write one folder per value of the columns, with files by size."""
+    gathered(rows, *by).write.mode(mode).partitionBy(*by).parquet(path)
 
-def append_bronze(rows: DataFrame, path: str, files_per_day: int | None = None) -> None:
+
+def append_bronze(rows: DataFrame, path: str) -> None:
     """Append raw rows to the day-partitioned table."""
-    _write_days(rows, path, "append", files_per_day)
+    write_by(rows.withColumn("ingest_day", F.to_date("ingested_at")), path, "append", "ingest_day")
 
 
-def create_bronze(rows: DataFrame, path: str, files_per_day: int | None = None) -> None:
+def create_bronze(rows: DataFrame, path: str) -> None:
     """Start the day-partitioned table; fails when it exists."""
-    _write_days(rows, path, "error", files_per_day)
+    write_by(rows.withColumn("ingest_day", F.to_date("ingested_at")), path, "error", "ingest_day")
 
 
 def scan_parquet_glob(
@@ -120,13 +110,25 @@ def read_seed_csv(spark: SparkSession, path: str, schema: T.StructType | str) ->
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
-def upsert_documents(current: DataFrame, batch: DataFrame, as_of: Column, key: str = "id") -> DataFrame:
+def last_per_key(batch: DataFrame, key: str = "id", order: Sequence[Column | str] = ()) -> DataFrame:
+    """The row of every key that comes last in the given order; without one, in the order of all other columns."""
+    rising = list(order) or [c for c in batch.columns if c != key]
+    falling = [F.desc_nulls_last(c) if isinstance(c, str) else c for c in rising]
+    return deduplicate(batch, [key], falling) if falling else batch.dropDuplicates([key])
+
+
+def upsert_documents(
+    current: DataFrame, batch: DataFrame, as_of: Column, key: str = "id", order: Sequence[Column | str] = (),
+) -> DataFrame:
     """The table after inserting new rows and replacing rows of known keys.
 
-    ``updated_at`` is set on replaced rows only and their ``created_at`` stays.
-    The large table is filtered by the keys of the batch, which Spark sends to
-    every task when they are few; it is not shuffled then.
+    Of several batch rows with one key the last wins: ``order`` names the columns
+    by which it is the greatest. ``updated_at`` is set on replaced rows only and
+    their ``created_at`` stays. The large table is filtered by the keys of the
+    batch, which Spark sends to every task when they are few; it is not shuffled
+    then.
     """
+    batch = last_per_key(batch, key, order)
     known = current.select(key, F.col("created_at").alias("_created")).join(batch.select(key), key, "left_semi")
     merged = batch.drop("created_at", "updated_at").join(known, key, "left")
     is_update = F.col("_created").isNotNull()
@@ -155,17 +157,18 @@ def delete_like_then_insert(current: DataFrame, pattern: str, rows: DataFrame, k
 def backup_partitioned(df: DataFrame, path: str, day: Column) -> None:
     """Copy into year/month/day folders, replacing only the day that is written."""
     dated = df.withColumns({"year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day)})
-    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("year", "month", "day").parquet(path)
+    days = ("year", "month", "day")
+    writer = gathered(dated, *days).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*days).parquet(path)
 
 
 def discover_partitions(spark: SparkSession, path: str, column: str = "ingest_day") -> DataFrame:
-    """Partition values found in the file paths, newest first; file contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
-        "pathGlobFilter", "*.parquet"
-    ).load(path)
-    value = F.regexp_extract("path", rf"{column}=([^/]+)", 1).alias("partition_key")
-    return files.select(value).where("partition_key <> ''").distinct().orderBy(F.desc("partition_key"))
+    """Partition values found in the names of the folders below a path, newest first; no file is listed."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop.Path(root, f"{column}=*"))
+    keys = {str(status.getPath().getName()).partition("=")[2] for status in found or []}
+    return spark.createDataFrame([(k,) for k in sorted(keys)], "partition_key string").orderBy(F.desc("partition_key"))
 
 
 def merge_staging(target: DataFrame, staging: DataFrame, key: str = "chunk_id") -> DataFrame:
@@ -184,8 +187,10 @@ def sync_rows(replica: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def sync_replica_to_lake(gold: DataFrame, replica: DataFrame, as_of: Column) -> DataFrame:
-    """Gold with the replica's rows in place of gold rows of the same id."""
-    rows = sync_rows(replica, as_of)
+def sync_replica_to_lake(
+    gold: DataFrame, replica: DataFrame, as_of: Column, order: Sequence[Column | str] = (),
+) -> DataFrame:
+    """Gold with the replica's rows in place of gold rows of the same id; of rows with one id the last wins."""
+    rows = sync_rows(last_per_key(replica, "id", order or [c for c in ("created_at", "content") if c in replica.columns]), as_of)
     return gold.join(rows.select("id"), "id", "left_anti").unionByName(rows)
 

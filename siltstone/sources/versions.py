@@ -7,11 +7,15 @@ One publisher at a time is assumed.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from siltstone.sources.tables import gathered
+
 REGISTER_SCHEMA = "version int, folder string, published_at timestamp_ntz"
 
 
@@ -27,9 +31,12 @@ def parquet_or_none(spark: SparkSession, path: str, schema: str | None = None) -
 
 
 def register(spark: SparkSession, root: str) -> DataFrame:
-    """Published versions; without any, an empty frame."""
+    """Published versions whose data has not been removed; without any, an empty frame."""
     rows = parquet_or_none(spark, f"{root}/_published", REGISTER_SCHEMA)
-    return spark.createDataFrame([], REGISTER_SCHEMA) if rows is None else rows
+    if rows is None:
+        return spark.createDataFrame([], REGISTER_SCHEMA)
+    removed = parquet_or_none(spark, f"{root}/_removed", "version int")
+    return rows if removed is None else rows.join(removed, "version", "left_anti").select("version", "folder", "published_at")
 
 
 def current_version(spark: SparkSession, root: str, as_of: Column | None = None) -> tuple[int, str] | None:
@@ -41,17 +48,24 @@ def current_version(spark: SparkSession, root: str, as_of: Column | None = None)
 
 
 def publish_version(
-    df: DataFrame, root: str, published_at: Column | None = None, rows_per_file: int | None = None
+    df: DataFrame, root: str, published_at: Column | None = None, rows_per_file: int | None = None,
+    partition_by: Sequence[str] = (), beside: dict[str, DataFrame] | None = None,
 ) -> int:
-    """Write a new version and make it the current one; returns its number."""
+    """Write a new version and make it the current one; returns its number.
+
+    ``partition_by`` names folder columns; ``beside`` holds small tables that
+    belong to the version, each under its name in the version's folder.
+    """
     spark = df.sparkSession
-    newest = current_version(spark, root)
-    version = 1 if newest is None else newest[0] + 1
+    numbers = parquet_or_none(spark, f"{root}/_published", REGISTER_SCHEMA)
+    version = 1 if numbers is None else numbers.agg(F.max("version")).first()[0] + 1
     folder = f"v={version:08d}"
-    writer = df.write.mode("overwrite")
+    writer = (gathered(df, *partition_by) if partition_by else df).write.mode("overwrite")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
-    writer.parquet(f"{root}/{folder}")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{root}/{folder}")
+    for name, table in (beside or {}).items():
+        table.write.mode("overwrite").parquet(f"{root}/{folder}/_{name}")  # readers of the version pass over such names
     stamp = F.current_timestamp() if published_at is None else published_at
     entry = spark.range(1).select(
         F.lit(version).alias("version"), F.lit(folder).alias("folder"),
@@ -112,6 +126,15 @@ def remove_folders(spark: SparkSession, folders: list[str]) -> None:
 def expire(spark: SparkSession, root: str, as_of: Column, older_than_days: int | None = 7, retain_last: int = 2) -> int:
     """Remove the data of expired versions; returns how many went."""
     gone = expired_versions(register(spark, root), as_of, older_than_days, retain_last)
-    folders = [f"{root}/{row['folder']}" for row in gone.select("folder").collect()]  # one row per version
-    remove_folders(spark, folders)
-    return len(folders)
+    found = gone.select("version", "folder").collect()  # one row per version
+    if found:
+        # Recorded first: a version is never offered to readers while its data goes.
+        spark.createDataFrame([(r["version"],) for r in found], "version int").coalesce(1).write.mode("append").parquet(f"{root}/_removed")
+        remove_folders(spark, [f"{root}/{r['folder']}" for r in found])
+    return len(found)
+
+
+def read_beside(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """A table that belongs to the current version, or None."""
+    newest = current_version(spark, root)
+    return None if newest is None else parquet_or_none(spark, f"{root}/{newest[1]}/_{name}")

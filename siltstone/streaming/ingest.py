@@ -17,16 +17,22 @@ from siltstone.functions.text import content_hash
 from siltstone.functions.vectors import has_vector
 from siltstone.operators.windows import deduplicate
 from siltstone.plans.documents import MAX_LENGTH, MIN_LENGTH, clean_rows, newest_per_content
+from siltstone.session import scratch_path
 from siltstone.sources.tables import upsert_documents
+from siltstone.sources.versions import remove_folders
 
 
-def rows_after(bronze: DataFrame, state: DataFrame | None, stamp: str = "ingested_at") -> DataFrame:
-    """Raw rows past the newest one already in the state."""
-    if state is None:
-        return bronze
-    mark = state.agg(F.max(stamp).alias("_mark"))  # one row
-    later = F.col("_mark").isNull() | (F.col(stamp) > F.col("_mark"))
-    return bronze.join(F.broadcast(mark), how="inner").where(later).drop("_mark")
+def rows_beyond(bronze: DataFrame, state: DataFrame) -> DataFrame:
+    """Newest raw rows per hash that the state does not hold in the same or a newer version.
+
+    Rows are compared with the state's row of their own hash, not with its
+    newest time, so rows that come late or at an equal time are not lost.
+    """
+    known = state.select(
+        F.col("content_hash").alias("_hash"), F.col("ingested_at").alias("_at"), F.col("id").alias("_id"))
+    not_newer = (F.col("_at") > F.col("ingested_at")) | ((F.col("_at") == F.col("ingested_at")) & (F.col("_id") >= F.col("id")))
+    fresh = newest_per_content(bronze)
+    return fresh.join(known, (F.col("content_hash") == F.col("_hash")) & not_newer, "left_anti")
 
 
 def add_batch(bronze: DataFrame, state_path: str, batch: int) -> None:
@@ -55,14 +61,38 @@ def silver_from_state(
     return clean_rows(newest, as_of, min_len, max_len)
 
 
+def merge_silver(silver: DataFrame, fresh: DataFrame, as_of: Column) -> DataFrame:
+    """The clean table with the hashes of a batch replaced: ``fresh`` are the batch's rows in the state.
+
+    Only rows of the batch are cleaned; a hash whose newest row is out of the length band leaves the table.
+    """
+    kept = silver.join(fresh.select("content_hash"), "content_hash", "left_anti").select(silver.columns)
+    return kept.unionByName(clean_rows(fresh, as_of))
+
+
 def silver_incremental(
-    bronze: DataFrame, state_path: str, batch: int, as_of: Column, first: bool = False
+    bronze: DataFrame, state_path: str, batch: int, as_of: Column, first: bool = False, silver: DataFrame | None = None,
 ) -> DataFrame:
-    """Process the raw rows past the high-water mark as one batch and return the clean table."""
+    """Process the raw rows that the state does not hold yet as one batch and return the clean table.
+
+    With the clean table before the batch only the batch's hashes are merged
+    into it; without it the table is made from the whole state. A batch that
+    runs again must leave its own folder out of what it compares with, so the
+    state is read without it.
+    """
     spark = bronze.sparkSession
-    fresh = bronze if first else rows_after(bronze, read_state(spark, state_path))
-    add_batch(fresh, state_path, batch)
-    return silver_from_state(read_state(spark, state_path), as_of)
+    if first:
+        add_batch(bronze, state_path, batch)
+    else:
+        before = spark.read.parquet(state_path).where(F.col("batch") != batch).drop("batch")
+        fresh = rows_beyond(bronze, before)
+        path = scratch_path(spark, "batch")
+        fresh.write.parquet(path)  # the state's folder may not be replaced while it is read
+        spark.read.parquet(path).write.mode("overwrite").parquet(f"{state_path}/batch={batch}")
+        remove_folders(spark, [path])
+    if silver is None or first:
+        return silver_from_state(read_state(spark, state_path), as_of)
+    return merge_silver(silver, spark.read.parquet(f"{state_path}/batch={batch}"), as_of)
 
 
 def run_silver_stream(
@@ -78,10 +108,13 @@ def run_silver_stream(
     query.awaitTermination()
 
 
-def dedup_stream(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """First row per content hash within the watermark: bounded state, for feeds without late copies."""
-    hashed = stream.withColumn("content_hash", content_hash("content"))
-    return hashed.withWatermark("ingested_at", delay).dropDuplicatesWithinWatermark(["content_hash"])
+def dedup_stream(stream: DataFrame) -> DataFrame:
+    """First row per content hash of a stream, however late it comes.
+
+    No watermark: it would drop late rows that are no copies. The state holds
+    one hash per distinct text; use a state store on disk for large feeds.
+    """
+    return stream.withColumn("content_hash", content_hash("content")).dropDuplicates(["content_hash"])
 
 
 def embed_incremental(

@@ -1,5 +1,7 @@
 """Vector and text search against brute force."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from siltstone.functions import encoder as EN
 from siltstone.functions import vectors as V
 from siltstone.operators import ann
 from siltstone.operators import search as S
+from siltstone.session import scratch_path
 
 DIM = 8
 
@@ -167,3 +170,83 @@ def test_parts_hold_all_rows_once():
         assert list(EN._parts_by_size(texts)) == [(0, 2), (2, 3), (3, 8)]
     finally:
         EN.PART_BYTES = EN_bytes
+
+
+def test_a_published_index_is_searched_by_its_cells(spark):
+    from siltstone.plans import jobs as J
+    from siltstone.sources import versions as V
+
+    r = np.random.default_rng(4)
+    rows = [(str(i), f"text {i}", [float(x) for x in r.normal(size=DIM)]) for i in range(600)]
+    chunks = spark.createDataFrame(rows, "id string, content string, embedding array<float>").withColumns({
+        "metadata": F.lit("{}"), "source": F.lit("s"), "ready_at": F.lit("2024-01-01").cast("timestamp_ntz")})
+    root = scratch_path(spark, "replica")
+    J.reindex(spark, chunks, root, F.lit("2024-01-02").cast("timestamp_ntz"), dim=DIM, cells=6)
+    assert V.read_beside(spark, root, J.CENTROIDS).count() == 6
+    found = J.search_replica(spark, root, rows[7][2], 5, probes=2)
+    assert [r.id for r in found.collect()][0] == "7"
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*cell", plan), plan
+    every = J.search_replica(spark, root, rows[7][2], 5, probes=6).collect()
+    assert [r.id for r in every] == [r.id for r in S.vector_topk(chunks, rows[7][2], 5).collect()]
+    assert J.compact_version(spark, root, F.lit("2024-01-03").cast("timestamp_ntz"), min_files=1)
+    assert V.read_beside(spark, root, J.CENTROIDS).count() == 6 and V.read_version(spark, root).count() == 600
+    again = J.search_replica(spark, root, rows[7][2], 5, probes=2)
+    assert [r.id for r in again.collect()] == [r.id for r in found.collect()]
+
+
+def test_legacy_copy_is_read_only_without_fresh_chunks(spark):
+    from siltstone.plans import jobs as J
+
+    schema = "id string, content string, embedding array<float>, metadata string, source string, ready_at timestamp_ntz"
+    legacy = spark.createDataFrame([("old", "x", None, "{}", "l", None)], "id string, content string, embedding array<float>, metadata string, source_file string, created_at timestamp_ntz")
+    stamp = F.lit("2024-01-02").cast("timestamp_ntz")
+    for rows, expected in (([("new", "y", None, "{}", "s", None)], ["new"]), ([], ["old"])):
+        out = J.reindex(spark, spark.createDataFrame(rows, schema), scratch_path(spark, "replica"), stamp, legacy=legacy, dim=DIM)
+        assert [r.id for r in out.collect()] == expected
+
+
+def test_zero_and_undefined_vectors_come_last_in_both_lanes(spark):
+    docs = spark.createDataFrame([(1, [0.0] * DIM), (2, [1.0] * DIM), (3, [-1.0] * DIM)], "id int, embedding array<float>")
+    asked = spark.createDataFrame([(1, [1.0] * DIM)], "query_id int, query_vector array<float>")
+    for k in (2, 3):
+        single = [(r.id, r.score) for r in S.vector_topk(docs, [1.0] * DIM, k).collect()]
+        joined = [(r.id, r.score) for r in S.knn_join(asked, docs, k).orderBy("rank").collect()]
+        assert single == joined == [(2, 1.0), (3, -1.0), (1, 0.0)][:k]
+    odd = docs.unionByName(spark.createDataFrame([(4, [float("nan")] * DIM)], "id int, embedding array<float>"))
+    assert S.knn_join(asked, odd, 4).count() == 4
+
+
+def test_centroids_beyond_the_bound_never_come_to_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(ann, "MAX_CENTROID_BYTES", 100)
+    docs = spark.createDataFrame([(i, [1.0] * DIM) for i in range(20)], "id int, embedding array<float>")
+    with pytest.raises(ValueError, match="fewer cells"):
+        ann.seed_centroids(docs, 10)
+
+
+COUNTING = """
+import numpy as np
+
+
+def make(path):
+    with open(path, "a") as f:
+        f.write("made\\n")
+    return lambda texts: np.array([[float(len(t)), 1.0] for t in texts])
+"""
+
+
+def test_an_encoder_is_made_once_per_worker(spark, tmp_path, monkeypatch):
+    from siltstone.functions.encoder import EncoderFactory, embed_text
+
+    (tmp_path / "counting_encoder.py").write_text(COUNTING)
+    spark.sparkContext.addPyFile(str(tmp_path / "counting_encoder.py"))  # as a package is shipped
+    monkeypatch.syspath_prepend(tmp_path)
+    import counting_encoder
+
+    path = str(tmp_path / "made")
+    factory = EncoderFactory(counting_encoder.make, (path,))
+    for _ in range(3):
+        df = spark.range(400).repartition(32).select(embed_text(F.col("id").cast("string"), factory).alias("v"))
+        assert df.where("v[1] = 1").count() == 400
+    workers = len(open(path).read().split())
+    assert workers <= 24, workers  # 96 tasks

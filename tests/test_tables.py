@@ -197,7 +197,7 @@ def test_incremental_equals_full_refresh_and_replay_changes_nothing(spark, raw,
     early = raw.where("ingested_at < '2024-01-02'")
     I.silver_incremental(early, path, 0, ntz(AS_OF), first=True)
     assert rows(I.silver_incremental(raw, path, 1, ntz(AS_OF))) == full
-    I.add_batch(I.rows_after(raw, early), path, 1)
+    I.silver_incremental(raw, path, 1, ntz(AS_OF))
     assert rows(I.silver_from_state(I.read_state(spark, path), ntz(AS_OF))) == full
 
 
@@ -214,7 +214,7 @@ def test_stream_resumes_where_it_stopped(spark, raw, rows):
 def test_stream_dedup_within_watermark(spark, raw):
     source, out, marks = (scratch_path(spark, n) for n in ("src", "out", "marks"))
     raw.write.parquet(source)
-    stream = I.dedup_stream(spark.readStream.schema(raw.schema).parquet(source).withColumn("ingested_at", F.col("ingested_at").cast("timestamp")), "10 days")
+    stream = I.dedup_stream(spark.readStream.schema(raw.schema).parquet(source).withColumn("ingested_at", F.col("ingested_at").cast("timestamp")))
     stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", marks).trigger(availableNow=True).start().awaitTermination()
     assert spark.read.parquet(out).count() == 4
 
@@ -234,13 +234,20 @@ def test_sync_replica_to_lake(spark, raw, replica):
     assert merged.schema == gold.schema or merged.columns == gold.columns
 
 
-def test_days_are_written_in_the_asked_number_of_files(spark, raw):
+def test_files_of_a_day_follow_its_size(spark, raw):
     path = scratch_path(spark, "days")
-    many = raw.withColumn("id", F.explode(F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: F.concat_ws("-", "id", i.cast("string")))))
-    S.create_bronze(many.repartition(8), path, files_per_day=2)
-    per_day = FI.list_files(spark, path).groupBy(F.regexp_extract("path", "ingest_day=([^/]+)", 1)).count().collect()
-    assert len(per_day) == 4 and all(r["count"] <= 2 for r in per_day)
-    assert spark.read.parquet(path).count() == 200
+    stamps = F.when(F.col("n") == 0, F.lit("2024-01-01")).otherwise(F.lit("2024-01-02")).cast("timestamp_ntz")
+    many = spark.range(60_000).withColumn("n", F.col("id") % 50).select(
+        F.col("id").cast("string").alias("id"), F.sha2(F.col("id").cast("string"), 512).alias("content"), stamps.alias("ingested_at"))
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        S.create_bronze(many.repartition(40), path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    per_day = {r[0]: r["count"] for r in FI.list_files(spark, path).groupBy(F.regexp_extract("path", "ingest_day=([^/]+)", 1)).count().collect()}
+    assert per_day["2024-01-01"] == 1 and 3 <= per_day["2024-01-02"] <= 20, per_day
+    assert spark.read.parquet(path).count() == 60_000
 
 
 def test_partitioned_gold_stages_merges_and_cleans(spark, raw):
@@ -252,7 +259,7 @@ def test_partitioned_gold_stages_merges_and_cleans(spark, raw):
     assert V.parquet_or_none(spark, staging) is None
     both = J.partitioned_gold(spark, silver, staging, target, ntz(AS_OF))
     assert sorted(r.chunk_id for r in both.collect()) == ["2-1", "5-1", "5-2", "5-3"]
-    with pytest.raises(Exception, match="exist"):
+    with pytest.raises(FileNotFoundError, match="no partitions"):
         J.partitioned_gold(spark, scratch_path(spark, "none"), staging, target, ntz(AS_OF))
 
 
@@ -264,3 +271,36 @@ def test_compacted_state_gives_the_same_table_and_takes_batches(spark, raw, rows
     assert I.read_state(spark, old).count() == 3 and I.read_state(spark, new).count() == 2
     I.add_batch(raw.where("id > '3'"), new, 2)
     assert rows(I.silver_from_state(I.read_state(spark, new), ntz(AS_OF))) == rows(P.silver_documents(raw, ntz(AS_OF)))
+
+
+def test_late_and_equal_times_survive_in_any_batch_order(spark, raw, rows):
+    full = rows(P.silver_documents(raw, ntz(AS_OF)))
+    ids = sorted(r.id for r in raw.collect())
+    for order in (ids, ids[::-1], ids[2:] + ids[:2]):
+        path, silver = scratch_path(spark, "state"), None
+        for batch, i in enumerate(order):
+            silver = I.silver_incremental(raw.where(F.col("id") == i), path, batch, ntz(AS_OF), first=batch == 0, silver=silver)
+        assert rows(silver) == full
+        again = I.silver_incremental(raw, path, len(order) - 1, ntz(AS_OF))
+        assert rows(again) == full
+
+
+def test_the_last_of_equal_keys_in_a_batch_wins(spark):
+    current = spark.createDataFrame([("a", "old")], "id string, content string").withColumns(
+        {"created_at": ntz("2024-01-01"), "updated_at": F.lit(None).cast("timestamp_ntz")})
+    batch = spark.createDataFrame([("a", "first", 1), ("a", "last", 2), ("b", "x", 1), ("b", "x", 1)], "id string, content string, n int")
+    merged = S.upsert_documents(current, batch.drop("n"), ntz(AS_OF)).collect()
+    assert sorted((r.id, r.content) for r in merged) == [("a", "last"), ("b", "x")]
+    by_n = S.upsert_documents(current.withColumn("n", F.lit(0)), batch, ntz(AS_OF), order=[F.asc("n")]).collect()
+    assert {r.id: r.content for r in by_n}["a"] == "first"
+
+
+def test_expired_versions_stay_expired(spark):
+    root = scratch_path(spark, "versions")
+    for day in range(1, 5):
+        V.publish_version(spark.range(day), root, ntz(f"2024-01-0{day}"))
+    assert V.expire(spark, root, ntz("2024-02-01"), 7, 2) == 2
+    assert V.expire(spark, root, ntz("2024-02-01"), 7, 2) == 0
+    with pytest.raises(FileNotFoundError):
+        V.read_version(spark, root, as_of=ntz("2024-01-02"))
+    assert V.read_version(spark, root, as_of=ntz("2024-01-03")).count() == 3
