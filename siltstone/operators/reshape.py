@@ -94,6 +94,9 @@ def unpivot(
     return df.select(*exclude, F.inline(F.array(*pairs)))
 
 
+# Units of a spine made by one generator call.
+SPINE_BLOCK = 10_000
+
 # Copies of a row made by one generator call.
 COPIES_AT_ONCE = 10_000
 
@@ -141,13 +144,18 @@ def date_spine(
 def spine_between(bounds: DataFrame, unit: str, start: str, end: str) -> DataFrame:
     """The spine for bounds held in a frame of few rows, for instance min and max of a table.
 
-    The number of rows is the number of calendar units between the bounds.
+    The number of rows is the number of calendar units between the bounds. They
+    are made a block at a time, and blocks are spread over the tasks first, so
+    neither an array nor a task has to hold a long spine.
     """
     a, b = F.col(start).cast("timestamp_ntz"), F.col(end).cast("timestamp_ntz")
     steps = intervals_between(a, b, unit)
-    numbered = bounds.where(steps > 0).select(
-        a.alias("_start"), F.explode(F.sequence(F.lit(0).cast("bigint"), steps - 1)).alias("_step")
-    )
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((steps - 1) / SPINE_BLOCK).cast("bigint"))
+    cut = bounds.where(steps > 0).select(
+        a.alias("_start"), steps.alias("_steps"), F.explode(blocks).alias("_block")).repartition("_block")
+    first = F.col("_block") * SPINE_BLOCK
+    last = F.least(first + SPINE_BLOCK, F.col("_steps")) - 1
+    numbered = cut.select("_start", F.explode(F.sequence(first, last)).alias("_step"))
     return numbered.select(
         F.timestamp_add(unit, F.col("_step").cast("int"), F.col("_start")).cast("timestamp_ntz").alias(f"date_{unit}")
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 
 from siltstone.functions.maths import log_natural
 from siltstone.operators.joins import with_one_row
-from siltstone.operators.ordered import cut_by_range, neighbours, with_neighbour
+from siltstone.operators.ordered import cut_by_range, neighbours, with_neighbour, with_running_total
 from siltstone.operators.reshape import repeat_rows
 
 
@@ -111,7 +111,8 @@ def lag_difference(
 ) -> DataFrame:
     """Change against ``back`` periods earlier, on logs if wanted.
 
-    The input is a per-period aggregate: a group has one row per period.
+    The input is a per-period aggregate: a group has one row per period. Without
+    groups the periods are numbered and joined, as no window should hold them all.
     """
     def metric(c: str) -> Column:
         return F.coalesce(log_natural(c) if take_logs else F.col(c), F.lit(0))
@@ -119,12 +120,35 @@ def lag_difference(
     if not take_diffs:
         return df.withColumn(name, metric(value))
     prior = f"prior_{value}"
-    window = W.partitionBy(*by).orderBy(order)
-    return df.withColumn(prior, F.lag(value, back).over(window)).withColumn(name, metric(value) - metric(prior))
+    if by:
+        rows = df.withColumn(prior, F.lag(value, back).over(W.partitionBy(*by).orderBy(order)))
+    else:
+        ranked = numbered_periods(df, order)
+        earlier = ranked.select((F.col(PERIOD) + back).alias(PERIOD), F.col(value).alias(prior))
+        rows = ranked.join(earlier, PERIOD, "left").select(*df.columns, prior)
+    return rows.withColumn(name, metric(value) - metric(prior))
+
+
+PERIOD = "_period"
+
+
+def numbered_periods(df: DataFrame, order: str) -> DataFrame:
+    """Rows with their number in the order of the whole table, without a window over all of them."""
+    counted = with_running_total(df.withColumn("_one", F.lit(1)), [], [order], "_one", PERIOD, "_all")
+    return counted.drop("_one", "_all")
 
 
 def moving_stats(df: DataFrame, by: Sequence[str], order: str, value: str, back: int, prefix: str) -> DataFrame:
-    """Mean and standard deviation of the ``back`` rows before each row (per-period input)."""
+    """Mean and standard deviation of the ``back`` rows before each row (per-period input).
+
+    Without groups every row is handed to the ``back`` rows after it and summed up there.
+    """
+    if not by:
+        ranked = numbered_periods(df, order)
+        after = F.sequence(F.col(PERIOD) + 1, F.col(PERIOD) + back)
+        stats = ranked.select(F.explode(after).alias(PERIOD), F.col(value).alias("_value")).groupBy(PERIOD).agg(
+            F.avg("_value").alias(f"{prefix}_average"), F.stddev_samp("_value").alias(f"{prefix}_stddev"))
+        return ranked.join(stats, PERIOD, "left").select(*df.columns, f"{prefix}_average", f"{prefix}_stddev")
     window = W.partitionBy(*by).orderBy(order).rowsBetween(-back, -1)
     return df.withColumns({
         f"{prefix}_average": F.avg(value).over(window),

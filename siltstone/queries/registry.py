@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.session import ship_package
 from siltstone.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,7 +32,11 @@ def query(name: str, sql: str | None = None):
     def add(build: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = lambda spark, folder: plain(build(Tables(spark, folder)))
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
+            return plain(build(Tables(spark, folder)))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return build

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +34,27 @@ def build_session(app: str = "siltstone", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, which need not have it on their path. Once per application."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="siltstone-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # the driver serves the file as long as it runs
+    archive = os.path.join(folder, "siltstone.zip")
+    with zipfile.ZipFile(archive, "w") as packed:
+        for path, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                file = os.path.join(path, name)
+                packed.write(file, os.path.relpath(file, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

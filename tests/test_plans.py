@@ -129,3 +129,31 @@ def test_large_sides_are_not_broadcast(spark, t):
             assert "Broadcast" not in plan(df)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_moving_windows_without_groups_hold_no_period_series_in_one_task(spark, t):
+    days = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.sum("o_totalprice").alias("v"))
+    for made in (WO.moving_stats(days, [], "day", "v", 7, "m"), WO.lag_difference(days, [], "day", "v", 2)):
+        assert "Window [avg" not in plan(made) and "Window [lag" not in plan(made)
+
+
+def test_moving_windows_without_groups_give_the_windows_values(spark):
+    rows = [(i, float(i * i % 17) if i % 5 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "day int, v double")
+    tagged = df.withColumn("g", F.lit(1))
+    for make, names in (
+        (lambda d, by: WO.moving_stats(d, by, "day", "v", 4, "m"), ["day", "m_average", "m_stddev"]),
+        (lambda d, by: WO.lag_difference(d, by, "day", "v", 3, take_logs=False), ["day", "prior_v", "metric_test_value"]),
+    ):
+        one = {r[0]: r[1:] for r in make(df, []).select(names).collect()}
+        two = {r[0]: r[1:] for r in make(tagged, ["g"]).select(names).collect()}
+        assert one.keys() == two.keys()
+        for key, values in one.items():
+            assert values == pytest.approx(two[key], nan_ok=True) or values == two[key]
+
+
+def test_a_long_spine_is_made_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(R, "SPINE_BLOCK", 7)
+    spine = R.date_spine(spark, "day", "2020-01-01", "2020-03-01")
+    assert [str(r[0])[:10] for r in spine.orderBy("date_day").collect()][:2] == ["2020-01-01", "2020-01-02"]
+    assert spine.count() == 60 and spine.distinct().count() == 60
