@@ -11,7 +11,7 @@ from siltstone.llm.perplexity import judged, trusted_ids
 from siltstone.llm.pieces import round_trip
 from siltstone.llm.pii import personal_data
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
-from siltstone.llm.secrets import secret_report
+from siltstone.llm.secrets import BASE, EXAMPLE_OWNERS, KINDS, LIVE_VARIETY, TOKEN, secret_report
 from siltstone.llm.shards import shard_documents
 from siltstone.llm.simhash import near_groups
 from siltstone.llm.warc import archive_round_trip
@@ -42,7 +42,38 @@ def op3(spark, folder):
     return found.select("doc_id", "lang", "n_chars", "perplexity", "threshold", "kept")
 
 
-@query("op4_secret_scan")
+def _hits_sql(kind: int, pattern: str, group: int) -> str:
+    """Matches of a pattern in order with what stands before each, as in the operator."""
+    quoted = pattern.replace("'", "''")
+    return f"""SELECT doc_id, owner, {kind} AS kind, unnest(range(1, len(m) + 1)) AS pos, unnest(m) AS m, unnest(v) AS v, unnest(g[:len(m)]) AS g FROM (
+  SELECT doc_id, owner, regexp_extract_all(t, '{quoted}', 0) AS m, regexp_extract_all(t, '{quoted}', {group}) AS v,
+         string_split_regex(t, '{quoted}') AS g FROM docs) WHERE len(m) > 0"""
+
+
+SECRETS_SQL = f"""WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner FROM documents),
+hits AS ({" UNION ALL ".join(_hits_sql(k, p, g) for k, (p, g, _) in enumerate([*BASE.values(), (TOKEN, 0, 20)]))}),
+placed AS (
+  SELECT doc_id, owner, kind, v AS value, length(m) AS n,
+         sum(length(g) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY pos) AS e FROM hits),
+spans AS (
+  SELECT doc_id, owner, kind, value, CAST(e - n AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM placed
+  WHERE length(value) >= CASE kind {" ".join(f"WHEN {k} THEN {least}" for k, (_, _, least) in enumerate(BASE.values()))} ELSE 20 END),
+candidates AS (
+  SELECT * FROM spans WHERE kind < {len(BASE)}
+  UNION ALL SELECT * FROM spans c WHERE kind = {len(BASE)} AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+    AND len(list_distinct(string_split(value, ''))) >= {LIVE_VARIETY}
+    AND NOT EXISTS (SELECT 1 FROM spans b WHERE b.kind < {len(BASE)} AND b.doc_id = c.doc_id AND b.s < c.e AND b.e > c.s)),
+owners AS (SELECT value, count(DISTINCT owner) >= {EXAMPLE_OWNERS} AS example FROM candidates GROUP BY ALL),
+judged AS (SELECT c.*, example, ['{"', '".join(KINDS)}'][kind + 1] || ':' || s || ':' || e AS shown
+  FROM candidates c JOIN owners USING (value) WHERE kind < {len(BASE)} OR NOT example)
+SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
+  sha256(coalesce(string_agg(shown, ',' ORDER BY s, kind) FILTER (WHERE kind < {len(BASE)}), '')) AS base_sha256,
+  coalesce(string_agg(shown, ',' ORDER BY s, kind), '') AS spans,
+  count(*) FILTER (WHERE kind = {len(BASE)}) AS n_owned, count(*) FILTER (WHERE example) AS n_example
+FROM docs LEFT JOIN judged USING (doc_id) GROUP BY doc_id"""
+
+
+@query("op4_secret_scan", SECRETS_SQL)
 def op4(spark, folder):
     return secret_report(table(spark, folder, "documents"))
 
