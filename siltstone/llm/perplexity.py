@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.llm.keys import text_of
+from siltstone.llm.keys import join_facts, text_of
 from siltstone.session import scratch_path, settle
 
 ORDER = 4
@@ -47,7 +47,8 @@ MOST_CELLS = 1 << 24
 def _ranked(codes: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes in ascending order, and the place of each code among them."""
     if cells > MOST_CELLS:
-        return np.unique(codes, return_inverse=True)
+        distinct, rank = np.unique(codes, return_inverse=True)
+        return distinct, rank.astype(np.int32)
     seen = np.zeros(cells, bool)
     seen[codes] = True
     distinct = np.flatnonzero(seen)
@@ -62,21 +63,21 @@ class Grams:
     def __init__(self, texts: list[str], order: int):
         pad = PAD * (order - 1)
         self.joined = "".join(pad + t for t in texts)
-        symbols = np.frombuffer(self.joined.encode("utf-32-le"), "<u4")
         self.lengths = np.array([len(t) for t in texts], np.int64)
         ends = np.cumsum(self.lengths + order - 1)
-        is_text = np.ones(len(symbols), bool)
+        is_text = np.ones(len(self.joined), bool)
         for back in range(order - 1):
             is_text[ends - self.lengths - 1 - back] = False
-        distinct, symbol = _ranked(symbols, 0x110000)
-        kinds = len(distinct)
-        code = symbol.astype(np.int64)
-        for n in range(1, order):
+        distinct, symbol = _ranked(np.frombuffer(self.joined.encode("utf-32-le"), "<u4"), 0x110000)
+        kinds, code = len(distinct), symbol
+        for _ in range(1, order):
             # Codes of n-grams that end one place earlier, continued by this place's symbol; those across texts do no harm.
-            before = np.append(code[:1], code[:-1])
-            count = int(code.max()) + 1 if len(code) else 1
-            _, code = _ranked(before * kinds + symbol, count * kinds)
-            code = code.astype(np.int64)
+            cells = (int(code.max()) + 1 if len(code) else 1) * kinds
+            longer = np.empty(len(code), np.int32 if cells < 1 << 31 else np.int64)
+            longer[:1], longer[1:] = code[:1], code[:-1]
+            longer *= kinds
+            longer += symbol
+            code = _ranked(longer, cells)[1]
         at_text = np.flatnonzero(is_text)
         used, self.number = _ranked(code[at_text], int(code.max()) + 1 if len(code) else 1)
         self.count = len(used)
@@ -99,7 +100,7 @@ class Grams:
         return totals[ends] - totals[ends - self.lengths]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, pa.Table]]:
+def _blocks(batches: Iterator[pa.RecordBatch], most_chars: int) -> Iterator[tuple[str, str, pa.Table]]:
     """(name, language, rows) of a task's documents: rows of one language, of bounded size."""
     task, number = TaskContext.get().partitionId(), 0
     for batch in batches:
@@ -109,7 +110,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, pa.Ta
         sizes = pa.compute.utf8_length(rows["text"]).to_numpy()
         for code, name in enumerate(coded.dictionary.to_pylist()):
             mine = np.flatnonzero(language == code)
-            part = (np.cumsum(sizes[mine]) - sizes[mine]) // BLOCK_CHARS
+            part = (np.cumsum(sizes[mine]) - sizes[mine]) // most_chars
             for p in np.unique(part):
                 yield f"{task}-{number}", name, rows.take(pa.array(mine[part == p]))
                 number += 1
@@ -131,8 +132,10 @@ def digest_of() -> Column:
 
 def block_grams(rows: DataFrame, order: int) -> DataFrame:
     """(block, number, lang, gram, n): a block's distinct n-grams, and how often they occur in trusted texts; written once."""
+    most_chars = BLOCK_CHARS
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, lang, table in _blocks(batches):
+        for block, lang, table in _blocks(batches, most_chars):
             grams = Grams(table["text"].to_pylist(), order)
             counts = grams.counts(table["trusted"].to_numpy().astype(np.int64))
             strings = grams.strings()
@@ -151,8 +154,10 @@ def block_grams(rows: DataFrame, order: int) -> DataFrame:
 
 def packed_blocks(rows: DataFrame) -> DataFrame:
     """(block, lang, rows): the same blocks with their rows compressed, as they travel to their n-grams."""
+    most_chars = BLOCK_CHARS
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, lang, table in _blocks(batches):
+        for block, lang, table in _blocks(batches, most_chars):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as writer:
                 writer.write_table(table)
@@ -175,16 +180,16 @@ def count_tables(trusted: DataFrame, order: int) -> list[DataFrame]:
 
 
 def discounts(counts: DataFrame) -> DataFrame:
-    """(lang, d1, d2, d3): a row per language."""
+    """(lang, d1, d2, d3, rows): a row per language, with its number of n-grams."""
     n1, n2, n3, n4 = (F.count_if(F.col("c") == k).cast("double") for k in (1, 2, 3, 4))
-    rates = counts.groupBy("lang").agg(n1.alias("n1"), n2.alias("n2"), n3.alias("n3"), n4.alias("n4"))
+    rates = counts.groupBy("lang").agg(n1.alias("n1"), n2.alias("n2"), n3.alias("n3"), n4.alias("n4"), F.count(F.lit(1)).alias("rows"))
     y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
     enough = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("n3") > 0) & (F.col("n4") > 0)
     found = [k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}") for k in (1, 2, 3)]
     return rates.select("lang", *[
         F.when(enough, F.greatest(F.lit(1e-3), d)).otherwise(F.lit(fixed)).alias(f"d{k}")
         for k, (d, fixed) in enumerate(zip(found, DISCOUNTS), 1)
-    ])
+    ], "rows")
 
 
 def contexts(counts: DataFrame, n: int) -> DataFrame:
@@ -201,7 +206,7 @@ def probabilities(queried: DataFrame, tables: list[DataFrame]) -> DataFrame:
     for n in range(1, order + 1):
         counts = tables[n - 1]
         asked = queried.select("lang", _tail("gram", n).alias("gram")).distinct() if n < order else queried
-        facts = contexts(counts, n).join(discounts(counts), "lang").select(
+        facts = join_facts(contexts(counts, n), discounts(counts), ["lang"], "rows", counts.count()).select(
             "lang", "head", "total", "d1", "d2", "d3",
             ((F.col("d1") * F.col("n1") + F.col("d2") * F.col("n2") + F.col("d3") * F.col("n3")) / F.col("total")).alias("weight"))
         discount = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
@@ -255,9 +260,10 @@ def scores(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame
 def judged(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame:
     """(doc_id, digest, lang, n_chars, perplexity, threshold, kept)."""
     found = scores(docs, trusted, order)
-    limits = found.where("trusted").groupBy("lang").agg(
-        (F.percentile_approx("surprise", QUANTILE, 100_000) + MARGIN).alias("_limit"))
-    return found.join(limits, "lang", "left").select(
+    limits = found.groupBy("lang").agg(
+        (F.percentile_approx(F.when(F.col("trusted"), F.col("surprise")), QUANTILE, 100_000) + MARGIN).alias("_limit"),
+        F.count(F.lit(1)).alias("_rows"))
+    return join_facts(found, limits, ["lang"], "_rows", found.count()).select(
         "doc_id", "digest", "lang", "n_chars", F.exp("surprise").alias("perplexity"), F.exp("_limit").alias("threshold"),
         F.coalesce(F.col("surprise") <= F.col("_limit"), F.lit(True)).alias("kept"))
 
