@@ -49,6 +49,8 @@ BUCKETS = 256
 WORD = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
 UNITS = re.compile(WORD + r"(?![^ \t\r\n.,;:!?#$%&*()])|[^ \t\r\n]+")
 LATIN = re.compile("[\x00-\xff]*")
+# Distinct units from which a generation of remembered ones is full.
+MOST_UNITS = 1 << 17
 # Words encoded as one text.
 WORDS_AT_ONCE = 512
 
@@ -64,7 +66,7 @@ class WordEncoder:
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends_word[i] = token.endswith("</w>")
-        self.table = UnitTable(self._unit_ids, self._units)
+        self.table = UnitTable(self._unit_ids, MOST_UNITS, self._units)
 
     def _each(self, units: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]

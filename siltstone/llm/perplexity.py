@@ -78,8 +78,8 @@ class Grams:
             longer *= kinds
             longer += symbol
             code = _ranked(longer, cells)[1]
-        at_text = np.flatnonzero(is_text)
-        used, self.number = _ranked(code[at_text], int(code.max()) + 1 if len(code) else 1)
+        code, at_text = code[is_text], np.flatnonzero(is_text)
+        used, self.number = _ranked(code, int(code.max()) + 1 if len(code) else 1)
         self.count = len(used)
         place = np.empty(self.count, np.int64)
         place[self.number] = at_text
@@ -95,7 +95,8 @@ class Grams:
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         """Per text, the sum of its n-grams' values."""
-        totals = np.append(0.0, np.cumsum(values[self.number]))
+        totals = np.zeros(len(self.number) + 1)
+        np.cumsum(values[self.number], out=totals[1:])
         ends = np.cumsum(self.lengths)
         return totals[ends] - totals[ends - self.lengths]
 
@@ -114,6 +115,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], most_chars: int) -> Iterator[tupl
             for p in np.unique(part):
                 yield f"{task}-{number}", name, rows.take(pa.array(mine[part == p]))
                 number += 1
+        pa.default_memory_pool().release_unused()
 
 
 def _prepared(docs: DataFrame, trusted: DataFrame) -> DataFrame:

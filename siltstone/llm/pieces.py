@@ -40,6 +40,8 @@ from siltstone.llm.units import ByteTable, UnitTable, parts_by_size
 BLANK = "▁"
 # A text's units where blanks may stand together or at its end.
 UNITS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+# Distinct units from which a generation of remembered ones is full.
+MOST_UNITS = 1 << 18
 # Pairs of tokens whose compatibility a task remembers.
 MOST_PAIRS = 1 << 20
 # Probe texts that a model with identity normalisation, a leading blank and kept blanks encodes without loss.
@@ -88,7 +90,7 @@ class PieceModel:
         self.known_pairs = 0
         self.spoken = ByteTable(spoken)
         self.numbers = ByteTable([b"%d," % i for i in range(model.vocab_size())])
-        self.table = UnitTable(lambda units: [self.unit_ids(u) for u in units])
+        self.table = UnitTable(lambda units: [self.unit_ids(u) for u in units], MOST_UNITS)
 
     def merged(self, text: str) -> list[str]:
         """Tokens of a short text by the merging rule itself."""

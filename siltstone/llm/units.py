@@ -14,8 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Distinct units, and their ids, from which a generation is full; a process remembers two.
-MOST_UNITS = 1 << 18
+# Ids from which a generation is full; a process remembers two, and keeps them for later tasks.
 MOST_IDS = 1 << 22
 # Bytes of text whose words are parted at a time.
 PART_BYTES = 16 << 20
@@ -59,8 +58,8 @@ class Generation:
     def end(self) -> int:
         return int(self.starts[len(self.codes)])
 
-    def full(self) -> bool:
-        return len(self.codes) > MOST_UNITS or self.end() > MOST_IDS
+    def full(self, most: int) -> bool:
+        return len(self.codes) > most or self.end() > MOST_IDS
 
     def add(self, units: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         """New units with their ids one after another."""
@@ -85,10 +84,11 @@ class UnitTable:
     """Ids of words by their units. A full generation becomes the old one; units met again move to the new one.
 
     ``encode`` gives the ids of units that are new, ``units`` parts a word unless words are units.
+    A generation is full with ``most`` units.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], units: Callable[[str], list[str]] | None = None):
-        self.units, self.encode_units = units, encode
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int, units: Callable[[str], list[str]] | None = None):
+        self.units, self.encode_units, self.most = units, encode, most
         self.new, self.old = Generation(), Generation()
 
     def _learn(self, units: list[str]) -> None:
@@ -101,7 +101,7 @@ class UnitTable:
 
     def _distinct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words one after another, and how many each has."""
-        if self.new.full():
+        if self.new.full(self.most):
             self.new, self.old = Generation(), self.new
         parted = [self.units(w) for w in words] if self.units else None
         units = words if parted is None else list(chain.from_iterable(parted))

@@ -10,7 +10,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from siltstone.llm import units
+from siltstone.llm import pieces
 from siltstone.llm.pieces import PieceModel, decode_ids, encode_texts, round_trip
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -39,7 +39,7 @@ def test_long_units(text):
 
 
 def test_generations(monkeypatch):
-    monkeypatch.setattr(units, "MOST_UNITS", 20)
+    monkeypatch.setattr(pieces, "MOST_UNITS", 20)
     model = PieceModel(PATH)
     for k in range(30):
         text = " ".join(f"{'  ' * (i % 3)}word{i * k % 17} über{i}" for i in range(60))
