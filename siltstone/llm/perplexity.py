@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,8 +32,8 @@ from siltstone.llm.keys import join_facts, text_of
 from siltstone.session import scratch_path, settle
 
 ORDER = 4
-# Labelled rows that the model is trained on: those with the smallest hashes of their id. This bounds what is broadcast.
-TRUSTED_ROWS = 1 << 17
+# Rows of a partition whose trust is told in one row of bits.
+BITS = 1 << 15
 # Share of a language's trusted documents below the threshold, and what is added to it, in nats per character.
 QUANTILE, MARGIN = 0.999, 0.1
 # Discounts of counts one, two, and three or more where they cannot be estimated.
@@ -118,13 +118,38 @@ def _blocks(batches: Iterator[pa.RecordBatch], most_chars: int) -> Iterator[tupl
         pa.default_memory_pool().release_unused()
 
 
-def _prepared(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(doc_id, digest, lang, text, trusted)."""
-    ids = trusted.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_ROWS)
-    return docs.select(
-        "doc_id", digest_of().alias("digest"), F.coalesce("lang", F.lit("")).alias("lang"), text_of().alias("text"),
-    ).join(F.broadcast(ids.withColumn("_trusted", F.lit(True))), "doc_id", "left").withColumn(
-        "trusted", F.coalesce("_trusted", F.lit(False))).drop("_trusted")
+def _prepared(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, lang, text)."""
+    return docs.select("doc_id", digest_of().alias("digest"), F.coalesce("lang", F.lit("")).alias("lang"), text_of().alias("text"))
+
+
+def trusted_bits(docs: DataFrame, trusted: DataFrame) -> dict[tuple[int, int], bytes]:
+    """Which rows are trusted, as bits by (partition, BITS rows of it): an eighth of a byte per row, so that no text moves.
+
+    Ids are joined without a bound; only the bits come to the driver. Like the
+    blocks, they count on ``docs`` having the same rows in the same partitions.
+    """
+    ids = trusted.select("doc_id").where("doc_id is not null").distinct()
+    placed = docs.select("doc_id", F.monotonically_increasing_id().alias("_place"))
+    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    found = placed.join(ids, "doc_id", "left_semi").select(
+        F.shiftright("_place", 33).alias("task"), F.floor(inside / BITS).alias("part"), (inside % BITS).alias("bit"))
+    rows = found.groupBy("task", "part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    return {(r["task"], r["part"]): bytes(r["bits"]).rstrip(b"\0") for r in rows.toLocalIterator()}
+
+
+def _marked(batches: Iterator[pa.RecordBatch], bits: dict[tuple[int, int], bytes]) -> Iterator[pa.RecordBatch]:
+    """A task's rows with the column ``trusted``."""
+    task, at = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        places = np.arange(at, at + batch.num_rows)
+        at += batch.num_rows
+        known = np.zeros(batch.num_rows, bool)
+        for part in np.unique(places // BITS).tolist():
+            told = np.unpackbits(np.frombuffer(bits.get((task, part), b"").ljust(BITS // 8, b"\0"), np.uint8), bitorder="little")
+            mine = places // BITS == part
+            known[mine] = told[places[mine] % BITS]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(known)], names=[*batch.schema.names, "trusted"])
 
 
 def digest_of() -> Column:
@@ -132,12 +157,12 @@ def digest_of() -> Column:
     return F.xxhash64(text_of())
 
 
-def block_grams(rows: DataFrame, order: int) -> DataFrame:
+def block_grams(rows: DataFrame, bits: Broadcast, order: int) -> DataFrame:
     """(block, number, lang, gram, n): a block's distinct n-grams, and how often they occur in trusted texts; written once."""
     most_chars = BLOCK_CHARS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, lang, table in _blocks(batches, most_chars):
+        for block, lang, table in _blocks(_marked(batches, bits.value), most_chars):
             grams = Grams(table["text"].to_pylist(), order)
             counts = grams.counts(table["trusted"].to_numpy().astype(np.int64))
             strings = grams.strings()
@@ -154,12 +179,12 @@ def block_grams(rows: DataFrame, order: int) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def packed_blocks(rows: DataFrame) -> DataFrame:
+def packed_blocks(rows: DataFrame, bits: Broadcast) -> DataFrame:
     """(block, lang, rows): the same blocks with their rows compressed, as they travel to their n-grams."""
     most_chars = BLOCK_CHARS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, lang, table in _blocks(batches, most_chars):
+        for block, lang, table in _blocks(_marked(batches, bits.value), most_chars):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as writer:
                 writer.write_table(table)
@@ -231,8 +256,9 @@ def scores(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame
     partitions whenever it is read, as files and checkpoints do; a block that
     does not find its n-grams is an error.
     """
-    rows = _prepared(docs, trusted)
-    grams = block_grams(rows, order)
+    rows = _prepared(docs)
+    bits = docs.sparkSession.sparkContext.broadcast(trusted_bits(docs, trusted))
+    grams = block_grams(rows, bits, order)
     known = grams.where("n > 0").groupBy("lang", "gram").agg(F.sum("n").alias("c"))
     tables = count_tables(settle(known), order)
     found = probabilities(settle(grams.select("lang", "gram").distinct()), tables)
@@ -256,7 +282,7 @@ def scores(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame
             "n_chars": pa.array(mine.lengths), "surprise": pa.array(surprise, mask=~np.isfinite(surprise)),
         })
 
-    return settle(packed_blocks(rows).groupBy("block").cogroup(told.groupBy("block")).applyInArrow(score, schema))
+    return settle(packed_blocks(rows, bits).groupBy("block").cogroup(told.groupBy("block")).applyInArrow(score, schema))
 
 
 def judged(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame:

@@ -152,3 +152,11 @@ def test_held_out_labels():
         kept += [model.surprise(t) <= limit for *_, t, q in test if q == 1 and t]
         caught += [model.surprise(t) > limit for *_, t, q in test if q == 0 and t]
     assert np.mean(kept) > 0.98 and np.mean(caught) > 0.5, (np.mean(kept), np.mean(caught), len(caught))
+
+
+def test_every_trusted_row_counts(spark):
+    """No bound on the trusted rows, and none for a rare language among many."""
+    n = 140_000
+    docs = spark.range(n).selectExpr("id as doc_id", "if(id % 20000 = 7, 'rare', 'en') as lang", "concat('ab', id % 7) as text")
+    found = scores(docs, docs.select("doc_id"), 2).groupBy("lang", "trusted").count().collect()
+    assert {(r["lang"], r["trusted"]): r["count"] for r in found} == {("en", True): n - 7, ("rare", True): 7}
