@@ -7,7 +7,9 @@ per block and not one per place. Counts, contexts, lower orders and queried
 n-grams are sharded by (lang, n-gram) and joined in Spark. The probabilities
 that come back to a block are looked up by number while its texts are read
 again. A document stays if its mean negative log-probability is not above its
-language's threshold, a high quantile of the trusted documents' plus a margin.
+language's threshold, a high quantile of the trusted documents' plus a margin,
+and neither is the share of its n-grams that stand already shortly before: runs
+of a likely word are not unlikely to the model.
 
 Defined results: a null language is a language of its own; a document without
 characters, or in a language without trusted documents, has no perplexity and
@@ -34,8 +36,11 @@ from siltstone.session import scratch_path, settle
 ORDER = 4
 # Rows of a partition whose trust is told in one row of bits.
 BITS = 1 << 15
-# Share of a language's trusted documents below the threshold, and what is added to it, in nats per character.
-QUANTILE, MARGIN = 0.999, 0.1
+# Share of a language's trusted documents below the threshold, and what is added to it, in nats per character: their own
+# n-grams are in the model, so other good documents lie higher, most of all short ones. The same for the share of repeated n-grams.
+QUANTILE, MARGIN, REPEATS_MARGIN = 0.99, 0.25, 0.1
+# Characters before an n-gram in which its repetition counts.
+WINDOW = 64
 # Discounts of counts one, two, and three or more where they cannot be estimated.
 DISCOUNTS = (0.5, 1.0, 1.5)
 # What stands before a text; characters of a block, and of the tables that number its n-grams.
@@ -100,6 +105,17 @@ class Grams:
         ends = np.cumsum(self.lengths)
         return totals[ends] - totals[ends - self.lengths]
 
+    def repeats(self) -> np.ndarray:
+        """Per text, how many of its n-grams stand already among the WINDOW characters before them."""
+        order = np.argsort(self.number, kind="stable")
+        back = np.diff(order)
+        near = (np.diff(self.number[order]) == 0) & (back <= WINDOW)
+        place, back = order[1:][near], back[near]
+        ends = np.cumsum(self.lengths)
+        own = np.searchsorted(ends, place, side="right")
+        inside = place - back >= (ends - self.lengths)[own]
+        return np.bincount(own[inside], minlength=len(self.lengths))
+
 
 def _blocks(batches: Iterator[pa.RecordBatch], most_chars: int) -> Iterator[tuple[str, str, pa.Table]]:
     """(name, language, rows) of a task's documents: rows of one language, of bounded size."""
@@ -250,7 +266,7 @@ def probabilities(queried: DataFrame, tables: list[DataFrame]) -> DataFrame:
 
 
 def scores(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame:
-    """(doc_id, digest, lang, trusted, n_chars, surprise): mean negative log-probability per character; written once.
+    """(doc_id, digest, lang, trusted, n_chars, surprise, repeats): mean negative log-probability per character, share of repeated n-grams; written once.
 
     ``docs`` has doc_id, lang and text and gives the same rows in the same
     partitions whenever it is read, as files and checkpoints do; a block that
@@ -265,7 +281,7 @@ def scores(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame
     # A block of a language without a model keeps its n-grams, without probabilities.
     told = grams.join(found, ["lang", "gram"], "left").select("block", "number", F.log("p").alias("log_p"))
     schema = T.StructType([docs.schema["doc_id"]] + T.StructType.fromDDL(
-        "digest long, lang string, trusted boolean, n_chars long, surprise double").fields)
+        "digest long, lang string, trusted boolean, n_chars long, surprise double, repeats double").fields)
 
     def score(packed: pa.Table, numbers: pa.Table) -> pa.Table:
         (payload,) = packed["rows"].to_pylist()
@@ -276,24 +292,27 @@ def scores(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame
         log_p = np.empty(mine.count)
         log_p[numbers["number"].to_numpy()] = numbers["log_p"].to_numpy()
         with np.errstate(divide="ignore", invalid="ignore"):
-            surprise = -mine.sums(log_p) / mine.lengths
+            surprise, repeats = -mine.sums(log_p) / mine.lengths, mine.repeats() / mine.lengths
         return pa.table({
             "doc_id": table["doc_id"], "digest": table["digest"], "lang": table["lang"], "trusted": table["trusted"],
             "n_chars": pa.array(mine.lengths), "surprise": pa.array(surprise, mask=~np.isfinite(surprise)),
+            "repeats": pa.array(repeats, mask=mine.lengths == 0),
         })
 
     return settle(packed_blocks(rows, bits).groupBy("block").cogroup(told.groupBy("block")).applyInArrow(score, schema))
 
 
 def judged(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame:
-    """(doc_id, digest, lang, n_chars, perplexity, threshold, kept)."""
+    """(doc_id, digest, lang, n_chars, perplexity, threshold, kept); the threshold of a repetitive text is 0."""
     found = scores(docs, trusted, order)
     limits = found.groupBy("lang").agg(
         (F.percentile_approx(F.when(F.col("trusted"), F.col("surprise")), QUANTILE, 100_000) + MARGIN).alias("_limit"),
+        (F.percentile_approx(F.when(F.col("trusted"), F.col("repeats")), QUANTILE, 100_000) + REPEATS_MARGIN).alias("_most"),
         F.count(F.lit(1)).alias("_rows"))
     return join_facts(found, limits, ["lang"], "_rows", found.count()).select(
-        "doc_id", "digest", "lang", "n_chars", F.exp("surprise").alias("perplexity"), F.exp("_limit").alias("threshold"),
-        F.coalesce(F.col("surprise") <= F.col("_limit"), F.lit(True)).alias("kept"))
+        "doc_id", "digest", "lang", "n_chars", F.exp("surprise").alias("perplexity"),
+        F.when(F.col("repeats") > F.col("_most"), 0.0).otherwise(F.exp("_limit")).alias("threshold"),
+        F.coalesce((F.col("surprise") <= F.col("_limit")) & (F.col("repeats") <= F.col("_most")), F.lit(True)).alias("kept"))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

@@ -160,3 +160,25 @@ def test_every_trusted_row_counts(spark):
     docs = spark.range(n).selectExpr("id as doc_id", "if(id % 20000 = 7, 'rare', 'en') as lang", "concat('ab', id % 7) as text")
     found = scores(docs, docs.select("doc_id"), 2).groupBy("lang", "trusted").count().collect()
     assert {(r["lang"], r["trusted"]): r["count"] for r in found} == {("en", True): n - 7, ("rare", True): 7}
+
+
+def test_repeats_against_a_plain_count():
+    rng = random.Random(6)
+    texts = [text(rng, n, "ab c") for n in (0, 1, 30, 500)] + ["Der " * 100, "", "no repeats"]
+    plain = []
+    for t in texts:
+        grams = grams_of(t, 3)
+        plain.append(sum(g in grams[max(0, i - pp.WINDOW) : i] for i, g in enumerate(grams)))
+    assert Grams(texts, 3).repeats().tolist() == plain
+
+
+def test_runs_of_words_are_caught(spark):
+    """By kind of junk, over all labels of sf0.1."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    told = judged(docs, trusted_ids(labels)).join(labels, "doc_id").join(docs.select("doc_id", "text"), "doc_id").where("text <> ''").collect()
+    runs = [r.kept for r in told if r.quality == 0 and len(set(r.text.split())) < 0.3 * len(r.text.split())]
+    other = [r.kept for r in told if r.quality == 0 and len(set(r.text.split())) >= 0.3 * len(r.text.split())]
+    good = [r.kept for r in told if r.quality == 1 and r.toxic == 0]
+    print("kept:", [(sum(k), len(k)) for k in (good, runs, other)])
+    assert sum(runs) <= 0.01 * len(runs) and sum(other) <= 0.05 * len(other) and sum(good) >= 0.98 * len(good)
