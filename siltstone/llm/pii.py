@@ -8,10 +8,11 @@ or similar, by their digits or letters, are linked across it. Loopy belief
 propagation then carries what is known of one mention to the others: a node
 that is more likely personal data than not is reported as ``linked``, such as
 a phone number written without its country sign after it was given in full.
-Documents without a base span have nothing to carry and are left alone.
+Documents without a base span are judged by the same field.
 
-Repeated mentions are linked one to the next, so a number that occurs a
-thousand times has as many links. The weights are trained by pseudo-likelihood
+Base mentions are certain. Equal mentions share one variable, and similar ones
+are linked to a base mention where there is one, so a number is judged alike whether it occurs once
+or a thousand times. Messages are passed until they settle. The weights are trained by pseudo-likelihood
 on a bounded sample of documents: the patterns' labels, half of them hidden so
 that links are learned, pulled towards the defaults where the sample says little.
 
@@ -56,8 +57,11 @@ CHAIN_GAP = 24
 # Labels are none and the base kinds. Links: neighbours, equal nodes, similar nodes.
 NONE, LABELS = 0, 1 + len(BASE)
 CHAIN, SAME, SIMILAR = range(3)
-ROUNDS, DAMPING = 12, 0.3
+# Messages are settled when none moves by more than SETTLED; ROUNDS bounds those that swing.
+ROUNDS, SETTLED, DAMPING = 1000, 1e-8, 0.3
 REPORTED = 0.5
+# What fixes the label of a base mention, which is reported in any case, so that no number of other mentions outvotes it.
+CERTAIN = 50.0
 
 # Documents in the training sample and nodes of each; steps and pull of the training.
 TRAIN_ROWS, TRAIN_NODES = 2000, 200
@@ -135,6 +139,8 @@ class Graph:
     kinds: np.ndarray  # label of the pattern, NONE for other nodes
     shapes: np.ndarray
     links: np.ndarray  # (a, b, kind of link)
+    equal: list[str]  # what equal nodes share
+    similar: list[str | None]  # what similar nodes share
 
 
 def _free(spans: list[tuple[int, int]], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -180,7 +186,7 @@ def graph_of(text: str, base: list[tuple[int, int, int]]) -> Graph:
     nodes = sorted([(a, b, kind + 1) for a, kind, b in base] + [(a, b, NONE) for a, b in others])
 
     links, last_same, last_similar = [], {}, {}
-    shapes = []
+    shapes, equal, alike = [], [], []
     for i, (a, b, kind) in enumerate(nodes):
         if i and a - nodes[i - 1][1] <= CHAIN_GAP:
             links.append((i - 1, i, CHAIN))
@@ -193,6 +199,8 @@ def graph_of(text: str, base: list[tuple[int, int, int]]) -> Graph:
         else:
             same, similar = digits, digits[-SIMILAR_DIGITS:] if kind != 2 and len(digits) >= SIMILAR_DIGITS else None
         shapes.append(0 if named else 4 if len(digits) < 7 else 1 if len(digits) < 10 else 2 if len(digits) < 14 else 3)
+        equal.append(same)
+        alike.append(similar)
         linked = last_same.get(same)
         if linked is not None:
             links.append((linked, i, SAME))
@@ -204,7 +212,27 @@ def graph_of(text: str, base: list[tuple[int, int, int]]) -> Graph:
             last_similar[similar] = i
     return Graph(
         [(a, b) for a, b, _ in nodes], np.array([k for *_, k in nodes], np.int64), np.array(shapes, np.int64),
-        np.array(links, np.int64).reshape(-1, 3))
+        np.array(links, np.int64).reshape(-1, 3), equal, alike)
+
+
+def shared(graph: Graph) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(variable of every node, a node of every variable, links of variables): equal nodes of one label and shape are one variable."""
+    number: dict[tuple, int] = {}
+    keys = zip(graph.equal, graph.kinds.tolist(), graph.shapes.tolist())
+    of = np.array([number.setdefault(key, len(number)) for key in keys], np.int64)
+    first = np.unique(of, return_index=True)[1]
+    links = {(min(a, b), max(a, b), kind) for a, b, kind in zip(of[graph.links[:, 0]].tolist(), of[graph.links[:, 1]].tolist(), graph.links[:, 2].tolist()) if a != b}
+    # Similar variables hear a base mention at first hand.
+    known = {}
+    for i in first.tolist():
+        if graph.kinds[i] != NONE and graph.similar[i] is not None:
+            known.setdefault(graph.similar[i], i)
+    for i in first.tolist():
+        base = known.get(graph.similar[i])
+        if base is not None and graph.kinds[i] == NONE and graph.equal[i] != graph.equal[base]:
+            a, b = sorted((int(of[i]), int(of[base])))
+            links.add((a, b, SIMILAR))
+    return of, first, np.array(sorted(links), np.int64).reshape(-1, 3)
 
 
 def unaries(kinds: np.ndarray, shapes: np.ndarray, w: Weights) -> np.ndarray:
@@ -234,7 +262,10 @@ def marginals(unary: np.ndarray, links: np.ndarray, w: Weights, rounds: int = RO
             rest = normal(total[source] - message[back])
             # Equal labels get the bonus: the sum over all labels, with the own label's part raised.
             sent = normal(np.log(1.0 + np.expm1(bonus) * np.exp(rest)))
+            moved = np.abs(sent - message).max()
             message = DAMPING * message + (1 - DAMPING) * sent
+            if moved < SETTLED:
+                break
         total = unary.copy()
         np.add.at(total, target, message)
         belief = normal(total)
@@ -242,12 +273,14 @@ def marginals(unary: np.ndarray, links: np.ndarray, w: Weights, rounds: int = RO
 
 
 def linked_spans(text: str, base: list[tuple[int, int, int]], w: Weights) -> list[tuple[int, int]]:
-    if not base:
-        return []
     graph = graph_of(text, base)
     if (graph.kinds != NONE).all():
         return []
-    p = marginals(unaries(graph.kinds, graph.shapes, w), graph.links, w)
+    of, first, links = shared(graph)
+    kinds = graph.kinds[first]
+    unary = unaries(kinds, graph.shapes[first], w)
+    unary[kinds != NONE, kinds[kinds != NONE]] += CERTAIN
+    p = marginals(unary, links, w)[of]
     chosen = (graph.kinds == NONE) & (1 - p[:, NONE] > REPORTED)
     return [graph.spans[i] for i in np.flatnonzero(chosen)]
 
@@ -260,10 +293,7 @@ def training_rows(text: str, hide) -> list[tuple]:
 
     Other nodes that are linked to a mention are left out: whether they are personal data is the question.
     """
-    base = base_spans(text)
-    if not base:
-        return []
-    graph = graph_of(text, base)
+    graph = graph_of(text, base_spans(text))
     around = np.zeros((len(graph.spans), 3, LABELS))
     for a, b, kind in graph.links:
         around[a, kind, graph.kinds[b]] += 1

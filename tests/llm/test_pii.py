@@ -119,3 +119,23 @@ def test_rows(spark):
 
 def test_empty_table(spark):
     assert personal_data(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 20, 1000])
+def test_repeats_do_not_outvote_a_mention(n):
+    for again in ("269 555 0132", "+1 269 555 0132 x 269 555 0132", "12695550132", "0269 555 0132; 269 555 0132"):
+        text = "+1 269 555 0132 is the number" + (". Some words stand between the two: " + again) * n
+        base = base_spans(text)
+        graph = graph_of(text, base)
+        others = [span for span, kind in zip(graph.spans, graph.kinds) if kind == pii.NONE]
+        assert len(others) >= n and linked_spans(text, base, Weights()) == others
+
+
+def test_documents_without_base_spans_are_judged_alike():
+    w = Weights(nothing=1.65)
+    w.shapes[2, [0, 2, 4]] = -0.97, 0.99, 0.97
+    alone, beside = "Call 269 555 0132 today", "Call 269 555 0132 today" + " and so on" * 9 + " a@b.co"
+    found = linked_spans(beside, base_spans(beside), w)
+    assert base_spans(alone) == [] and base_spans(beside) and found == linked_spans(alone, [], w) == [(5, 17)]
+    assert linked_spans(alone, [], Weights()) == []
+    assert training_rows(alone, lambda i: False) == [(0, 0, 2, [0.0] * 15)]
