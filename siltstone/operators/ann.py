@@ -7,6 +7,7 @@ what is handed to the tasks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -16,10 +17,12 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.text import as_col
 from siltstone.functions.vectors import as_matrix, has_vector
-from siltstone.operators.search import vector_topk
+from siltstone.operators.search import knn_join, vector_topk
 from siltstone.sources.tables import write_by
 
 MAX_CENTROID_BYTES = 64 * 1024 * 1024
+# Share of the cells probed by default: what nine tenths of the true neighbours take even where vectors have no clusters.
+PROBED_SHARE = 0.75
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -149,14 +152,31 @@ def probe_cells(query: Sequence[float], centroids: np.ndarray, probes: int) -> l
     return [int(i) for i in np.argsort(-scores, kind="stable")[:probes]]
 
 
+def default_probes(cells: int) -> int:
+    return math.ceil(cells * PROBED_SHARE)
+
+
+def probed_cells(vector: Column | str, centroids: np.ndarray, probes: int) -> Column:
+    """The cells that ``probe_cells`` gives for every vector."""
+    fixed = centroids
+
+    @F.arrow_udf("array<int>")
+    def probed(v: pa.Array) -> pa.Array:
+        rows, present = as_matrix(v, fixed.shape[1])
+        found = iter([probe_cells(row, fixed, probes) for row in rows])
+        return pa.array([next(found) if p else None for p in present], pa.list_(pa.int32()))
+
+    return probed(as_col(vector))
+
+
 def ann_topk(
-    index: DataFrame, centroids: np.ndarray, query: Sequence[float], k: int = 10, probes: int = 4,
+    index: DataFrame, centroids: np.ndarray, query: Sequence[float], k: int = 10, probes: int | None = None,
     key: str = "id", vector: str = "embedding", columns: Sequence[str] = (),
 ) -> DataFrame:
-    """Exact top-k within the probed cells."""
+    """Exact top-k within the probed cells, by default ``default_probes`` of them."""
     if "cell" not in index.columns:
         raise ValueError("no index found: build one first, or use vector_topk")
-    probed = index.where(F.col("cell").isin(probe_cells(query, centroids, probes)))
+    probed = index.where(F.col("cell").isin(probe_cells(query, centroids, probes or default_probes(len(centroids)))))
     return vector_topk(probed, query, k, key, vector, columns)
 
 
@@ -164,3 +184,15 @@ def recall_at_k(found: DataFrame, exact: DataFrame, key: str = "id") -> DataFram
     """Share of the exact result that was found."""
     marked = exact.select(key).join(found.select(key, F.lit(1).alias("_hit")), key, "left")
     return marked.agg((F.count("_hit") / F.count(F.lit(1))).alias("recall"))
+
+
+def mean_recall(
+    index: DataFrame, centroids: np.ndarray, asked: DataFrame, k: int = 10, probes: int | None = None,
+    key: str = "id", vector: str = "embedding",
+) -> DataFrame:
+    """Share of the exact k nearest rows of all ``asked`` rows that ``ann_topk`` finds: those whose cell is probed."""
+    asked = asked.select(F.col(key).alias("_asked"), F.col(vector).alias("query_vector"))
+    exact = knn_join(asked, index.select(key, vector), k, "_asked", key=key)
+    probed = asked.select("_asked", probed_cells("query_vector", centroids, probes or default_probes(len(centroids))).alias("_probed"))
+    pairs = exact.select("_asked", key).join(index.select(key, "cell"), key).join(probed, "_asked")
+    return pairs.agg(F.avg(F.array_contains("_probed", F.col("cell")).cast("int")).alias("recall"))

@@ -98,7 +98,7 @@ def reindex(
 
 
 def search_replica(
-    spark: SparkSession, root: str, query: Sequence[float], k: int = 10, probes: int = 4, columns: Sequence[str] = (),
+    spark: SparkSession, root: str, query: Sequence[float], k: int = 10, probes: int | None = None, columns: Sequence[str] = (),
 ) -> DataFrame:
     """The k nearest rows of the current version: only the probed cells' folders are read.
 

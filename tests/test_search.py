@@ -250,3 +250,19 @@ def test_an_encoder_is_made_once_per_worker(spark, tmp_path, monkeypatch):
         assert df.where("v[1] = 1").count() == 400
     workers = len(open(path).read().split())
     assert workers <= 24, workers  # 96 tasks
+
+
+def test_default_probes_find_nine_tenths(spark):
+    """Vectors without clusters, each of every twentieth id asked for; the recall is that of the searches themselves."""
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    centroids = ann.train_centroids(df, 12, "vec_id")
+    index = ann.build_index(df, centroids).cache()
+    asked = df.where("vec_id % 20 = 0")
+    assert ann.mean_recall(index, centroids, asked, key="vec_id").first().recall >= 0.9
+    few = asked.where("vec_id < 80")
+    shares = []
+    for row in few.collect():
+        found = ann.ann_topk(index, centroids, row.embedding, key="vec_id")
+        shares.append(ann.recall_at_k(found, S.vector_topk(df, row.embedding, 10, "vec_id"), "vec_id").first().recall)
+    assert abs(ann.mean_recall(index, centroids, few, key="vec_id").first().recall - sum(shares) / len(shares)) < 1e-9
+    assert sum(shares) / len(shares) >= 0.9
