@@ -13,8 +13,8 @@ from siltstone.session import scratch_path
 
 
 def likely(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose perplexity is not above their language's threshold."""
-    return perplexity.drop_unlikely(docs, perplexity.trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    """Documents whose perplexity is not above their language's threshold; runs of likely words stay."""
+    return perplexity.drop_unlikely(docs, perplexity.trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet")), repeats=False)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

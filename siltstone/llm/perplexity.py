@@ -302,17 +302,18 @@ def scores(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame
     return settle(packed_blocks(rows, bits).groupBy("block").cogroup(told.groupBy("block")).applyInArrow(score, schema))
 
 
-def judged(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame:
-    """(doc_id, digest, lang, n_chars, perplexity, threshold, kept); the threshold of a repetitive text is 0."""
+def judged(docs: DataFrame, trusted: DataFrame, order: int = ORDER, repeats: bool = True) -> DataFrame:
+    """(doc_id, digest, lang, n_chars, perplexity, threshold, kept); the threshold of a repetitive text is 0, unless ``repeats`` is off."""
     found = scores(docs, trusted, order)
     limits = found.groupBy("lang").agg(
         (F.percentile_approx(F.when(F.col("trusted"), F.col("surprise")), QUANTILE, 100_000) + MARGIN).alias("_limit"),
         (F.percentile_approx(F.when(F.col("trusted"), F.col("repeats")), QUANTILE, 100_000) + REPEATS_MARGIN).alias("_most"),
         F.count(F.lit(1)).alias("_rows"))
+    repetitive = F.coalesce(F.col("repeats") > F.col("_most"), F.lit(False)) & F.lit(repeats)
     return join_facts(found, limits, ["lang"], "_rows", found.count()).select(
         "doc_id", "digest", "lang", "n_chars", F.exp("surprise").alias("perplexity"),
-        F.when(F.col("repeats") > F.col("_most"), 0.0).otherwise(F.exp("_limit")).alias("threshold"),
-        F.coalesce((F.col("surprise") <= F.col("_limit")) & (F.col("repeats") <= F.col("_most")), F.lit(True)).alias("kept"))
+        F.when(repetitive, 0.0).otherwise(F.exp("_limit")).alias("threshold"),
+        F.coalesce((F.col("surprise") <= F.col("_limit")) & ~repetitive, F.lit(True)).alias("kept"))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -321,8 +322,8 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
         "_good = 1 and _toxic = 0").select("doc_id")
 
 
-def drop_unlikely(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+def drop_unlikely(docs: DataFrame, trusted: DataFrame, repeats: bool = True) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    gone = judged(docs, trusted).where("not kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
+    gone = judged(docs, trusted, repeats=repeats).where("not kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (digest_of() == F.col("_digest"))
     return docs.join(gone, same, "left_anti")
