@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from pyspark.sql import functions as F
+
+from siltstone.llm.codes import ENTRIES, PARTS, ROUNDS, vector_codes
 from siltstone.llm.exact_dedup import copy_groups
 from siltstone.llm.fingerprints import fingerprints
+from siltstone.llm.grid_join import COSINE, near_vectors
+from siltstone.llm.negatives import NEGATIVES, POSITIVES, WINDOW, hard_negatives
 from siltstone.llm.packing import pack
 from siltstone.llm.perplexity import judged, trusted_ids
 from siltstone.llm.pieces import round_trip
@@ -121,5 +126,79 @@ def op7(spark, folder):
     return near_groups(table(spark, folder, "documents"))
 
 
+# Rows of embeddings without nulls and with finite components only.
+SOUND_SQL = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+NUMBERS_SQL = "list_transform(embedding, lambda x: floor(256 * x::DOUBLE))"
+
+
+@query("op11_hard_negatives", f"""
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {NUMBERS_SQL} AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {SOUND_SQL}),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= {POSITIVES})
+SELECT anchor_id, positive_id, CAST(row_number() OVER found AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT alike AND {WINDOW[0]} * positive_score <= 100 * score AND 100 * score <= {WINDOW[1]} * positive_score
+WINDOW found AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER found <= {NEGATIVES}""")
+def op11(spark, folder):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, folder, "embeddings").withColumn("label", moved), "vec_id % 100 = 0")
+
+
+def _codes_sql() -> str:
+    """The rounds one after another: nearest entries, then means, unused entries as they were."""
+    steps = [f"""rows AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS place, * FROM (
+    SELECT vec_id, label, list_transform({NUMBERS_SQL}, lambda x: CAST(x AS BIGINT)) AS v FROM embeddings WHERE {SOUND_SQL})),
+parts AS (
+  SELECT place, part, v[part * (len(v) // {PARTS}) + 1 : (part + 1) * (len(v) // {PARTS})] AS x
+  FROM rows, (SELECT unnest(range({PARTS})) AS part)),
+books0 AS (SELECT part, place - 1 AS entry, x AS e FROM parts WHERE place <= {ENTRIES})"""]
+    for k in range(ROUNDS + 1):
+        steps.append(f"""found{k} AS (
+  SELECT place, part, x, min(struct_pack(d := CAST(list_sum(list_transform(list_zip(x, e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), entry := entry)) AS best
+  FROM parts JOIN books{k} USING (part) GROUP BY ALL)""")
+        if k < ROUNDS:
+            steps.append(f"""means{k} AS (
+  SELECT part, entry, list(m ORDER BY spot) AS e FROM (
+    SELECT part, best.entry AS entry, spot, CAST(floor(sum(x[spot]) / count(*)) AS BIGINT) AS m
+    FROM found{k}, unnest(range(1, len(x) + 1)) AS u(spot) GROUP BY ALL) GROUP BY ALL),
+books{k + 1} AS (SELECT part, entry, coalesce(m.e, b.e) AS e FROM books{k} b LEFT JOIN means{k} m USING (part, entry))""")
+    return f"""WITH {", ".join(steps)},
+coded AS (
+  SELECT place, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM found{ROUNDS} GROUP BY place)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM books{ROUNDS}) AS codebooks_sha256
+FROM coded JOIN rows USING (place)"""
+
+
+@query("op12_vector_codes", _codes_sql())
+def op12(spark, folder):
+    return vector_codes(table(spark, folder, "embeddings"))
+
+
+@query("op13_embedding_near_dedup", f"""
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS place, vec_id, embedding::DOUBLE[] AS v,
+         {SOUND_SQL} AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable FROM embeddings),
+links AS (
+  SELECT a.place AS a, b.place AS b FROM rows a JOIN rows b ON a.place <> b.place
+  WHERE a.usable AND b.usable AND list_cosine_similarity(a.v, b.v) >= {COSINE}),
+reached AS (
+  SELECT place AS a, place AS b FROM rows UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+least AS (SELECT a AS place, min(vec_id) AS component_id FROM reached JOIN rows ON rows.place = reached.b GROUP BY a),
+counted AS (SELECT a AS place, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM rows JOIN least USING (place) LEFT JOIN counted USING (place)""")
+def op13(spark, folder):
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
 def load() -> tuple[dict, dict]:
     return QUERIES, ORACLES
