@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.keys import text_of
+from siltstone.llm.keys import boxed, text_of, unboxed
 from siltstone.session import settle
 
 # Share of all rows from which a digest is handled by broadcast.
@@ -94,12 +94,12 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     winners = settle(frequent_winners(digests, digests.count())).select(
         F.col("text_sha256").alias("_digest"), F.col("keep_id").alias("_keep"), F.lit(True).alias("_hot"),
     )
-    best_first = Window.partitionBy("_digest").orderBy(F.col("doc_id").desc_nulls_last())
-    return (
-        docs.withColumn("_digest", F.sha2(text_of(), 256))
+    best_first = Window.partitionBy("_digest").orderBy(F.col("_id").desc_nulls_last())
+    stay = (
+        boxed(docs, _id=F.col("doc_id"), _digest=F.sha2(text_of(), 256))
         .join(F.broadcast(winners), "_digest", "left")
-        .where(F.col("_hot").isNull() | F.col("doc_id").eqNullSafe(F.col("_keep")))
+        .where(F.col("_hot").isNull() | F.col("_id").eqNullSafe(F.col("_keep")))
         .withColumn("_place", F.row_number().over(best_first))
         .where(F.col("_place") == 1)
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
+    return unboxed(stay, docs.columns)

@@ -8,40 +8,49 @@ start at local minima of the labels. A phrase's name is a hash of its symbols,
 and names are the symbols of the next level. Where a phrase starts depends on a
 few symbols around it only, so equal passages get equal names inside, wherever
 they stand. The fingerprint is the multiset of names on the levels in LEVELS,
-with the members of long runs, reduced to the KEPT smallest hashes of (name,
-occurrence); two of them are compared by the common ones among the smallest of
-both, an estimate of how much of the two multisets is shared.
+and on all higher ones on which the text has enough phrases, with the members of
+long runs, reduced to the smallest hashes of (name, occurrence): KEPT of them or
+one in SHARE, whichever is more, so that it grows with the text. Two
+fingerprints are compared below the bound up to which both are whole, an
+estimate of how much of the two multisets is shared.
+
+Texts are sorted by descending id over range partitions. A task pairs every text
+with the next one; the last text of a partition meets the first of the next
+partition that is not empty, one row each, in a join.
 
 Defined results: null counts as empty; an empty text has an empty fingerprint,
 which is like another empty one (1) and unlike any other (0); rows with equal
 ids follow each other by their text's hash; null ids come last; of an empty
-table the result is empty; other columns do not matter.
+table the result is empty; a very long text is parsed by one task, its hashes
+held; other columns do not matter.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from siltstone.llm.keys import text_of
+from siltstone.session import ship_package, shuffle_width
 
-# Levels whose names are kept: a phrase on level 2 has about ten characters, on level 3 about thirty.
+# Levels whose names are always kept: a phrase on level 2 has about ten characters, on level 3 about thirty, and so on.
+# Higher ones count where the text has at least PHRASES there.
 LEVELS = (2, 3)
-KEPT = 64
+PHRASES = 8
+# Names of a fingerprint: so many, or one in SHARE.
+KEPT, SHARE = 64, 8
 # Runs from this length count as so many names of their symbol, however long they are.
 LONG_RUN = 3
 # Coin tossing of 64-bit names leaves 128, 14, 8 and then 6 labels.
 TOSSES = 4
-# Bytes of text that follow each other in one part, and characters parsed at a time.
-PART_BYTES = 8 << 20
+# Characters parsed at a time.
 CHUNK = 1 << 19
 
 # Odd multipliers of the hash, and the powers that tell places in a phrase apart.
@@ -128,38 +137,60 @@ def counted(names: np.ndarray) -> np.ndarray:
     return stirred(names + occurrence.astype(np.uint64) * np.uint64(STIR[0]))
 
 
-def sketches(texts: list[str]) -> list[np.ndarray]:
-    """The smallest names of every text in ascending order."""
-    found = [np.empty(0, np.uint32)] * len(texts)
+# Ascending hashes, and up to which hash they are all there.
+Sketch = tuple[np.ndarray, int]
+WHOLE = 1 << 32
+
+
+def reduced(names: np.ndarray) -> Sketch:
+    """The smallest hashes of a multiset of names."""
+    hashes = np.unique((counted(names) >> np.uint64(32)).astype(np.uint32))
+    most = max(KEPT, len(hashes) // SHARE)
+    return (hashes, WHOLE) if len(hashes) <= most else (hashes[:most], int(hashes[most - 1]))
+
+
+def sketches(texts: list[str]) -> list[Sketch]:
+    """The fingerprint of every text."""
+    found = [(np.empty(0, np.uint32), WHOLE)] * len(texts)
     full = [i for i, t in enumerate(texts) if t]
     if not full:
         return found
     lengths = np.array([len(texts[i]) for i in full])
     symbols = np.frombuffer("".join(texts[i] for i in full).encode("utf-32-le"), "<u4").astype(np.uint64)
     first = np.cumsum(lengths) - lengths
-    kept = []
-    for level in range(1, max(LEVELS) + 1):
+    kept: list[list[np.ndarray]] = [[] for _ in full]
+    level = 0
+    while True:
+        level += 1
         symbols, first, repeated, repeated_first = parsed(symbols, first)
+        ends, repeated_ends = np.append(first[1:], len(symbols)), np.append(repeated_first[1:], len(repeated))
         if level in LEVELS:
-            kept.append((symbols, np.append(first, len(symbols))))
-            kept.append((repeated, np.append(repeated_first, len(repeated))))
+            chosen = range(len(full))
+        elif level > max(LEVELS):
+            chosen = np.flatnonzero(ends - first >= PHRASES).tolist()
+            if not chosen:
+                break
+        else:
+            continue
+        for at in chosen:
+            kept[at] += symbols[first[at] : ends[at]], repeated[repeated_first[at] : repeated_ends[at]]
     for at, i in enumerate(full):
-        names = counted(np.concatenate([n[f[at] : f[at + 1]] for n, f in kept]))
-        found[i] = np.unique((names >> np.uint64(32)).astype(np.uint32))[:KEPT]
+        found[i] = reduced(np.concatenate(kept[at]))
     return found
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of common names among the smallest names of both."""
-    both = np.union1d(a, b)[:KEPT]
-    if not len(both):
-        return 1.0
-    return len(np.intersect1d(np.intersect1d(a, b, assume_unique=True), both, assume_unique=True)) / len(both)
+def likeness(a: Sketch, b: Sketch) -> float:
+    """Share of common names, as far as both fingerprints are whole."""
+    bound = min(a[1], b[1])
+    one, other = (x[: np.searchsorted(x, bound, side="right")] if bound < WHOLE else x for x, _ in (a, b))
+    common = len(np.intersect1d(one, other, assume_unique=True))
+    every = len(one) + len(other) - common
+    return common / every if every else 1.0
 
 
-def shown(sketch: np.ndarray) -> str:
+def shown(sketch: Sketch) -> str:
     """Eight hexadecimal digits per name."""
-    return sketch.astype(">u4").tobytes().hex()
+    return sketch[0].astype(">u4").tobytes().hex()
 
 
 def edited_text(text: str, following: str) -> str:
@@ -168,44 +199,38 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - third] + following[:third]
 
 
-def in_descending_parts(docs: DataFrame) -> DataFrame:
-    """(part, extra, doc_id, text): parts of consecutive ids, largest first, in order within each task.
-
-    After a part's own rows stands, as ``extra``, the row that follows it: the
-    first of the next part, or of the first part after the last. Cut points
-    and first ids, one per part, are all that the driver sees.
-    """
-    rows = docs.select("doc_id", text_of().alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.max("doc_id").alias("top")).first()
-    parts = max(1, math.ceil((size["bytes"] or 0) / PART_BYTES))
-    cuts = []
-    if size["top"] is not None and parts > 1:
-        shares = [i / parts for i in range(1, parts)]
-        cuts = rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * parts)).alias("cuts")).first()["cuts"]
-    bounds = np.array(sorted(set(cuts)), np.int64)
-
-    @F.arrow_udf("int")
-    def part_of(ids: pa.Array) -> pa.Array:
-        place = np.searchsorted(bounds, ids.fill_null(0).to_numpy(zero_copy_only=False), side="left")
-        place = np.where(ids.is_null().to_numpy(zero_copy_only=False), len(bounds) + 1, len(bounds) - place)
-        return pa.array(place.astype(np.int32))
-
-    rows = rows.withColumn("part", part_of("doc_id"))
-    tops = sorted((r["part"], r["top"]) for r in rows.groupBy("part").agg(F.max("doc_id").alias("top")).collect())
-    order = [p for p, _ in tops]
-    heads = docs.sparkSession.createDataFrame(
-        [(p, top, order[i - 1]) for i, (p, top) in enumerate(tops)], "part int, top long, before int")
-    own = F.struct("part", F.lit(0).alias("extra"))
-    again = F.struct(F.col("before").alias("part"), F.lit(1).alias("extra"))
+def in_descending_order(docs: DataFrame) -> DataFrame:
+    """(part, doc_id, text): range partitions of descending ids, largest first, in order within each."""
+    order = [F.col("doc_id").desc_nulls_last(), F.col("hash")]
+    rows = docs.select("doc_id", text_of().alias("text"), F.xxhash64(text_of()).alias("hash"))
     return (
-        rows.join(F.broadcast(heads), "part")
-        .withColumn("to", F.explode(F.when(F.col("doc_id").eqNullSafe(F.col("top")), F.array(own, again)).otherwise(F.array(own))))
-        .select("to.part", "to.extra", "doc_id", "text")
-        .repartition("part")
-        .sortWithinPartitions("part", "extra", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
+        rows.repartitionByRange(shuffle_width(docs.sparkSession), *order).sortWithinPartitions(*order)
+        .select(F.spark_partition_id().alias("part"), "doc_id", "text")
     )
 
 
+def seams(rows: DataFrame) -> DataFrame:
+    """(doc_id, text, following): the last document of every partition with the first text of the next that is not empty."""
+    schema = T.StructType([
+        T.StructField("part", T.IntegerType()), T.StructField("first", T.StringType()), rows.schema["doc_id"], T.StructField("text", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = None
+        for batch in batches:
+            if batch.num_rows:
+                first, last = first or batch.slice(0, 1), batch.slice(batch.num_rows - 1)
+        if last is not None:
+            yield pa.RecordBatch.from_arrays([last.column("part"), first.column("text"), last.column("doc_id"), last.column("text")], names=schema.names)
+
+    # One row per partition: their number is a setting, not a share of the data.
+    ends = rows.mapInArrow(run, schema).repartition("part")
+    order = Window.orderBy("part")
+    after = ends.select("part").select(
+        "part", F.coalesce(F.lead("part").over(order), F.first("part").over(order)).alias("next"))
+    firsts = ends.select(F.col("part").alias("next"), F.col("first").alias("following"))
+    return ends.select("part", "doc_id", "text").join(after, "part").join(firsts, "next").select("doc_id", "text", "following")
+
+
 FIELDS = [
     T.StructField("n_chars", T.LongType()), T.StructField("edited_sha256", T.StringType()), T.StructField("fingerprint", T.StringType()),
     T.StructField("edited_fingerprint", T.StringType()), T.StructField("near_edited", T.DoubleType()), T.StructField("near_next", T.DoubleType()),
@@ -214,6 +239,7 @@ FIELDS = [
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+    ship_package(docs.sparkSession)
     schema = T.StructType([docs.schema["doc_id"], *FIELDS])
     types = [to_arrow_type(f.dataType) for f in schema.fields]
     chunk = CHUNK
@@ -231,21 +257,24 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         ]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=schema.names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, texts, held = None, [], [], 0
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """All but the last document of a partition."""
+        ids, texts, held = [], [], 0
         for batch in batches:
-            for part, extra, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if extra:
-                    if ids:
-                        yield report(ids, texts, text)
-                    ids, texts, held = [], [], 0
-                    continue
-                if held >= chunk and part == at:
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                if held >= chunk:
                     yield report(ids, texts, text)
                     ids, texts, held = [], [], 0
-                at = part
                 ids.append(doc_id)
                 texts.append(text)
                 held += len(text)
+        if len(ids) > 1:
+            yield report(ids[:-1], texts[:-1], texts[-1])
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, text, following in zip(*(c.to_pylist() for c in batch.columns)):
+                yield report([doc_id], [text], following)
 
-    return in_descending_parts(docs).mapInArrow(run, schema)
+    rows = in_descending_order(docs)
+    return rows.mapInArrow(within, schema).unionByName(seams(rows).mapInArrow(across, schema))

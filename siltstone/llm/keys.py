@@ -16,6 +16,16 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def boxed(docs: DataFrame, **beside: Column) -> DataFrame:
+    """All columns as one, ``_row``, beside columns of the operator's own: no name of the caller's can clash with them."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *[c.alias(name) for name, c in beside.items()])
+
+
+def unboxed(rows: DataFrame, columns: Sequence[str], **changed: Column) -> DataFrame:
+    """The columns of boxed rows again, some of them changed."""
+    return rows.select(*[changed.get(c, F.col("_row").getField(c)).alias(c) for c in columns])
+
+
 def join_facts(rows: DataFrame, facts: DataFrame, keys: Sequence[str], weight: str, total: int) -> DataFrame:
     """Inner join of ``rows`` with one row of ``facts`` per key.
 

@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from siltstone.llm.keys import numbered
 from siltstone.llm.units import UnitTable, parts_by_size
-from siltstone.session import settle
+from siltstone.session import settle, ship_package
 
 CAPACITY = 2048
 END_ID = 0
@@ -263,6 +263,7 @@ def plan_table(bins: list[Bins]) -> dict[str, np.ndarray]:
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    ship_package(docs.sparkSession)
     pieces = pieces_of(docs, tokenizer, capacity)
     counted = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()  # at most ``capacity`` rows
     table = plan_table(plan({r["length"]: r["n"] for r in counted}, capacity))

@@ -1,21 +1,23 @@
 """Quality by the perplexity of an interpolated modified Kneser-Ney model of characters.
 
 The model of a language is trained on its trusted documents. Documents are read
-in blocks of one language, packed and compressed; a block's distinct n-grams,
-numbered, are the rows that meet the model, so that a common n-gram is a row
-per block and not one per place. Counts, contexts, lower orders and queried
-n-grams are sharded by (lang, n-gram) and joined in Spark. The probabilities
-that come back to a block are looked up by number while its texts are read
-again. A document stays if its mean negative log-probability is not above its
-language's threshold, a high quantile of the trusted documents' plus a margin,
-and neither is the share of its n-grams that stand already shortly before: runs
-of a likely word are not unlikely to the model.
+once, in blocks of one language, packed and compressed; which rows of a block
+are trusted is found by a join of ids, and only their places move to the block.
+A block's distinct n-grams, numbered, are the rows that meet the model, so that
+a common n-gram is a row per block and not one per place. Counts, contexts,
+lower orders and queried n-grams are sharded by (lang, n-gram) and joined in
+Spark. The probabilities that come back to a block are looked up by number
+while its texts are read again. A document stays if its mean negative
+log-probability is not above its language's threshold, a high quantile of the
+trusted documents' plus a margin, and neither is the share of its n-grams that
+stand already shortly before: runs of a likely word are not unlikely to the model.
 
 Defined results: a null language is a language of its own; a document without
 characters, or in a language without trusted documents, has no perplexity and
-stays; rows with equal ids are separate rows; an empty table gives an empty
-result; other columns do not matter. Where there are too few n-grams to
-estimate discounts, the DISCOUNTS are used.
+stays; rows with equal ids are separate rows, all trusted if the id is; an empty
+table gives an empty result; a very long text is a block of its own, held by one
+task; other columns do not matter and may have any names. Where there are too
+few n-grams to estimate discounts, the DISCOUNTS are used.
 """
 
 from __future__ import annotations
@@ -25,17 +27,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark import Broadcast, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from siltstone.llm.keys import join_facts, text_of
-from siltstone.session import scratch_path, settle
+from siltstone.llm.keys import boxed, join_facts, text_of, unboxed
+from siltstone.session import scratch_path, settle, ship_package, written
 
 ORDER = 4
-# Rows of a partition whose trust is told in one row of bits.
-BITS = 1 << 15
 # Share of a language's trusted documents below the threshold, and what is added to it, in nats per character: their own
 # n-grams are in the model, so other good documents lie higher, most of all short ones. The same for the share of repeated n-grams.
 QUANTILE, MARGIN, REPEATS_MARGIN = 0.99, 0.25, 0.1
@@ -43,9 +44,10 @@ QUANTILE, MARGIN, REPEATS_MARGIN = 0.99, 0.25, 0.1
 WINDOW = 64
 # Discounts of counts one, two, and three or more where they cannot be estimated.
 DISCOUNTS = (0.5, 1.0, 1.5)
-# What stands before a text; characters of a block, and of the tables that number its n-grams.
+# What stands before a text; characters and rows of a block, and cells of the tables that number its n-grams.
 PAD = "\x02"
 BLOCK_CHARS = 4 << 20
+BLOCK_ROWS = 1 << 15
 MOST_CELLS = 1 << 24
 
 
@@ -118,7 +120,7 @@ class Grams:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], most_chars: int) -> Iterator[tuple[str, str, pa.Table]]:
-    """(name, language, rows) of a task's documents: rows of one language, of bounded size."""
+    """(name, language, rows) of a task's documents: rows of one language, of bounded size and number."""
     task, number = TaskContext.get().partitionId(), 0
     for batch in batches:
         rows = pa.Table.from_batches([batch])
@@ -127,86 +129,82 @@ def _blocks(batches: Iterator[pa.RecordBatch], most_chars: int) -> Iterator[tupl
         sizes = pa.compute.utf8_length(rows["text"]).to_numpy()
         for code, name in enumerate(coded.dictionary.to_pylist()):
             mine = np.flatnonzero(language == code)
-            part = (np.cumsum(sizes[mine]) - sizes[mine]) // most_chars
+            part = (np.cumsum(sizes[mine]) - sizes[mine]) // most_chars + np.arange(len(mine)) // BLOCK_ROWS
             for p in np.unique(part):
                 yield f"{task}-{number}", name, rows.take(pa.array(mine[part == p]))
                 number += 1
         pa.default_memory_pool().release_unused()
 
 
-def _prepared(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, lang, text)."""
-    return docs.select("doc_id", digest_of().alias("digest"), F.coalesce("lang", F.lit("")).alias("lang"), text_of().alias("text"))
+def digest_of() -> Column:
+    """Tells rows with the same id apart."""
+    return F.xxhash64(text_of())
 
 
-def trusted_bits(docs: DataFrame, trusted: DataFrame) -> dict[tuple[int, int], bytes]:
-    """Which rows are trusted, as bits by (partition, BITS rows of it): an eighth of a byte per row, so that no text moves.
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
 
-    Ids are joined without a bound; only the bits come to the driver. Like the
-    blocks, they count on ``docs`` having the same rows in the same partitions.
-    """
-    ids = trusted.select("doc_id").where("doc_id is not null").distinct()
-    placed = docs.select("doc_id", F.monotonically_increasing_id().alias("_place"))
-    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    found = placed.join(ids, "doc_id", "left_semi").select(
-        F.shiftright("_place", 33).alias("task"), F.floor(inside / BITS).alias("part"), (inside % BITS).alias("bit"))
-    rows = found.groupBy("task", "part").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    return {(r["task"], r["part"]): bytes(r["bits"]).rstrip(b"\0") for r in rows.toLocalIterator()}
 
+def _unpacked(rows: bytes) -> pa.Table:
+    return pa.ipc.open_stream(rows).read_all()
 
-def _marked(batches: Iterator[pa.RecordBatch], bits: dict[tuple[int, int], bytes]) -> Iterator[pa.RecordBatch]:
-    """A task's rows with the column ``trusted``."""
-    task, at = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        places = np.arange(at, at + batch.num_rows)
-        at += batch.num_rows
-        known = np.zeros(batch.num_rows, bool)
-        for part in np.unique(places // BITS).tolist():
-            told = np.unpackbits(np.frombuffer(bits.get((task, part), b"").ljust(BITS // 8, b"\0"), np.uint8), bitorder="little")
-            mine = places // BITS == part
-            known[mine] = told[places[mine] % BITS]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(known)], names=[*batch.schema.names, "trusted"])
 
+def packed_blocks(docs: DataFrame) -> DataFrame:
+    """(block, lang, ids, rows): documents in blocks, compressed, written once; all later steps read these."""
+    most_chars = BLOCK_CHARS
+    schema = T.StructType([
+        T.StructField("block", T.StringType()), T.StructField("lang", T.StringType()),
+        T.StructField("ids", T.ArrayType(docs.schema["doc_id"].dataType)), T.StructField("rows", T.BinaryType())])
+    kinds = to_arrow_schema(schema)
 
-def digest_of() -> Column:
-    """Tells rows with the same id apart."""
-    return F.xxhash64(text_of())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, lang, table in _blocks(batches, most_chars):
+            yield pa.RecordBatch.from_pydict({"block": [block], "lang": [lang], "ids": [table["doc_id"].to_pylist()], "rows": [_packed(table)]}, kinds)
 
+    path = scratch_path(docs.sparkSession, "blocks")
+    rows = docs.select("doc_id", digest_of().alias("digest"), F.coalesce("lang", F.lit("")).alias("lang"), text_of().alias("text"))
+    rows.mapInArrow(run, schema).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
 
-def block_grams(rows: DataFrame, bits: Broadcast, order: int) -> DataFrame:
-    """(block, number, lang, gram, n): a block's distinct n-grams, and how often they occur in trusted texts; written once."""
-    most_chars = BLOCK_CHARS
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, lang, table in _blocks(_marked(batches, bits.value), most_chars):
-            grams = Grams(table["text"].to_pylist(), order)
-            counts = grams.counts(table["trusted"].to_numpy().astype(np.int64))
-            strings = grams.strings()
-            for at in range(0, grams.count, 65536):
-                part = pa.array(strings[at : at + 65536], pa.string())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([block] * len(part)), pa.array(np.arange(at, at + len(part), dtype=np.int32)), pa.array([lang] * len(part)),
-                    part, pa.array(counts[at : at + len(part)]),
-                ], names=["block", "number", "lang", "gram", "n"])
-
-    spark = rows.sparkSession
-    path = scratch_path(spark, "ngrams")
-    rows.mapInArrow(run, "block string, number int, lang string, gram string, n long").write.parquet(path)
-    return spark.read.parquet(path)
-
-
-def packed_blocks(rows: DataFrame, bits: Broadcast) -> DataFrame:
-    """(block, lang, rows): the same blocks with their rows compressed, as they travel to their n-grams."""
-    most_chars = BLOCK_CHARS
+def marked_blocks(blocks: DataFrame, trusted: DataFrame) -> DataFrame:
+    """The blocks with the places of their trusted rows. Ids meet in a join; a block's few places are all that moves to it."""
+    ids = trusted.select("doc_id").where("doc_id is not null").distinct()
+    placed = blocks.select("block", F.posexplode("ids").alias("place", "doc_id"))
+    found = placed.join(ids, "doc_id", "left_semi").groupBy("block").agg(F.collect_list("place").alias("trusted"))
+    path = scratch_path(blocks.sparkSession, "trusted")
+    found.write.parquet(path)
+    return blocks.drop("ids").join(blocks.sparkSession.read.parquet(path), "block", "left")
+
+
+def _weights(places, rows: int) -> np.ndarray:
+    """One of every trusted row, zero of the others."""
+    weights = np.zeros(rows, np.int64)
+    weights[np.array(places if places is not None else [], np.int64)] = 1
+    return weights
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, lang, table in _blocks(_marked(batches, bits.value), most_chars):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as writer:
-                writer.write_table(table)
-            yield pa.RecordBatch.from_pydict({"block": [block], "lang": [lang], "rows": [sink.getvalue().to_pybytes()]})
 
-    return rows.mapInArrow(run, "block string, lang string, rows binary")
+def block_grams(blocks: DataFrame, order: int) -> DataFrame:
+    """(block, number, lang, gram, n): a block's distinct n-grams, and how often they occur in trusted texts; written once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, lang, rows, trusted in zip(*(batch.column(c) for c in ("block", "lang", "rows", "trusted"))):
+                table = _unpacked(rows.as_py())
+                grams = Grams(table["text"].to_pylist(), order)
+                counts = grams.counts(_weights(trusted.as_py(), table.num_rows))
+                strings = grams.strings()
+                for at in range(0, grams.count, 65536):
+                    part = pa.array(strings[at : at + 65536], pa.string())
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([block.as_py()] * len(part)), pa.array(np.arange(at, at + len(part), dtype=np.int32)), pa.array([lang.as_py()] * len(part)),
+                        part, pa.array(counts[at : at + len(part)]),
+                    ], names=["block", "number", "lang", "gram", "n"])
+                pa.default_memory_pool().release_unused()
+
+    return written(blocks.select("block", "lang", "rows", "trusted").mapInArrow(run, "block string, number int, lang string, gram string, n long"), "ngrams")
 
 
 def _tail(gram: Column | str, length: int) -> Column:
@@ -218,7 +216,7 @@ def count_tables(trusted: DataFrame, order: int) -> list[DataFrame]:
     tables = [trusted]
     for n in range(order - 1, 0, -1):
         longer = tables[0]
-        tables.insert(0, settle(longer.groupBy("lang", _tail("gram", n).alias("gram")).agg(F.count(F.lit(1)).alias("c"))))
+        tables.insert(0, written(longer.groupBy("lang", _tail("gram", n).alias("gram")).agg(F.count(F.lit(1)).alias("c")), "counts"))
     return tables
 
 
@@ -260,56 +258,52 @@ def probabilities(queried: DataFrame, tables: list[DataFrame]) -> DataFrame:
             .join(facts, ["lang", "head"], "left")
             .join(lower.withColumnsRenamed({"gram": "tail", "p": "_lower"}), ["lang", "tail"])
         )
-        lower = settle(rows.select(
-            "lang", "gram", F.when(F.col("total").isNull(), F.col("_lower")).otherwise(own + F.col("weight") * F.col("_lower")).alias("p")))
+        lower = written(rows.select(
+            "lang", "gram", F.when(F.col("total").isNull(), F.col("_lower")).otherwise(own + F.col("weight") * F.col("_lower")).alias("p")), "chances")
     return lower
 
 
 def scores(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame:
-    """(doc_id, digest, lang, trusted, n_chars, surprise, repeats): mean negative log-probability per character, share of repeated n-grams; written once.
-
-    ``docs`` has doc_id, lang and text and gives the same rows in the same
-    partitions whenever it is read, as files and checkpoints do; a block that
-    does not find its n-grams is an error.
-    """
-    rows = _prepared(docs)
-    bits = docs.sparkSession.sparkContext.broadcast(trusted_bits(docs, trusted))
-    grams = block_grams(rows, bits, order)
+    """(doc_id, digest, lang, trusted, n_chars, surprise, repeats): mean negative log-probability per character, share of repeated n-grams; written once."""
+    ship_package(docs.sparkSession)
+    blocks = marked_blocks(packed_blocks(docs), trusted)
+    grams = block_grams(blocks, order)
     known = grams.where("n > 0").groupBy("lang", "gram").agg(F.sum("n").alias("c"))
-    tables = count_tables(settle(known), order)
-    found = probabilities(settle(grams.select("lang", "gram").distinct()), tables)
+    tables = count_tables(written(known, "counts"), order)
+    found = probabilities(written(grams.select("lang", "gram").distinct(), "asked"), tables)
     # A block of a language without a model keeps its n-grams, without probabilities.
     told = grams.join(found, ["lang", "gram"], "left").select("block", "number", F.log("p").alias("log_p"))
     schema = T.StructType([docs.schema["doc_id"]] + T.StructType.fromDDL(
         "digest long, lang string, trusted boolean, n_chars long, surprise double, repeats double").fields)
 
     def score(packed: pa.Table, numbers: pa.Table) -> pa.Table:
-        (payload,) = packed["rows"].to_pylist()
-        table = pa.ipc.open_stream(payload).read_all()
+        table = _unpacked(packed["rows"][0].as_py())
         mine = Grams(table["text"].to_pylist(), order)
         if mine.count != numbers.num_rows:
-            raise RuntimeError("a block of documents changed between two reads")
+            raise RuntimeError("n-grams of a block are missing")
         log_p = np.empty(mine.count)
         log_p[numbers["number"].to_numpy()] = numbers["log_p"].to_numpy()
         with np.errstate(divide="ignore", invalid="ignore"):
             surprise, repeats = -mine.sums(log_p) / mine.lengths, mine.repeats() / mine.lengths
         return pa.table({
-            "doc_id": table["doc_id"], "digest": table["digest"], "lang": table["lang"], "trusted": table["trusted"],
+            "doc_id": table["doc_id"], "digest": table["digest"], "lang": table["lang"],
+            "trusted": _weights(packed["trusted"][0].as_py(), table.num_rows).astype(bool),
             "n_chars": pa.array(mine.lengths), "surprise": pa.array(surprise, mask=~np.isfinite(surprise)),
             "repeats": pa.array(repeats, mask=mine.lengths == 0),
         })
 
-    return settle(packed_blocks(rows, bits).groupBy("block").cogroup(told.groupBy("block")).applyInArrow(score, schema))
+    packed = blocks.select("block", "rows", "trusted").groupBy("block")
+    return settle(packed.cogroup(told.groupBy("block")).applyInArrow(score, schema))
 
 
-def judged(docs: DataFrame, trusted: DataFrame, order: int = ORDER, repeats: bool = True) -> DataFrame:
-    """(doc_id, digest, lang, n_chars, perplexity, threshold, kept); the threshold of a repetitive text is 0, unless ``repeats`` is off."""
+def judged(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame:
+    """(doc_id, digest, lang, n_chars, perplexity, threshold, kept); the threshold of a repetitive text is 0."""
     found = scores(docs, trusted, order)
     limits = found.groupBy("lang").agg(
         (F.percentile_approx(F.when(F.col("trusted"), F.col("surprise")), QUANTILE, 100_000) + MARGIN).alias("_limit"),
         (F.percentile_approx(F.when(F.col("trusted"), F.col("repeats")), QUANTILE, 100_000) + REPEATS_MARGIN).alias("_most"),
         F.count(F.lit(1)).alias("_rows"))
-    repetitive = F.coalesce(F.col("repeats") > F.col("_most"), F.lit(False)) & F.lit(repeats)
+    repetitive = F.coalesce(F.col("repeats") > F.col("_most"), F.lit(False))
     return join_facts(found, limits, ["lang"], "_rows", found.count()).select(
         "doc_id", "digest", "lang", "n_chars", F.exp("surprise").alias("perplexity"),
         F.when(repetitive, 0.0).otherwise(F.exp("_limit")).alias("threshold"),
@@ -322,8 +316,8 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
         "_good = 1 and _toxic = 0").select("doc_id")
 
 
-def drop_unlikely(docs: DataFrame, trusted: DataFrame, repeats: bool = True) -> DataFrame:
+def drop_unlikely(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    gone = judged(docs, trusted, repeats=repeats).where("not kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (digest_of() == F.col("_digest"))
-    return docs.join(gone, same, "left_anti")
+    gone = judged(docs, trusted).where("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("digest").alias("_gone_digest")).distinct()
+    same = F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_digest") == F.col("_gone_digest"))
+    return unboxed(boxed(docs, _id=F.col("doc_id"), _digest=digest_of()).join(gone, same, "left_anti"), docs.columns)

@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from siltstone.llm.units import ByteTable, UnitTable, parts_by_size
+from siltstone.session import ship_package
 
 # Fixed value: the sign that stands for a blank in pieces.
 BLANK = "▁"
@@ -209,6 +210,8 @@ def decode_ids(rows: DataFrame, model: str, column: str = "ids") -> DataFrame:
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: every text is encoded, and its ids decoded again."""
+    ship_package(docs.sparkSession)
+
     def digests(m: PieceModel, ids: np.ndarray) -> tuple:
         return len(ids), hashlib.sha256(m.listed(ids)).hexdigest(), hashlib.sha256(m.decode(ids).encode()).hexdigest()
 

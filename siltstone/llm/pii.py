@@ -6,8 +6,9 @@ found address's name are further nodes of the document's graph. Neighbouring
 nodes are linked in a chain, and nodes anywhere in the document that are equal
 or similar, by their digits or letters, are linked across it. Loopy belief
 propagation then carries what is known of one mention to the others: a node
-that is more likely personal data than not is reported as ``linked``, such as
-a phone number written without its country sign after it was given in full.
+that is more likely personal data than not is reported with the likeliest kind,
+as ``linked_phone`` for a phone number written without its country sign after it
+was given in full, so equal and similar tokens of a document have one label.
 Documents without a base span are judged by the same field.
 
 Base mentions are certain. Equal mentions share one variable, and similar ones
@@ -17,16 +18,20 @@ on a bounded sample of documents: the patterns' labels, half of them hidden so
 that links are learned, pulled towards the defaults where the sample says little.
 
 Defined results: null or empty text has no spans; rows with equal ids are
-separate rows; an empty table gives an empty result; other columns do not matter.
+separate rows; an empty table gives an empty result; a very long text is one
+task's graph, in time proportional to its nodes and their links; other columns
+do not matter.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,11 +39,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.llm.keys import text_of
+from siltstone.session import ship_package
 
 # The kinds in the order in which they are listed, and their patterns and bounds.
 BASE = ("email", "ip", "card", "phone")
-LINKED = "linked"
-KINDS = (*BASE, LINKED)
+KINDS = (*BASE, *[f"linked_{k}" for k in BASE])
 LOCAL_PART = re.compile(r"[A-Za-z0-9._%+-]")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]+\.[0-9]+\.[0-9]+")
@@ -51,6 +56,9 @@ NUMBERS = re.compile(r"[0-9(][0-9(). -]*[0-9]")
 SIMILAR_DIGITS = 7
 # Letters and digits that a name in an address has at least.
 NAME_SIGNS = 6
+# Separating signs between the parts of a name at most.
+NAME_GAP = 2
+LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 # Characters between neighbours of the chain at most.
 CHAIN_GAP = 24
 
@@ -155,11 +163,31 @@ def _free(spans: list[tuple[int, int]], taken: list[tuple[int, int]]) -> list[tu
 
 
 def _spellings(text: str, names: set[tuple[str, ...]], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Where the parts of an address's name stand together with other signs between them."""
-    found = []
+    """Where the parts of an address's name stand together, with up to two separating signs between them.
+
+    One automaton finds all names in the text without its separating signs; what
+    stood between the letters decides afterwards.
+    """
+    if not names:
+        return []
+    by_letters: dict[str, list[tuple[int, ...]]] = {}
     for parts in sorted(names):
-        pattern = r"(?<![^\W_])" + r"[\s._-]{0,2}".join(map(re.escape, parts)) + r"(?![^\W_])"
-        found += [m.span() for m in re.finditer(pattern, text, re.IGNORECASE)]
+        by_letters.setdefault("".join(parts), []).append(tuple(itertools.accumulate(map(len, parts))))
+    automaton = ahocorasick.Automaton()
+    for letters, ends in by_letters.items():
+        automaton.add_word(letters, (len(letters), ends))
+    automaton.make_automaton()
+    place = [i for i, c in enumerate(text) if c not in "._-" and not c.isspace()]
+    squeezed = "".join([text[i] for i in place]).translate(LOWER)
+    found = []
+    for last, (length, all_ends) in automaton.iter(squeezed):
+        spot = place[last - length + 1 : last + 1]
+        a, b = spot[0], spot[-1] + 1
+        if a and text[a - 1].isalnum() or b < len(text) and text[b].isalnum():
+            continue
+        gaps = [(k, spot[k] - spot[k - 1] - 1) for k in range(1, length) if spot[k] - spot[k - 1] > 1] if b - a > length else []
+        if any(all(gap <= NAME_GAP and k in ends for k, gap in gaps) for ends in all_ends):
+            found.append((a, b))
     out: list[tuple[int, int]] = []
     for span in _free(sorted(set(found)), taken):
         if not out or span[0] >= out[-1][1]:
@@ -272,7 +300,8 @@ def marginals(unary: np.ndarray, links: np.ndarray, w: Weights, rounds: int = RO
     return np.exp(belief)
 
 
-def linked_spans(text: str, base: list[tuple[int, int, int]], w: Weights) -> list[tuple[int, int]]:
+def labelled_spans(text: str, base: list[tuple[int, int, int]], w: Weights) -> list[tuple[int, int, int]]:
+    """(start, base kind, end) of the other mentions, each with its likeliest kind."""
     graph = graph_of(text, base)
     if (graph.kinds != NONE).all():
         return []
@@ -282,7 +311,12 @@ def linked_spans(text: str, base: list[tuple[int, int, int]], w: Weights) -> lis
     unary[kinds != NONE, kinds[kinds != NONE]] += CERTAIN
     p = marginals(unary, links, w)[of]
     chosen = (graph.kinds == NONE) & (1 - p[:, NONE] > REPORTED)
-    return [graph.spans[i] for i in np.flatnonzero(chosen)]
+    label = p[:, 1:].argmax(axis=1)
+    return [(graph.spans[i][0], int(label[i]), graph.spans[i][1]) for i in np.flatnonzero(chosen)]
+
+
+def linked_spans(text: str, base: list[tuple[int, int, int]], w: Weights) -> list[tuple[int, int]]:
+    return [(a, b) for a, _, b in labelled_spans(text, base, w)]
 
 
 # Training: pseudo-likelihood of the patterns' labels.
@@ -330,11 +364,15 @@ def train(label: np.ndarray, seen: np.ndarray, shape: np.ndarray, around: np.nda
 
 
 def trained_weights(docs: DataFrame) -> Weights:
-    """Weights from the TRAIN_ROWS documents with the smallest hashes of their id among those that may hold a mention."""
-    sample = (
-        docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(TRAIN_ROWS)
-    )
+    """Weights from the TRAIN_ROWS different documents with the smallest hashes among those that may hold a mention.
+
+    The bound is found among hashes alone, so no task sends more than numbers for it; then every task trains on its own texts below it.
+    """
+    hashed = docs.select("text", F.xxhash64("doc_id", "text").alias("hash")).where(F.col("text").rlike("[0-9@]"))
+    bound = hashed.select("hash").orderBy("hash").limit(TRAIN_ROWS).agg(F.max("hash").alias("bound")).first()["bound"]
+    if bound is None:
+        return Weights()
+    sample = hashed.where(F.col("hash") <= bound).groupBy("hash").agg(F.first("text").alias("text")).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,8 +396,9 @@ def listed(spans: list[tuple[int, int, int]]) -> str:
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_linked."""
+    ship_package(docs.sparkSession)
     weights = trained_weights(docs)
-    names = [f"n_{k}" for k in KINDS]
+    names = [*[f"n_{k}" for k in BASE], "n_linked"]
     schema = T.StructType(
         [docs.schema["doc_id"], *[T.StructField(n, T.LongType()) for n in names[:-1]], T.StructField("base_sha256", T.StringType()),
          T.StructField("spans", T.StringType()), T.StructField(names[-1], T.LongType())])
@@ -370,11 +409,11 @@ def personal_data(docs: DataFrame) -> DataFrame:
             for value in batch.column("text"):
                 text = value.as_py()
                 base = base_spans(text)
-                every = sorted(base + [(a, len(BASE), b) for a, b in linked_spans(text, base, weights)])
-                counts.append([sum(s[1] == k for s in every) for k in range(len(KINDS))])
+                every = sorted(base + [(a, len(BASE) + k, b) for a, k, b in labelled_spans(text, base, weights)])
+                counts.append([*[sum(s[1] == k for s in base) for k in range(len(BASE))], len(every) - len(base)])
                 digests.append(hashlib.sha256(listed(base).encode()).hexdigest())
                 spans.append(listed(every))
-            by_kind = [pa.array(c, pa.int64()) for c in zip(*counts)] if counts else [pa.array([], pa.int64())] * len(KINDS)
+            by_kind = [pa.array(c, pa.int64()) for c in zip(*counts)] if counts else [pa.array([], pa.int64())] * len(names)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *by_kind[:-1], pa.array(digests, pa.string()), pa.array(spans, pa.string()), by_kind[-1]],
                 names=schema.names)

@@ -16,7 +16,7 @@ from siltstone.llm.perplexity import judged, trusted_ids
 from siltstone.llm.pieces import round_trip
 from siltstone.llm.pii import personal_data
 from siltstone.llm.registry import ORACLES, QUERIES, query, table
-from siltstone.llm.secrets import BASE, EXAMPLE_OWNERS, KINDS, LIVE_VARIETY, TOKEN, secret_report
+from siltstone.llm.secrets import BASE, EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES, KINDS, LIVE_VARIETY, TOKEN, secret_report
 from siltstone.llm.shards import shard_documents
 from siltstone.llm.simhash import near_groups
 from siltstone.llm.warc import archive_round_trip
@@ -68,13 +68,15 @@ candidates AS (
   UNION ALL SELECT * FROM spans c WHERE kind = {len(BASE)} AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
     AND len(list_distinct(string_split(value, ''))) >= {LIVE_VARIETY}
     AND NOT EXISTS (SELECT 1 FROM spans b WHERE b.kind < {len(BASE)} AND b.doc_id = c.doc_id AND b.s < c.e AND b.e > c.s)),
-owners AS (SELECT value, count(DISTINCT owner) >= {EXAMPLE_OWNERS} AS example FROM candidates GROUP BY ALL),
-judged AS (SELECT c.*, example, ['{"', '".join(KINDS)}'][kind + 1] || ':' || s || ':' || e AS shown
+counted AS (SELECT value, count(DISTINCT owner) AS owners, count(DISTINCT (owner, doc_id)) AS repositories FROM candidates GROUP BY ALL),
+owners AS (SELECT *, owners >= {EXAMPLE_OWNERS} OR repositories >= {EXAMPLE_REPOSITORIES} * owners AS example FROM counted),
+judged AS (SELECT c.*, example, owners, repositories, ['{"', '".join(KINDS)}'][kind + 1] || ':' || s || ':' || e AS shown
   FROM candidates c JOIN owners USING (value) WHERE kind < {len(BASE)} OR NOT example)
 SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
   sha256(coalesce(string_agg(shown, ',' ORDER BY s, kind) FILTER (WHERE kind < {len(BASE)}), '')) AS base_sha256,
   coalesce(string_agg(shown, ',' ORDER BY s, kind), '') AS spans,
-  count(*) FILTER (WHERE kind = {len(BASE)}) AS n_owned, count(*) FILTER (WHERE example) AS n_example
+  count(*) FILTER (WHERE kind = {len(BASE)}) AS n_owned, count(*) FILTER (WHERE example) AS n_example,
+  coalesce(max(owners), 0) AS most_owners, coalesce(max(repositories), 0) AS most_repositories
 FROM docs LEFT JOIN judged USING (doc_id) GROUP BY doc_id"""
 
 

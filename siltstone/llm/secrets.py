@@ -3,13 +3,15 @@
 Patterns find assignments, access ids and hexadecimal keys; these base spans are
 always reported. Long mixed tokens that no pattern covers are further
 candidates. Every value is hashed and counted over the whole corpus by distinct
-repository and owner. A value that many owners have is a copied example; a
-candidate that looks random and belongs to few owners is reported as ``owned``.
+repository and owner. A value that several owners have, or that one owner has in
+many repositories, is a copied example; a candidate that looks random and is in
+few places of few owners is reported as ``owned``.
 
 Defined results: null or empty text has no spans; rows with equal ids are
 separate rows, counted once per owner and repository; a null owner or
-repository counts as one; an empty table gives an empty result; other columns
-do not matter.
+repository counts as one; an empty table gives an empty result; a very long text
+is scanned by one task, as any other; other columns do not matter and may have
+any names.
 """
 
 from __future__ import annotations
@@ -17,8 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.keys import join_facts, text_of
-from siltstone.session import settle
+from siltstone.llm.keys import boxed, join_facts, text_of, unboxed
+from siltstone.session import settle, written
 
 # The base patterns, in the order in which kinds are listed, and the shortest accepted value.
 PASSWORD_WORDS = (
@@ -35,8 +37,8 @@ TOKEN = "[A-Za-z0-9+/_=-]{20,}"
 OWNED = "owned"
 KINDS = [*BASE, OWNED]
 
-# Owners from which a value counts as a copied example.
-EXAMPLE_OWNERS = 3
+# Owners, and repositories per owner, from which a value counts as a copied example.
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES = 3, 20
 # Different characters that a live-looking value has at least.
 LIVE_VARIETY = 10
 
@@ -61,7 +63,7 @@ def _hits(kind: int, text: str, pattern: str, group: int, least: int) -> Column:
 
 
 def scan(docs: DataFrame, owner: str, repository: str, *more: str) -> DataFrame:
-    """(row, doc_id, owner, repository, hits, *more), written once; every text is read by each pattern once."""
+    """(row, doc_id, owner, repository, hits, *more); every text is read by each pattern once."""
     patterns = [(_long_enough(*p), *p[1:]) for p in BASE.values()] + [(TOKEN, 0, 20)]
     matched = docs.select(
         "doc_id", *more, F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"),
@@ -73,10 +75,10 @@ def scan(docs: DataFrame, owner: str, repository: str, *more: str) -> DataFrame:
          if g else F.col(f"_match{k}")).alias(f"_value{k}")
         for k, (p, g, _) in enumerate(patterns)
     ])
-    return settle(valued.select(
+    return valued.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "repository", *more,
         F.flatten(F.array(*[_hits(k, "_text", *p) for k, p in enumerate(patterns)])).alias("hits"),
-    ))
+    )
 
 
 def _mixed(value: Column) -> Column:
@@ -122,7 +124,7 @@ def judged_spans(found: DataFrame) -> DataFrame:
     """(row, kind, start, end, value, owners, repositories, example): base spans and the owned tokens."""
     spans = settle(candidates(found))
     judged = join_facts(spans, ownership(spans).withColumn("_weight", F.col("spans")), ["secret"], "_weight", spans.count())
-    example = F.col("owners") >= EXAMPLE_OWNERS
+    example = (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES * F.col("owners"))
     return judged.where((F.col("kind") < len(BASE)) | ~example).select(
         "row", "kind", "start", "end", "value", "owners", "repositories", example.alias("example"),
     )
@@ -147,8 +149,8 @@ def _count(kind: int) -> Column:
 
 
 def secret_report(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_owned, n_example."""
-    rows = spans_by_row(scan(docs, owner, repository))
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_owned, n_example, and the most owners and repositories of a reported value."""
+    rows = spans_by_row(settle(scan(docs, owner, repository)))
     base = F.filter("all", lambda s: s["kind"] < len(BASE))
     return rows.select(
         "doc_id",
@@ -157,6 +159,7 @@ def secret_report(docs: DataFrame, owner: str = "source", repository: str = "doc
         _listed(F.col("all")).alias("spans"),
         _count(len(BASE)).alias(f"n_{OWNED}"),
         F.size(F.filter("all", lambda s: s["example"])).cast("long").alias("n_example"),
+        *[F.coalesce(F.array_max(F.col("all").getField(c)), F.lit(0)).cast("long").alias(f"most_{c}") for c in ("owners", "repositories")],
     )
 
 
@@ -178,29 +181,26 @@ def _islands(spans: DataFrame) -> DataFrame:
 def mask_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
     """``docs`` with every reported span replaced by MASK and n_chars to match; all rows stay.
 
-    Texts without a match go straight through. Those with one meet their spans
-    by digest; a text that many rows have is joined by broadcast.
+    Rows are scanned once and written with what was found; those without a
+    match go straight on, the others meet their spans by a number of their own.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    any_match = "|".join(f"(?:{_long_enough(*p)})" for p in BASE.values()) + f"|(?:{TOKEN})"
-    touched = text_of().rlike(any_match)
-    digest = F.sha2(text_of(), 256).alias("_digest")
-    found = scan(docs.where(touched).withColumn("_digest", digest), owner, repository, "_digest")
-    texts = found.groupBy("_digest").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("_rows"))
-    parts = _islands(judged_spans(found)).join(texts, "row").select("_digest", "parts", "_rows")
-    facts = settle(texts.select("_digest", "_rows").join(parts.select("_digest", "parts"), "_digest", "left"))
+    beside = boxed(docs, doc_id=F.col("doc_id"), text=F.col("text"), owner=F.col(owner), repository=F.col(repository))
+    found = written(scan(beside, "owner", "repository", "_row"), "scanned")
+    parts = _islands(judged_spans(found.drop("_row")))
+    text = F.col("_row").getField("text")
 
     def piece(i: Column) -> Column:
         start = F.when(i == 0, 0).otherwise(F.element_at("parts", F.greatest(i, F.lit(1)))["end"])
-        end = F.when(i == F.size("parts"), F.length("text")).otherwise(
+        end = F.when(i == F.size("parts"), F.length(text)).otherwise(
             F.element_at("parts", F.least(i + 1, F.size("parts")))["start"])
-        return F.substring("text", (start + 1).cast("int"), (end - start).cast("int"))
+        return F.substring(text, (start + 1).cast("int"), (end - start).cast("int"))
 
     cut = F.array_join(F.transform(F.sequence(F.lit(0), F.size("parts")), piece), MASK)
-    text = F.when(F.col("parts").isNull(), F.col("text")).otherwise(cut)
-    kept = join_facts(docs.where(touched).withColumn("_digest", digest), facts, ["_digest"], "_rows", found.count())
-    rewritten = kept.withColumn("_text", text).withColumns({
-        "text": F.col("_text"),
-        **({"n_chars": F.when(F.col("parts").isNull(), F.col("n_chars")).otherwise(F.length("_text"))} if "n_chars" in docs.columns else {}),
-    })
-    return docs.where(~touched).select(*columns).unionByName(rewritten.select(*columns))
+    masked = found.where(F.size("hits") > 0).select("row", "_row").join(parts, "row").withColumn("_masked", cut)
+    same = found.where(F.size("hits") > 0).select("row", "_row").join(parts.select("row"), "row", "left_anti")
+    changed = {"text": F.col("_masked"), "n_chars": F.length("_masked")}
+    return (
+        unboxed(found.where(F.size("hits") == 0), docs.columns)
+        .unionByName(unboxed(same, docs.columns))
+        .unionByName(unboxed(masked, docs.columns, **{k: v for k, v in changed.items() if k in docs.columns}))
+    )

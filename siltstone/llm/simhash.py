@@ -4,27 +4,32 @@ A 64-bit fingerprint is cut into segments of 23, 23 and 18 bits, the last one
 filled up with zeros. The binary Golay code of 23 bits is perfect: every word is
 at most three bits from exactly one codeword. A word's keys are the numbers of
 all codewords at most four bits away: one, or six when the nearest is three
-bits away. Two words that differ in at most two bits share a key. Of at most four differing
-bits over three segments, the two segments that differ least have at most two
-together, so fingerprints that are to be linked share a key of both in one of
-the three pairs of segments. Keys are joined and the distance verified.
+bits away. Two words that differ in at most two bits share a key. Of at most four
+differing bits over three segments, either no segment has more than two, and the
+fingerprints share a key of all three segments; or one segment has three or
+four, so of the other two one is equal and the other differs in one bit at most:
+they share that segment as it is with a key of the other. A key has 35 or 36
+bits, so that fingerprints of different texts rarely meet in one even among
+billions. Keys are joined and the distance verified.
 
 Equal fingerprints are one node. Keys are shuffled once and read in order; the
 members of a key are compared with each other, and of the links found only as
 many are kept as connect the same members, so a dense group never becomes all
 its pairs. A key with more than LONG_RUN members is not held by a task: its
-members are first compared with the smallest one, then, by a join, with those
-that they are not connected to yet. No link that joins two groups is lost.
+members are first compared with the smallest one; then those that are not
+connected yet are compared in parts, every pair of parts by a task of its own.
+No link that joins two groups is lost.
 
 Defined results: null counts as empty; a text without words has fingerprint
 zero; rows with equal ids are separate rows; null ids lose against any other as
-component; an empty table gives an empty result; other columns do not matter.
+component; an empty table gives an empty result; a very long text is hashed in
+parts by one task; other columns do not matter and may have any names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +39,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.llm.components import components
-from siltstone.llm.keys import join_facts, text_of
-from siltstone.session import settle
+from siltstone.llm.keys import boxed, join_facts, text_of, unboxed
+from siltstone.session import settle, ship_package
 
 SHINGLE = 4
 MOST_BITS = 4
@@ -89,16 +94,19 @@ class Golay:
         return np.where(near < 0, -1, near ^ number[:, None])
 
 
-def pair_keys(golay: Golay, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key): up to 36 keys of each of the three pairs of segments."""
+def fuzzy_keys(golay: Golay, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key): up to 216 keys of all segments, and up to 6 for each of the six ways to take one segment as it is with a key of another."""
     prints = prints.view(np.uint64)
-    segments = [golay.keys((prints >> np.uint64(start)) & np.uint64((1 << width) - 1)) for start, width in SEGMENTS]
+    words = [((prints >> np.uint64(start)) & np.uint64((1 << width) - 1)).astype(np.int64) for start, width in SEGMENTS]
+    near = [golay.keys(w) for w in words]
+    a, b, c = near[0][:, :, None, None], near[1][:, None, :, None], near[2][:, None, None, :]
+    families = [((a >= 0) & (b >= 0) & (c >= 0), a << 24 | b << 12 | c)]
+    families += [(near[y] >= 0, words[x][:, None] << 12 | near[y]) for x, y in permutations(range(3), 2)]
     rows, keys = [], []
-    for pair, (a, b) in enumerate(combinations(segments, 2)):
-        both = (pair << 24 | a[:, :, None] << 12 | b[:, None, :]).reshape(len(prints), -1)
-        row, at = np.nonzero(((a[:, :, None] >= 0) & (b[:, None, :] >= 0)).reshape(len(prints), -1))
+    for family, (there, key) in enumerate(families):
+        row, at = np.nonzero(np.broadcast_to(there, key.shape).reshape(len(prints), -1))
         rows.append(row)
-        keys.append(both[row, at])
+        keys.append(family << 36 | key.reshape(len(prints), -1)[row, at])
     return np.concatenate(rows), np.concatenate(keys)
 
 
@@ -143,7 +151,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 def keyed(nodes: DataFrame) -> DataFrame:
     """(key, print): a row per fuzzy key of every fingerprint."""
-    schema = T.StructType([T.StructField("key", T.IntegerType()), T.StructField("print", T.LongType())])
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("print", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         golay = Golay()
@@ -151,8 +159,8 @@ def keyed(nodes: DataFrame) -> DataFrame:
             prints = batch.column("print").to_numpy()
             for at in range(0, len(prints), 2048):
                 part = prints[at : at + 2048]
-                row, key = pair_keys(golay, part)
-                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), pa.array(part[row])], names=schema.names)
+                row, key = fuzzy_keys(golay, part)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[row])], names=schema.names)
 
     return nodes.select("print").mapInArrow(run, schema)
 
@@ -226,7 +234,7 @@ def key_links(keys: DataFrame, bits: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(keys), hot)), pa.array(keys.astype(np.int64)), pa.array(prints)], names=["hot", "a", "b"])
 
-        held_keys, held_prints, long_key = np.empty(0, np.int32), np.empty(0, np.int64), None
+        held_keys, held_prints, long_key = np.empty(0, np.int64), np.empty(0, np.int64), None
         for batch in batches:
             held_keys = np.append(held_keys, batch.column("key").to_numpy())
             held_prints = np.append(held_prints, batch.column("print").to_numpy())
@@ -262,16 +270,18 @@ def linked_prints(nodes: DataFrame, bits: int) -> DataFrame:
     if members.limit(1).count() == 0:
         return components(links)
     # Long runs: first every member with the smallest, then those that are not connected yet with each other.
-    least = members.groupBy("key").agg(F.min("print").alias("least"), F.count(F.lit(1)).alias("_n"))
-    star = join_facts(members, least, ["key"], "_n", members.count()).where(
-        (F.col("print") != F.col("least")) & _close(F.col("print"), F.col("least"), bits)
-    ).select(F.col("print").alias("a"), F.col("least").alias("b"))
+    least = members.groupBy("key").agg(F.min("print").alias("least"), F.count(F.lit(1)).alias("_n"), F.count(F.lit(1)).alias("size"))
+    told = settle(join_facts(members, least, ["key"], "_n", members.count()))
+    star = told.where((F.col("print") != F.col("least")) & _close(F.col("print"), F.col("least"), bits)).select(
+        F.col("print").alias("a"), F.col("least").alias("b"))
     groups = components(links.unionByName(star))
-    labelled = members.join(groups.withColumnRenamed("node", "print"), "print", "left").select(
-        "key", "print", F.coalesce("label", "print").alias("label"))
-    left = labelled.select("key", F.col("print").alias("a"), F.col("label").alias("label_a"))
-    right = labelled.select("key", F.col("print").alias("b"), F.col("label").alias("label_b"))
-    rest = left.join(right, "key").where(
+    parts = F.ceil(F.col("size") / LONG_RUN)
+    labelled = told.join(groups.withColumnRenamed("node", "print"), "print", "left").select(
+        "key", "print", F.coalesce("label", "print").alias("label"),
+        F.pmod(F.xxhash64("print"), parts).alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("other"))
+    left = labelled.select("key", F.col("own").alias("i"), F.col("other").alias("j"), F.col("print").alias("a"), F.col("label").alias("label_a"))
+    right = labelled.select("key", F.col("other").alias("i"), F.col("own").alias("j"), F.col("print").alias("b"), F.col("label").alias("label_b"))
+    rest = left.join(right, ["key", "i", "j"]).where(
         (F.col("label_a") < F.col("label_b")) & _close(F.col("a"), F.col("b"), bits)
     ).select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
     known = groups.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
@@ -280,6 +290,7 @@ def linked_prints(nodes: DataFrame, bits: int) -> DataFrame:
 
 def _near_rows(docs: DataFrame, bits: int) -> DataFrame:
     """(doc_id, digest, print, label, component_id): the label tells components apart, whatever their ids."""
+    ship_package(docs.sparkSession)
     rows = fingerprints(docs)
     nodes = settle(rows.groupBy("print").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("_rows")))
     groups = linked_prints(nodes, bits)
@@ -299,12 +310,10 @@ def drop_near(docs: DataFrame, bits: int = MOST_BITS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of every component one with its id."""
     stay = (
         _near_rows(docs, bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("label").agg(F.min("digest").alias("_digest"), F.min("doc_id").alias("_id"))
-        .select("_id", "_digest").distinct()
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (_digest() == F.col("_digest"))
-    one = Window.partitionBy("doc_id", _digest()).orderBy(F.lit(0))
-    return (
-        docs.join(stay, same, "left_semi").withColumn("_place", F.row_number().over(one)).where("_place = 1")
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        .groupBy("label").agg(F.min("digest").alias("_stay_digest"), F.min("doc_id").alias("_stay_id"))
+        .select("_stay_id", "_stay_digest").distinct()
     )
+    same = F.col("_id").eqNullSafe(F.col("_stay_id")) & (F.col("_digest") == F.col("_stay_digest"))
+    one = Window.partitionBy("_id", "_digest").orderBy(F.lit(0))
+    kept = boxed(docs, _id=F.col("doc_id"), _digest=_digest()).join(stay, same, "left_semi").withColumn("_place", F.row_number().over(one))
+    return unboxed(kept.where("_place = 1"), docs.columns)

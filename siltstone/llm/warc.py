@@ -42,7 +42,7 @@ from pyspark.sql.datasource import (
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from siltstone.llm.keys import HOT_SHARE, join_facts
-from siltstone.session import scratch_path, settle
+from siltstone.session import scratch_path, settle, ship_package
 
 # Names and formats of the WARC 1.1 standard. The page id is a field of our own.
 VERSION = "WARC/1.1"
@@ -421,6 +421,7 @@ def archive_report(spark: SparkSession, path: str) -> DataFrame:
 def archive_round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Writes an archive to the shared folder and reports what reading it back gives; ids have their own type again."""
     spark = pages.sparkSession
+    ship_package(spark)
     path = scratch_path(spark, "warc")
     write_archive(pages, path, least_bytes)
     kind = pages.schema["page_id"].dataType

@@ -61,22 +61,24 @@ def plain_level(symbols):
 
 def plain_sketch(text):
     if not text:
-        return []
-    symbols, kept = [ord(c) for c in text], []
-    for level in range(1, max(fp.LEVELS) + 1):
+        return [], 0
+    symbols, kept, level = [ord(c) for c in text], [], 0
+    while level < max(fp.LEVELS) or len(symbols) >= fp.PHRASES:
         symbols, repeated = plain_level(symbols)
-        if level in fp.LEVELS:
+        level += 1
+        if level in fp.LEVELS or level > max(fp.LEVELS) and len(symbols) >= fp.PHRASES:
             kept += symbols + repeated
     seen, hashes = {}, set()
     for s in kept:
         n = seen[s] = seen.get(s, -1) + 1
         hashes.add(stir((s + n * fp.STIR[0]) & MASK) >> 32)
-    return sorted(hashes)[: fp.KEPT]
+    return sorted(hashes)[: max(fp.KEPT, len(hashes) // fp.SHARE)], len(hashes)
 
 
 def plain_likeness(a, b):
-    both = sorted({*a, *b})[: fp.KEPT]
-    return sum(x in a and x in b for x in both) / len(both) if both else 1.0
+    bound = min([s[-1] for s, n in (a, b) if len(s) < n], default=1 << 40)
+    one, other = ({x for x in s if x <= bound} for s, _ in (a, b))
+    return len(one & other) / len(one | other) if one | other else 1.0
 
 
 def words(rng, n):
@@ -88,8 +90,20 @@ TEXTS = ["", "a", "aa", "ab", "aaaaaaaaaaab", "Das " * 500, "abab" * 99 + "x", "
 
 
 def test_sketches_are_those_of_the_plain_version():
-    assert [s.tolist() for s in fp.sketches(TEXTS)] == [plain_sketch(t) for t in TEXTS]
-    assert [fp.sketches([t])[0].tolist() for t in TEXTS] == [plain_sketch(t) for t in TEXTS]
+    texts = [*TEXTS, words(random.Random(99), 6000)]
+    assert [s.tolist() for s, _ in fp.sketches(texts)] == [plain_sketch(t)[0] for t in texts]
+    assert [fp.sketches([t])[0][0].tolist() for t in texts] == [plain_sketch(t)[0] for t in texts]
+    for a, b in zip(fp.sketches(texts), fp.sketches(texts[1:])):
+        assert fp.likeness(a, b) == fp.likeness(b, a) and fp.likeness(a, a) == 1
+
+
+def test_long_texts_tell_how_much_they_share():
+    rng = random.Random(12)
+    own, other, more = ("".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=100_000)) for _ in range(3))
+    near = [fp.likeness(*fp.sketches([own, other[:-n] + own[50_000 : 50_000 + n] if n else other])) for n in (0, 300, 1000, 3000, 10_000)]
+    assert near == sorted(near) and near[3] > 4 * near[1] and near[3] > 0.008 and near[4] > 0.035
+    edited = fp.edited_text(own, more)
+    assert abs(fp.likeness(*fp.sketches([own, edited])) - 0.5) < 0.04
 
 
 def test_a_passage_keeps_its_names_at_any_offset():
@@ -106,9 +120,9 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string, part string, top int")
 
 
-@pytest.mark.parametrize("part_bytes,chunk", [(1 << 20, 1 << 19), (2000, 1500)])
-def test_rows(spark, monkeypatch, part_bytes, chunk):
-    monkeypatch.setattr(fp, "PART_BYTES", part_bytes)
+@pytest.mark.parametrize("chunk", [1 << 19, 1500])
+def test_rows(spark, monkeypatch, chunk):
+    monkeypatch.setattr(fp, "CHUNK", chunk)
     rows = [(i * 3, t or None, "clash", 1) for i, t in enumerate(TEXTS)]
     got = sorted(map(tuple, fp.fingerprints(frame(spark, rows).repartition(5)).collect()))
     expected = []
@@ -118,17 +132,16 @@ def test_rows(spark, monkeypatch, part_bytes, chunk):
         third = len(t) // 3
         edited = t[: len(t) - third] + after[:third]
         own, changed, following = plain_sketch(t), plain_sketch(edited), plain_sketch(after)
-        digits = lambda s: "".join(f"{x:08x}" for x in s)
+        digits = lambda s: "".join(f"{x:08x}" for x in s[0])
         expected.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), digits(own), digits(changed),
                          plain_likeness(own, changed), plain_likeness(own, following)))
     assert got == sorted(expected)
 
 
-def test_odd_tables(spark, monkeypatch):
+def test_odd_tables(spark):
     assert fp.fingerprints(frame(spark, [])).count() == 0
     only = fp.fingerprints(frame(spark, [(7, "abcdef", "x", 1)])).collect()
     assert len(only) == 1 and only[0].near_next == 1.0
-    monkeypatch.setattr(fp, "PART_BYTES", 50)
     rows = [(None, "null id", "x", 1), (None, None, "x", 1)] + [(4, f"same id {i % 2}", "x", 1) for i in range(20)] + [(9, "nine", "x", 1)]
     got = fp.fingerprints(frame(spark, rows).repartition(3)).collect()
     assert len(got) == len(rows) and sum(r.doc_id is None for r in got) == 2

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from siltstone.llm import pii
-from siltstone.llm.pii import Weights, base_spans, graph_of, linked_spans, luhn, marginals, personal_data, train, training_rows
+from siltstone.llm.pii import Weights, base_spans, graph_of, labelled_spans, linked_spans, luhn, marginals, personal_data, train, training_rows
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -81,6 +82,38 @@ def test_other_mentions_are_linked():
     assert linked_spans(alone, base_spans(alone), Weights()) == []
 
 
+def test_planted_repeats_are_found_with_their_kind():
+    """Repeats of a mention in other spellings, among numbers and names that belong to nobody in the document."""
+    rng = random.Random(11)
+    first, last = ("anna", "boris", "carla", "dmitri", "elena", "farid"), ("keller", "moreau", "novak", "okafor", "petrov", "quinn")
+    planted = found = right = wrong = 0
+    for _ in range(200):
+        area, mid, end = rng.randrange(200, 999), rng.randrange(200, 999), rng.randrange(1000, 9999)
+        a, b = rng.choice(first), rng.choice(last)
+        again = [(3, f"{area} {mid} {end}"), (3, f"({area}) {mid}-{end}"), (0, f"{a} {b}".title()), (0, f"{a}_{b}"), (3, f"{area}.{mid}.{end}")]
+        noise = [f"order {rng.randrange(10**8, 10**9)}", f"item {rng.randrange(10**11, 10**12)}", "Maria Lindqvist", f"in {rng.randrange(1900, 2030)}"]
+        said = [(None, n) for n in noise] + again
+        rng.shuffle(said)
+        text, spans = f"Write to {a}.{b}@example.com or call +1 {area} {mid} {end}.", set()
+        for kind, piece in said:
+            text += " Then some words stand here, and "
+            if kind is not None:
+                spans.add((len(text), kind, len(text) + len(piece)))
+            text += piece
+        got = set(labelled_spans(text, base_spans(text), Weights()))
+        planted, found, wrong = planted + len(spans), found + len(got & spans), wrong + len(got - spans)
+        right += sum((s, e) in {(x, z) for x, _, z in got} for s, _, e in spans)
+    assert right / planted >= 0.99 and found / planted >= 0.99 and wrong / (found + wrong) <= 0.01, (planted, right, found, wrong)
+
+
+def test_many_names_take_little_time():
+    names = [f"user{i:05d}.name{i * 7 % 9973}" for i in range(20_000)]
+    text = " ".join(f"{n}@example.com" for n in names) + " " + " ".join(n.replace(".", " ").upper() for n in names[:3000])
+    start = time.perf_counter()
+    found = linked_spans(text, base_spans(text), Weights())
+    assert len(found) == 3000 and time.perf_counter() - start < 5
+
+
 def test_repeated_mentions_make_as_many_links():
     text = "+1 269 555 0132, " * 3000 + "269 555 0132 and more " * 3000
     graph = graph_of(text, base_spans(text))
@@ -108,13 +141,13 @@ def test_rows(spark):
     expected = []
     for i, t in enumerate(texts):
         base = plain(t or "")
-        every = sorted(base + [(a, 4, b) for a, b in linked_spans(t or "", base, weights)])
-        names = ["email", "ip", "card", "phone", "linked"]
+        every = sorted(base + [(a, 4 + k, b) for a, k, b in labelled_spans(t or "", base, weights)])
+        names = ["email", "ip", "card", "phone", "linked_email", "linked_ip", "linked_card", "linked_phone"]
         write = lambda spans: ",".join(f"{names[k]}:{a}:{b}" for a, k, b in spans)
         expected.append((i % 50, *[sum(s[1] == k for s in base) for k in range(4)], hashlib.sha256(write(base).encode()).hexdigest(),
                          write(every), len(every) - len(base)))
     assert got == sorted(expected)
-    assert any(r[-1] for r in got)
+    assert any(r[-1] for r in got) and any("linked_phone" in r[6] and "linked_email" in r[6] for r in got)
 
 
 def test_empty_table(spark):

@@ -9,7 +9,7 @@ import xxhash
 
 from siltstone.llm import simhash
 from siltstone.llm.components import components
-from siltstone.llm.simhash import Golay, drop_near, fingerprint, linked_prints, near_groups, pair_keys
+from siltstone.llm.simhash import Golay, drop_near, fingerprint, linked_prints, near_groups, fuzzy_keys
 
 
 def plain_print(text):
@@ -58,7 +58,7 @@ def test_any_four_bits_leave_a_common_key():
         b = a
         for bit in rng.sample(range(64), 4):
             b ^= 1 << bit
-        row, key = pair_keys(golay, np.array([a, b], np.uint64).view(np.int64))
+        row, key = fuzzy_keys(golay, np.array([a, b], np.uint64).view(np.int64))
         assert set(key[row == 0].tolist()) & set(key[row == 1].tolist())
 
 
