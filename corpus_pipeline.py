@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.llm import exact_dedup, packing, perplexity, secrets, simhash
 from siltstone.llm.queries import WORD_TOKENIZER
-from siltstone.session import scratch_path
+from siltstone.session import scratch_path, ship_package
 
 
 def likely(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose perplexity is not above their language's threshold; runs of likely words stay."""
-    return perplexity.drop_unlikely(docs, perplexity.trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet")), repeats=False)
+    """Documents whose perplexity is not above their language's threshold, without runs of repeated words."""
+    return perplexity.drop_unlikely(docs, perplexity.trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,6 +51,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages on the documents of ``sf_dir``, each written as Parquet and read by the next."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name.replace(" ", "-"))
