@@ -1,8 +1,8 @@
 """Quality by the perplexity of an interpolated modified Kneser-Ney model of characters.
 
 The model of a language is trained on its trusted documents. Documents are read
-once, in blocks of one language, packed and compressed; which rows of a block
-are trusted is found by a join of ids, and only their places move to the block.
+in blocks of one language, packed and compressed; which rows of a block are
+trusted is found by a join of ids, and only their places move to the block.
 A block's distinct n-grams, numbered, are the rows that meet the model, so that
 a common n-gram is a row per block and not one per place. Counts, contexts,
 lower orders and queried n-grams are sharded by (lang, n-gram) and joined in
@@ -152,38 +152,62 @@ def _unpacked(rows: bytes) -> pa.Table:
     return pa.ipc.open_stream(rows).read_all()
 
 
-def packed_blocks(docs: DataFrame) -> DataFrame:
-    """(block, lang, ids, rows): documents in blocks, compressed, written once; all later steps read these."""
+def _prepared(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, lang, text)."""
+    return docs.select("doc_id", digest_of().alias("digest"), F.coalesce("lang", F.lit("")).alias("lang"), text_of().alias("text"))
+
+
+def _check(table: pa.Table) -> int:
+    """Tells whether a block has the same rows again."""
+    digests = table["digest"].to_numpy().view(np.uint64)
+    return int((digests * (2 * np.arange(len(digests), dtype=np.uint64) + np.uint64(1))).sum().view(np.int64))
+
+
+def trusted_places(rows: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(block, check, trusted): the places of a block's trusted rows, for every block; written once.
+
+    Ids meet in a join, and a few places per block are all that comes of it.
+    """
     most_chars = BLOCK_CHARS
     schema = T.StructType([
-        T.StructField("block", T.StringType()), T.StructField("lang", T.StringType()),
-        T.StructField("ids", T.ArrayType(docs.schema["doc_id"].dataType)), T.StructField("rows", T.BinaryType())])
+        T.StructField("block", T.StringType()), T.StructField("check", T.LongType()),
+        T.StructField("ids", T.ArrayType(rows.schema["doc_id"].dataType))])
     kinds = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, lang, table in _blocks(batches, most_chars):
-            yield pa.RecordBatch.from_pydict({"block": [block], "lang": [lang], "ids": [table["doc_id"].to_pylist()], "rows": [_packed(table)]}, kinds)
+        for block, _, table in _blocks(batches, most_chars):
+            yield pa.RecordBatch.from_pydict({"block": [block], "check": [_check(table)], "ids": [table["doc_id"].to_pylist()]}, kinds)
 
-    path = scratch_path(docs.sparkSession, "blocks")
-    rows = docs.select("doc_id", digest_of().alias("digest"), F.coalesce("lang", F.lit("")).alias("lang"), text_of().alias("text"))
-    rows.mapInArrow(run, schema).write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    known = trusted.select("doc_id").where("doc_id is not null").distinct().withColumn("known", F.lit(True))
+    placed = rows.mapInArrow(run, schema).select("block", "check", F.posexplode("ids").alias("place", "doc_id"))
+    return written(
+        placed.join(known, "doc_id", "left").groupBy("block", "check").agg(F.collect_list(F.when(F.col("known"), F.col("place"))).alias("trusted")),
+        "trusted")
 
 
-def marked_blocks(blocks: DataFrame, trusted: DataFrame) -> DataFrame:
-    """The blocks with the places of their trusted rows. Ids meet in a join; a block's few places are all that moves to it."""
-    ids = trusted.select("doc_id").where("doc_id is not null").distinct()
-    placed = blocks.select("block", F.posexplode("ids").alias("place", "doc_id"))
-    found = placed.join(ids, "doc_id", "left_semi").groupBy("block").agg(F.collect_list("place").alias("trusted"))
-    path = scratch_path(blocks.sparkSession, "trusted")
-    found.write.parquet(path)
-    return blocks.drop("ids").join(blocks.sparkSession.read.parquet(path), "block", "left")
+def packed_blocks(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """(block, lang, rows, trusted): the same blocks with their rows compressed, beside the places of the trusted ones.
+
+    The documents are read again for it, in the same partitions, as files and
+    checkpoints are. A block that has other rows than before has no places,
+    which is an error where it is used.
+    """
+    most_chars = BLOCK_CHARS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, lang, table in _blocks(batches, most_chars):
+            yield pa.RecordBatch.from_pydict({"block": [block], "check": [_check(table)], "lang": [lang], "rows": [_packed(table)]})
+
+    packed = rows.mapInArrow(run, "block string, check long, lang string, rows binary")
+    return packed.join(places, ["block", "check"], "left").select("block", "lang", "rows", "trusted")
 
 
 def _weights(places, rows: int) -> np.ndarray:
     """One of every trusted row, zero of the others."""
+    if places is None:
+        raise RuntimeError("a block of documents changed between two reads")
     weights = np.zeros(rows, np.int64)
-    weights[np.array(places if places is not None else [], np.int64)] = 1
+    weights[np.array(places, np.int64)] = 1
     return weights
 
 
@@ -266,7 +290,8 @@ def probabilities(queried: DataFrame, tables: list[DataFrame]) -> DataFrame:
 def scores(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame:
     """(doc_id, digest, lang, trusted, n_chars, surprise, repeats): mean negative log-probability per character, share of repeated n-grams; written once."""
     ship_package(docs.sparkSession)
-    blocks = marked_blocks(packed_blocks(docs), trusted)
+    rows = _prepared(docs)
+    blocks = packed_blocks(rows, trusted_places(rows, trusted))
     grams = block_grams(blocks, order)
     known = grams.where("n > 0").groupBy("lang", "gram").agg(F.sum("n").alias("c"))
     tables = count_tables(written(known, "counts"), order)

@@ -182,3 +182,12 @@ def test_runs_of_words_are_caught(spark):
     good = [r.kept for r in told if r.quality == 1 and r.toxic == 0]
     print("kept:", [(sum(k), len(k)) for k in (good, runs, other)])
     assert sum(runs) <= 0.01 * len(runs) and sum(other) <= 0.05 * len(other) and sum(good) >= 0.98 * len(good)
+
+
+def test_documents_that_change_between_reads_are_an_error(spark):
+    docs = spark.range(50).selectExpr("id as doc_id", "'en' as lang", "concat('ab', id) as text")
+    other = spark.range(50).selectExpr("id as doc_id", "'en' as lang", "concat('ac', id) as text")
+    places = pp.trusted_places(pp._prepared(docs), docs.select("doc_id"))
+    assert pp.block_grams(pp.packed_blocks(pp._prepared(docs), places), 2).count() > 0
+    with pytest.raises(Exception, match="changed between two reads"):
+        pp.block_grams(pp.packed_blocks(pp._prepared(other), places), 2).count()
