@@ -62,11 +62,56 @@ def join_day_ranges(
 ) -> DataFrame:
     """Join days to the date ranges that contain them.
 
-    The range side is a calendar: it is opened into one row per day, so the
-    facts are joined on equality and never compared with every range.
+    Both ends belong to a range.
     """
-    opened = ranges.withColumn("_day", F.explode(F.sequence(F.col(start), F.col(end))))
-    return facts.join(opened, F.col(day).cast("date") == F.col("_day"), "inner").drop("_day")
+    number = lambda c: F.datediff(F.col(c).cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return join_intervals(facts, number(day), ranges, number(start), number(end) + 1)
+
+
+# Bits by which blocks grow from level to level, and levels: numbers of 64 bits.
+BLOCK_BITS, BLOCK_LEVELS = 4, 16
+
+
+def _on_level(level: int, numbers: Column) -> Column:
+    return F.transform(numbers, lambda x: F.struct(F.lit(level).alias("level"), x.alias("number")))
+
+
+def interval_blocks(start: Column, end: Column) -> Column:
+    """The aligned blocks, as (level, number), that make up start <= x < end: a few per level, however long the interval.
+
+    On every level the numbers up to the next multiple of a block's size, and
+    those after the last one, are blocks; the middle is left to the next level.
+    """
+    size = 1 << BLOCK_BITS
+    parts = []
+    none = F.array().cast("array<struct<level:int,number:bigint>>")
+    for level in range(BLOCK_LEVELS):
+        # Whole blocks of the level between the ends, and of the next level, in units of this one.
+        low, high = -F.shiftright(-start, BLOCK_BITS * level), F.shiftright(end, BLOCK_BITS * level)
+        above, below = -F.shiftright(-low, BLOCK_BITS) * size, F.shiftright(high, BLOCK_BITS) * size
+        head_end = F.least(high, above)
+        tail_start = F.greatest(head_end, below)
+        for a, b in ((low, head_end), (tail_start, high)):
+            parts.append(F.when(a < b, _on_level(level, F.sequence(a, b - 1))).otherwise(none))
+    return F.flatten(F.array(*parts))
+
+
+def join_intervals(facts: DataFrame, at: Column, ranges: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Inner join of facts with the ranges that contain them, start <= at < end, on whole numbers such as microseconds.
+
+    A range is a few aligned blocks, and a fact has one block on each level that
+    any range uses, so the join is on equality: facts are never compared with
+    every range, and a range is not opened into its points. NULLs match nothing.
+    """
+    blocked = ranges.withColumns({"_start": start, "_end": end}).where("_start < _end")
+    opened = blocked.withColumn("_block", F.explode(interval_blocks(F.col("_start"), F.col("_end")))).drop("_start", "_end")
+    opened = opened.select(*ranges.columns, F.col("_block.level").alias("_level"), F.col("_block.number").alias("_number"))
+    levels = [r["_level"] for r in opened.select("_level").distinct().collect()]  # at most BLOCK_LEVELS
+    own = F.array(*[F.struct(F.lit(n).alias("_level"), F.shiftright(F.col("_at"), BLOCK_BITS * n).alias("_number")) for n in sorted(levels)])
+    if not levels:
+        own = F.array().cast("array<struct<_level:int,_number:bigint>>")
+    placed = facts.withColumn("_at", at).where("_at is not null").select(*facts.columns, F.inline(own))
+    return placed.join(opened, ["_level", "_number"]).drop("_level", "_number")
 
 
 def join_spine(spine: DataFrame, facts: DataFrame, key: str, counted: str) -> DataFrame:

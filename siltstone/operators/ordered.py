@@ -1,21 +1,26 @@
 """Neighbour and running-total operators over a total order of a large table.
 
 A window with one huge partition (or none at all) would sort the whole table in
-one task.  Here the rows are range-partitioned by (keys, order) first, the
-window runs inside every range, and ranges are stitched together with one small
-row per range.  The cut is checkpointed once, so that both readers of it see
+one task.  Here the rows are range-partitioned by (keys, order) first, every
+range is worked on by itself, and ranges are stitched together with one small
+row per range.  The cut is checkpointed once, so that all readers of it see
 the same ranges even when an executor is lost.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from siltstone.session import settle, shuffle_width
+from siltstone.session import settle, ship_package, shuffle_width
 
 RANGE = "_range"
 
@@ -27,32 +32,16 @@ def cut_by_range(df: DataFrame, keys: Sequence[str], ranges: int | None = None)
     return settle(cut.withColumn(RANGE, F.spark_partition_id()))
 
 
-def neighbours(
-    cut: DataFrame, by: Sequence[str], order: Sequence[str], source: str | Column, name: str, ahead: bool = False
-) -> DataFrame:
-    """Add ``source`` of the row before (or after) within ``by`` to a frame made by ``cut_by_range``."""
-    by, order = list(by), list(order)
-    wanted = F.col(source) if isinstance(source, str) else source
-    step, end_of = (F.lead, F.min_by) if ahead else (F.lag, F.max_by)
-    inside = W.partitionBy(RANGE, *by).orderBy(*order)
-    rows = cut.withColumns({
-        "_edge": step(F.lit(True)).over(inside).isNull(),
-        "_inside": step(wanted).over(inside),
-    })
-    # One row per range: the row facing the neighbouring range, moved over to it.
-    group = F.struct(*[F.col(k) for k in by]) if by else F.lit(True)
-    position = F.struct(*[F.col(k) for k in by + order])
-    ends = cut.groupBy(RANGE).agg(
-        end_of(F.struct(group.alias("by"), wanted.alias("value")), position).alias("_end")
-    )
-    moved = ends.select(RANGE, step("_end").over(W.orderBy(RANGE)).alias("_end"))
-    carried = moved.select(RANGE, F.col("_end.by").alias("_end_by"), F.col("_end.value").alias("_end_value"))
-    across = F.when(F.col("_end_by").eqNullSafe(group), F.col("_end_value"))
-    return (
-        rows.join(F.broadcast(carried), RANGE, "left")  # as many rows as there are ranges
-        .withColumn(name, F.when(F.col("_edge"), across).otherwise(F.col("_inside")))
-        .drop("_edge", "_inside", "_end_by", "_end_value")
-    )
+def _same(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Where two arrays agree as groups do: NULL with NULL, NaN with NaN."""
+    same = pc.or_(pc.equal(a, b).fill_null(False), pc.and_(a.is_null(), b.is_null()))
+    if pa.types.is_floating(a.type):
+        same = pc.or_(same, pc.and_(pc.is_nan(a), pc.is_nan(b)).fill_null(False))
+    return same.to_numpy(zero_copy_only=False)
+
+
+# Rows that see their neighbour in their own range, first rows of a range, and copies of last rows, for the range that follows.
+INNER, FIRST, LAST = range(3)
 
 
 def with_neighbour(
@@ -66,11 +55,60 @@ def with_neighbour(
 ) -> DataFrame:
     """Add ``source`` of the row before (or after) within ``by`` in ascending ``order``.
 
-    Rows equal in ``by`` and ``order`` would share one range, so callers reduce
-    them to a single row beforehand.
+    Rows are shuffled once, by range, and read in order: a task sees neighbours
+    as they come and hands over its last row for the range that follows. Rows
+    equal in ``by`` and ``order`` would share one range, so callers reduce them
+    to a single row beforehand.
     """
-    cut = cut_by_range(df, [*by, *order], ranges)
-    return neighbours(cut, by, order, source, name, ahead).drop(RANGE)
+    by, order = list(by), list(order)
+    wanted = F.col(source) if isinstance(source, str) else source
+    keys = [F.col(k) for k in by + order]
+    rows = df.withColumn("_source", wanted).repartitionByRange(ranges or shuffle_width(df.sparkSession), *keys)
+    rows = rows.sortWithinPartitions(*[k.desc() for k in keys] if ahead else keys)
+    schema = T.StructType([*rows.schema.fields, T.StructField(name, rows.schema["_source"].dataType)]
+                          + T.StructType.fromDDL(f"{RANGE} int, _kind int").fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, before = TaskContext.get().partitionId(), None
+
+        def told(rows: pa.RecordBatch, near: pa.Array, kind: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [*rows.columns, near, pa.array(np.full(rows.num_rows, task, np.int32)), pa.array(kind.astype(np.int32))], names=schema.names)
+
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            # Row i of ``both`` stands before row i of the batch; the first of all has none and stands in for itself.
+            both = pa.Table.from_batches([batch.slice(0, 1) if before is None else before, batch]).combine_chunks().to_batches()[0]
+            alike = np.ones(n, bool)
+            for k in by:
+                column = both.column(k)
+                alike &= _same(column.slice(0, n), column.slice(1))
+            kind = np.zeros(n, np.int32)
+            if before is None:
+                kind[0], alike[0] = FIRST, False
+            place = pa.array(np.arange(n), mask=~alike)
+            yield told(batch, both.column("_source").take(place), kind)
+            before = batch.slice(n - 1)
+        if before is not None:
+            yield told(before, before.column("_source").take(pa.array([None], pa.int64())), np.array([LAST]))
+
+    ship_package(df.sparkSession)
+    found = settle(rows.mapInArrow(run, schema))
+    # One row per range moves to the range that follows.
+    group = F.struct(*[F.col(k) for k in by]) if by else F.lit(True)
+    follows = F.lead if ahead else F.lag
+    ends = found.where(F.col("_kind") == LAST).select(F.col(RANGE).alias("_at"), F.struct(group.alias("by"), F.col("_source").alias("value")).alias("_end"))
+    firsts = found.where(F.col("_kind") == FIRST).select(F.col(RANGE).alias("_at"))
+    carried = firsts.join(ends, "_at").select("_at", follows("_end").over(W.orderBy("_at")).alias("_end"))
+    across = F.when(F.col("_end.by").eqNullSafe(group), F.col("_end.value"))
+    edge = F.col("_kind") == FIRST
+    return (
+        found.where(F.col("_kind") != LAST).join(F.broadcast(carried), edge & (F.col(RANGE) == F.col("_at")), "left")
+        .withColumn(name, F.when(edge, across).otherwise(F.col(name)))
+        .drop("_source", RANGE, "_kind", "_at", "_end")
+    )
 
 
 def with_running_total(

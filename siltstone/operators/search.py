@@ -80,8 +80,8 @@ class _Nearest:
 
     SLICE_CELLS = 4_000_000
 
-    def __init__(self, unit_queries: np.ndarray, k: int):
-        self.queries, self.k = unit_queries, k
+    def __init__(self, unit_queries: np.ndarray, k: int, decimals: int = SCORE_DECIMALS):
+        self.queries, self.k, self.decimals = unit_queries, k, decimals
         self.bound = np.full(unit_queries.shape[0], -np.inf)
         self.query = np.empty(0, dtype=np.int64)
         self.score = np.empty(0)
@@ -95,7 +95,7 @@ class _Nearest:
         found = [(self.query, self.score, self.key if self.key is not None else keys[:0])]
         step = max(1, self.SLICE_CELLS // n)
         for start in range(0, self.queries.shape[0], step):
-            scores = np.round(self.queries[start : start + step] @ unit, SCORE_DECIMALS)
+            scores = np.round(self.queries[start : start + step] @ unit, self.decimals)
             scores[:, undefined] = UNDEFINED
             bound = self.bound[start : start + step]
             if n > self.k and np.isneginf(bound).any():
@@ -117,9 +117,9 @@ class _Nearest:
 def knn_join(
     queries: DataFrame, docs: DataFrame, k: int = 10, query_key: str = "query_id",
     query_vector: str = "query_vector", key: str = "id", vector: str = "embedding",
-    block_bytes: int = QUERY_BLOCK_BYTES,
+    block_bytes: int = QUERY_BLOCK_BYTES, decimals: int = SCORE_DECIMALS,
 ) -> DataFrame:
-    """The k nearest documents of every query, with rank and score.
+    """The k nearest documents of every query, with rank and score, ranked by scores of so many decimals.
 
     Documents never move: each task multiplies its batches with a block of query
     vectors and keeps k candidates per query, so only tasks x queries x k rows
@@ -127,7 +127,7 @@ def knn_join(
     """
     spark = docs.sparkSession
     parts = [
-        _local_nearest(spark, docs, ids, rows, k, queries.schema[query_key].dataType, query_key, key, vector)
+        _local_nearest(spark, docs, ids, rows, k, queries.schema[query_key].dataType, query_key, key, vector, decimals)
         for ids, rows in _blocks(queries, query_key, query_vector, block_bytes)
     ]
     if not parts:
@@ -147,7 +147,7 @@ def knn_join(
 
 def _local_nearest(
     spark: SparkSession, docs: DataFrame, ids: list, rows: np.ndarray, k: int,
-    query_type: T.DataType, query_key: str, key: str, vector: str,
+    query_type: T.DataType, query_key: str, key: str, vector: str, decimals: int,
 ) -> DataFrame:
     norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))
     block = spark.sparkContext.broadcast((ids, rows / np.where(norms == 0, 1.0, norms)[:, None]))
@@ -160,7 +160,7 @@ def _local_nearest(
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, unit_queries = block.value
-        best = _Nearest(unit_queries, k)
+        best = _Nearest(unit_queries, k, decimals)
         for batch in batches:
             x, present = as_matrix(batch.column(1), unit_queries.shape[1])
             if x.shape[0]:

@@ -6,15 +6,15 @@ key that holds a large share of the rows sends only one row per map task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from siltstone.functions.maths import log_natural
 from siltstone.operators.joins import with_one_row
-from siltstone.operators.ordered import cut_by_range, neighbours, with_neighbour, with_running_total
+from siltstone.operators.ordered import with_neighbour, with_running_total
 from siltstone.operators.reshape import repeat_rows
 
 
@@ -77,10 +77,9 @@ def with_previous_value(df: DataFrame, column: str, by: Sequence[str], name: str
     """
     by = list(by)
     counted = df.groupBy(*by, column).agg(F.count(F.lit(1)).alias("_copies"))
-    cut = cut_by_range(counted, [*by, column])
-    once = neighbours(cut, by, [column], column, name).select(*by, column, name)
-    copies = repeat_rows(cut, F.col("_copies") - 1).select(*by, column, F.col(column).alias(name))
-    return once.unionByName(copies)
+    once = with_neighbour(counted, by, [column], column, name)
+    copies = repeat_rows(once, F.col("_copies") - 1).select(*by, column, F.col(column).alias(name))
+    return once.select(*by, column, name).unionByName(copies)
 
 
 def with_next_range(df: DataFrame, lower: str, upper: str, by: Sequence[str] = ()) -> DataFrame:
@@ -94,12 +93,11 @@ def with_next_range(df: DataFrame, lower: str, upper: str, by: Sequence[str] = (
         F.count(F.lit(1)).alias("_copies")
     )
     order = ["lower_bound", "upper_bound"]
-    cut = cut_by_range(counted, by + order)
-    following = neighbours(cut, by, order, F.struct("lower_bound"), "_next", ahead=True)
+    following = with_neighbour(counted, by, order, F.struct("lower_bound"), "_next", ahead=True)
     final = following.select(
         *by, *order, F.col("_next.lower_bound").alias("next_lower_bound"), F.col("_next").isNull().alias("is_last_record")
     )
-    copies = repeat_rows(cut, F.col("_copies") - 1).select(
+    copies = repeat_rows(following, F.col("_copies") - 1).select(
         *by, *order, F.col("lower_bound").alias("next_lower_bound"), F.lit(False).alias("is_last_record")
     )
     return final.unionByName(copies)
@@ -111,8 +109,7 @@ def lag_difference(
 ) -> DataFrame:
     """Change against ``back`` periods earlier, on logs if wanted.
 
-    The input is a per-period aggregate: a group has one row per period. Without
-    groups the periods are numbered and joined, as no window should hold them all.
+    The input is a per-period aggregate: a group has one row per period.
     """
     def metric(c: str) -> Column:
         return F.coalesce(log_natural(c) if take_logs else F.col(c), F.lit(0))
@@ -120,39 +117,40 @@ def lag_difference(
     if not take_diffs:
         return df.withColumn(name, metric(value))
     prior = f"prior_{value}"
-    if by:
-        rows = df.withColumn(prior, F.lag(value, back).over(W.partitionBy(*by).orderBy(order)))
-    else:
-        ranked = numbered_periods(df, order)
-        earlier = ranked.select((F.col(PERIOD) + back).alias(PERIOD), F.col(value).alias(prior))
-        rows = ranked.join(earlier, PERIOD, "left").select(*df.columns, prior)
+    rows = over_blocks(df, by, order, back, lambda window: {prior: F.lag(value, back).over(window)})
     return rows.withColumn(name, metric(value) - metric(prior))
 
 
-PERIOD = "_period"
+# Rows of a block; the rows before it that a moving window needs are copied in.
+BLOCK_ROWS = 1 << 13
 
 
-def numbered_periods(df: DataFrame, order: str) -> DataFrame:
-    """Rows with their number in the order of the whole table, without a window over all of them."""
-    counted = with_running_total(df.withColumn("_one", F.lit(1)), [], [order], "_one", PERIOD, "_all")
-    return counted.drop("_one", "_all")
+def over_blocks(
+    df: DataFrame, by: Sequence[str], order: str, back: int, columns: Callable[[WindowSpec], dict[str, Column]],
+) -> DataFrame:
+    """Columns over windows that reach back ``back`` rows, of groups of any size (one row per period).
 
+    The rows of a group are numbered by a distributed running total and cut into
+    blocks; the last ``back`` rows of a block are copied into the next one. A
+    window never holds more than a block, whatever share of the rows a group has.
+    """
+    by, size = list(by), max(back, BLOCK_ROWS)
+    counted = with_running_total(df.withColumn("_one", F.lit(1)), by, [order], "_one", "_number", "_all")
+    place = F.col("_number") - 1
+    own = F.struct(F.floor(place / size).alias("_block"), F.lit(False).alias("_halo"))
+    following = F.struct((F.floor(place / size) + 1).alias("_block"), F.lit(True).alias("_halo"))
+    dealt = counted.select(
+        *df.columns, "_number", F.inline(F.when(place % size >= size - back, F.array(own, following)).otherwise(F.array(own))))
+    window = W.partitionBy(*by, "_block").orderBy("_number")
+    found = columns(window)
+    return dealt.withColumns(found).where(~F.col("_halo")).select(*df.columns, *found)
 
-def moving_stats(df: DataFrame, by: Sequence[str], order: str, value: str, back: int, prefix: str) -> DataFrame:
-    """Mean and standard deviation of the ``back`` rows before each row (per-period input).
 
-    Without groups every row is handed to the ``back`` rows after it and summed up there.
-    """
-    if not by:
-        ranked = numbered_periods(df, order)
-        after = F.sequence(F.col(PERIOD) + 1, F.col(PERIOD) + back)
-        stats = ranked.select(F.explode(after).alias(PERIOD), F.col(value).alias("_value")).groupBy(PERIOD).agg(
-            F.avg("_value").alias(f"{prefix}_average"), F.stddev_samp("_value").alias(f"{prefix}_stddev"))
-        return ranked.join(stats, PERIOD, "left").select(*df.columns, f"{prefix}_average", f"{prefix}_stddev")
-    window = W.partitionBy(*by).orderBy(order).rowsBetween(-back, -1)
-    return df.withColumns({
-        f"{prefix}_average": F.avg(value).over(window),
-        f"{prefix}_stddev": F.stddev_samp(value).over(window),
+def moving_stats(df: DataFrame, by: Sequence[str], order: str, value: str, back: int, prefix: str) -> DataFrame:
+    """Mean and standard deviation of the ``back`` rows before each row (per-period input)."""
+    return over_blocks(df, by, order, back, lambda window: {
+        f"{prefix}_average": F.avg(value).over(window.rowsBetween(-back, -1)),
+        f"{prefix}_stddev": F.stddev_samp(value).over(window.rowsBetween(-back, -1)),
     })
 
 
@@ -162,6 +160,21 @@ def with_global_stats(df: DataFrame, value: str) -> DataFrame:
     return with_one_row(df, stats)
 
 
-def rolling_sum(df: DataFrame, by: Sequence[str], order: Column | str, value: str, name: str) -> DataFrame:
-    """Running sum up to and including rows of equal order (per-period input)."""
-    return df.withColumn(name, F.sum(value).over(W.partitionBy(*by).orderBy(order)))
+def rolling_sum(df: DataFrame, by: Sequence[str], order: str, value: str, name: str, descending: bool = False) -> DataFrame:
+    """Running sum up to and including each row (per-period input), NULL before the first value.
+
+    Sums within ranges and one offset per range and group, so a group of any size is spread over tasks.
+    """
+    by = list(by)
+    known = F.col(value).isNotNull()
+    summed = with_running_total(
+        df.withColumn("_amount", F.coalesce(F.col(value), F.lit(0))), by, [order], "_amount", "_upto", "_all")
+    first = (F.max if descending else F.min)(F.when(known, F.col(order))).alias("_first")
+    if by:
+        starts = df.groupBy(*by).agg(first).withColumnsRenamed({k: f"_k_{k}" for k in by})
+        beside = summed.join(starts, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by])
+    else:
+        beside = with_one_row(summed, df.agg(first))
+    total = F.col("_all") - F.col("_upto") + F.col("_amount") if descending else F.col("_upto")
+    begun = F.col(order) <= F.col("_first") if descending else F.col(order) >= F.col("_first")
+    return beside.withColumn(name, F.when(begun, total)).select(*df.columns, name)

@@ -62,6 +62,20 @@ def join_range_calendar(t):
     return joined.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
+@query("join_interval_seconds", """WITH spans AS (
+  SELECT event_id AS span_id, event_type AS span_type, ts AS start_ts, ts + CAST(1 + event_id % 97 AS BIGINT) * INTERVAL 1 HOUR AS end_ts FROM events WHERE event_id % 50 = 0)
+SELECT span_id, span_type, count(*) AS n, round(sum(value), 4) AS total, min(event_id) AS first_event, max(event_id) AS last_event
+FROM events JOIN spans ON ts >= start_ts AND ts < end_ts GROUP BY ALL""")
+def join_interval_seconds(t):
+    """Events within spans of an hour to four days, at microseconds."""
+    spans = t.events.where("event_id % 50 = 0").selectExpr(
+        "event_id as span_id", "event_type as span_type", "ts as start_ts", "ts + (1 + event_id % 97) * interval '1' hour as end_ts")
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    joined = J.join_intervals(t.events, micros("ts"), spans, micros("start_ts"), micros("end_ts"))
+    return joined.groupBy("span_id", "span_type").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"))
+
+
 @query("join_cross_series", """SELECT n AS generated_number, count(p_partkey) AS parts
 FROM range(1, (SELECT max(p_size) + 1 FROM part)) r(n) LEFT JOIN part ON p_size = n GROUP BY ALL""")
 def join_cross_series(t):

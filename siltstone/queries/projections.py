@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltstone.operators import project as P
+from siltstone.operators.grams import build_postings, search_like, text_search_indexed, write_postings
 from siltstone.operators.search import text_search
 from siltstone.queries.common import GOLD, SCORE, SILVER, digest, gold, silver
 from siltstone.queries.registry import query
+from siltstone.session import scratch_path
 
 
 @query("star", """SELECT c_name AS src_c_name_x, c_nationkey AS src_c_nationkey_x, c_acctbal AS src_c_acctbal_x
@@ -77,6 +79,23 @@ def text_search_query(t):
     return hits.select("id", digest(), "score")
 
 
+@query("text_search_indexed", f"""WITH {SILVER}
+SELECT id, md5(content) AS content_md5, 1.0::DOUBLE AS score FROM silver WHERE content ILIKE '%que_é%' ORDER BY id""")
+def text_search_by_grams(t):
+    path, texts = scratch_path(t.spark, "grams"), silver(t)
+    write_postings(build_postings(texts), path)
+    hits = text_search_indexed(texts, t.spark.read.parquet(path), "que_é", None, columns=["content"])
+    return hits.select("id", digest(), "score").orderBy("id")
+
+
+@query("like_indexed", """SELECT p_partkey, p_name FROM part WHERE p_name LIKE 'small%ring'""")
+def like_indexed(t):
+    path = scratch_path(t.spark, "grams")
+    write_postings(build_postings(t.part, "p_partkey", "p_name"), path)
+    names = t.part.select("p_partkey", "p_name")
+    return search_like(names, t.spark.read.parquet(path), "small%ring", "p_partkey", "p_name", ignore_case=False)
+
+
 @query("like_predicate", """SELECT p_partkey, p_name LIKE '%ring' AS is_ring, p_name NOT LIKE 'small%' AS not_small FROM part""")
 def like_predicate(t):
     return t.part.select(

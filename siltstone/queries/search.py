@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.sql import register_sql_functions
 from siltstone.functions.vectors import cosine_similarity
-from siltstone.operators import ann
+from siltstone.operators import ann, exact
 from siltstone.operators import search as S
 from siltstone.queries.common import COSINE, QUERY_SQL, hashed_text, query_vector, vectors_sql
 from siltstone.queries.registry import query, rounded
@@ -63,21 +63,31 @@ def cosine_distance_topk(t):
     return rounded(S.cosine_distance_topk(t.embeddings, query_vector(t), 10, "vec_id"), 6, "distance", "score")
 
 
-@query("ann_topk", """WITH seeds AS (
-  SELECT vec_id AS cell, embedding::DOUBLE[] AS c FROM embeddings ORDER BY md5(vec_id::VARCHAR), vec_id LIMIT 12),
-assigned AS (
-  SELECT e.vec_id, e.embedding, arg_max(s.cell, list_cosine_similarity(e.embedding::DOUBLE[], s.c)) AS cell
-  FROM embeddings e, seeds s GROUP BY ALL),
-probed AS (
-  SELECT cell FROM seeds ORDER BY list_cosine_similarity(c, """ + QUERY_SQL + """::DOUBLE[]) DESC LIMIT 4)
-SELECT vec_id, round(s, 6) AS score FROM (SELECT vec_id, """ + COSINE.format(q=QUERY_SQL) + """ AS s
-  FROM assigned WHERE cell IN (SELECT cell FROM probed)) ORDER BY s DESC, vec_id LIMIT 10""")
+def bounded_index(t, cells: int):
+    """Written cells with angles, and their bounds."""
+    path = scratch_path(t.spark, "cells")
+    centroids = ann.seed_centroids(t.embeddings, cells, "vec_id")
+    exact.write_bounded(exact.build_bounded(t.embeddings, centroids), path)
+    index = t.spark.read.parquet(path)
+    return index, exact.cells_of(index, centroids)
+
+
+@query("ann_topk", _top(10))
 def ann_topk(t):
-    path, wanted = scratch_path(t.spark, "cells"), query_vector(t)
-    centroids = ann.seed_centroids(t.embeddings, 12, "vec_id")
-    ann.write_index(ann.build_index(t.embeddings, centroids), path)
-    found = ann.ann_topk(t.spark.read.parquet(path), centroids, wanted, 10, 4, "vec_id")
-    return rounded(found, 6, "score")
+    """From the cells and angles that can hold the ten best: the rows of a full search."""
+    index, cells = bounded_index(t, 12)
+    return rounded(exact.exact_topk(index, cells, query_vector(t), 10, "vec_id", columns=["label"]), 6, "score")
+
+
+@query("routed_knn_join", """SELECT query_id, vec_id, rank, round(s, 6) AS score FROM (
+  SELECT q.vec_id AS query_id, e.vec_id, s, row_number() OVER (PARTITION BY q.vec_id ORDER BY s DESC, e.vec_id)::INTEGER AS rank FROM (
+    SELECT vec_id, embedding AS asked FROM embeddings WHERE vec_id % 20 = 0) q, embeddings e,
+    LATERAL (SELECT round(list_cosine_similarity(e.embedding::DOUBLE[], q.asked::DOUBLE[]), 12) AS s)) WHERE rank <= 10""")
+def routed_knn_join(t):
+    """The ten nearest of all vectors whose id is divisible by 20, each sent to the cells that can hold them."""
+    index, cells = bounded_index(t, 12)
+    asked = t.embeddings.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    return rounded(exact.exact_knn(index, cells, asked, 10, key="vec_id"), 6, "score")
 
 
 @query("ann_recall", "SELECT true AS recall_at_least_nine_tenths, count(*) AS vectors FROM embeddings WHERE len(embedding) > 0")
@@ -97,10 +107,10 @@ near AS (SELECT item_id, doc_id, round(dot / (ln.n * qn.n), 12) AS s FROM dots J
 ranked AS (SELECT item_id, doc_id, s, row_number() OVER (PARTITION BY item_id ORDER BY s DESC, doc_id)::INTEGER AS rank FROM near)"""
 
 
-def knn(t, k: int):
+def knn(t, k: int, **more):
     docs = hashed_text(t.documents, "text").select("doc_id", "embedding")
     asked = hashed_text(t.benchmark, "text").select("item_id", F.col("embedding").alias("query_vector"))
-    return S.knn_join(asked, docs, k, "item_id", key="doc_id")
+    return S.knn_join(asked, docs, k, "item_id", key="doc_id", **more)
 
 
 @query("vector_knn_join", KNN + " SELECT item_id, doc_id, rank, round(s, 6) AS score FROM ranked WHERE rank <= 5")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import maths as M
 from siltstone.functions import text as X
+from siltstone.functions.chunks import register_table_functions
 from siltstone.functions.encoder import hashed_embedding
 from siltstone.functions.sql import register_sql_functions
 from siltstone.plans.documents import chunk_text
@@ -101,6 +102,17 @@ def chunk_text_overlap(t):
     return rows.select("doc_id", "chunk_index", F.md5("chunk_content").alias("piece"))
 
 
+@query("chunk_text_udtf", """SELECT doc_id::VARCHAR AS id, i::INTEGER AS chunk_index, n AS total_chunks, doc_id || '-' || i AS chunk_id, md5(substr(text, (i - 1) * 900 + 1, 1000)) AS piece
+FROM (SELECT doc_id, text, n, unnest(range(1, n + 1)) AS i FROM
+  (SELECT *, CAST(greatest(1, ceil((length(text) - 100) / 900.0)) AS INTEGER) AS n FROM documents))""")
+def chunk_text_udtf(t):
+    register_table_functions(t.spark)
+    t.documents.selectExpr("string(doc_id) as id", "text as content", "lang").createOrReplaceTempView("texts_to_chunk")
+    return t.spark.sql("""
+        SELECT id, chunk_index, total_chunks, chunk_id, md5(chunk_content) AS piece
+        FROM overlapping_chunks(1000, 100, TABLE(SELECT id, content, lang FROM texts_to_chunk) PARTITION BY lang)""")
+
+
 @query("length", "SELECT doc_id, length(text) AS chars FROM documents")
 def length(t):
     return t.documents.select("doc_id", F.length("text").alias("chars"))

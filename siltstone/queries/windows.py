@@ -126,5 +126,5 @@ SELECT event_type, CAST(CAST(period AS TIMESTAMP) AS VARCHAR) AS period,
   round(sum(v) OVER (PARTITION BY event_type ORDER BY period DESC), 3) AS down FROM daily""")
 def rolling_sum(t):
     up = WO.rolling_sum(_daily(t), ["event_type"], "period", "v", "up")
-    both = WO.rolling_sum(up, ["event_type"], F.desc("period"), "v", "down").drop("v")
+    both = WO.rolling_sum(up, ["event_type"], "period", "v", "down", descending=True).drop("v")
     return rounded(both, 3, "up", "down")

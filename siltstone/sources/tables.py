@@ -33,7 +33,7 @@ class Tables:
 
 def bronze_from_documents(documents: DataFrame, start: str = "2024-01-01 00:00:00") -> DataFrame:
     """Raw document rows; the ingestion time is derived from the id, one minute apart."""
-    stamp = F.timestamp_add("MINUTE", F.col("doc_id").cast("int"), F.lit(start).cast("timestamp_ntz"))
+    stamp = F.lit(start).cast("timestamp_ntz") + F.col("doc_id") * F.expr("interval '1' minute")
     return documents.select(
         F.col("doc_id").cast("string").alias("id"),
         F.col("text").alias("content"),

@@ -169,9 +169,9 @@ def test_url_path(spark, url, path):
 
 
 def test_url_parameter(spark):
-    url = "http://shop.example.com/milky?utm_medium=organic&utm_source="
-    assert one(spark, X.url_parameter(F.lit(url), "utm_medium")) == "organic"
-    assert one(spark, X.url_parameter(F.lit(url), "utm_source")) is None
+    url = "https://maps.example.org/route?from=oslo&mode=rail&via="
+    assert one(spark, X.url_parameter(F.lit(url), "from")) == "oslo" and one(spark, X.url_parameter(F.lit(url), "mode")) == "rail"
+    assert one(spark, X.url_parameter(F.lit(url), "via")) is None
     assert one(spark, X.url_parameter(F.lit(url), "absent")) is None
 
 
