@@ -1,8 +1,8 @@
 """Quality by the perplexity of an interpolated modified Kneser-Ney model of characters.
 
 The model of a language is trained on its trusted documents. Documents are read
-in blocks of one language, packed and compressed; which rows of a block are
-trusted is found by a join of ids, and only their places move to the block.
+in blocks of one language, packed and compressed; which rows are trusted is
+found by a join of ids alone and reaches the texts as one bit per row.
 A block's distinct n-grams, numbered, are the rows that meet the model, so that
 a common n-gram is a row per block and not one per place. Counts, contexts,
 lower orders and queried n-grams are sharded by (lang, n-gram) and joined in
@@ -31,7 +31,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from siltstone.llm.keys import boxed, join_facts, text_of, unboxed
 from siltstone.session import scratch_path, settle, ship_package, written
@@ -44,6 +43,9 @@ QUANTILE, MARGIN, REPEATS_MARGIN = 0.99, 0.25, 0.1
 WINDOW = 64
 # Discounts of counts one, two, and three or more where they cannot be estimated.
 DISCOUNTS = (0.5, 1.0, 1.5)
+# Rows of a partition whose trust is told in one row of bits.
+BITS = 1 << 15
+MOST_BITS = 32 << 20
 # What stands before a text; characters and rows of a block, and cells of the tables that number its n-grams.
 PAD = "\x02"
 BLOCK_CHARS = 4 << 20
@@ -152,83 +154,64 @@ def _unpacked(rows: bytes) -> pa.Table:
     return pa.ipc.open_stream(rows).read_all()
 
 
-def _prepared(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, lang, text)."""
-    return docs.select("doc_id", digest_of().alias("digest"), F.coalesce("lang", F.lit("")).alias("lang"), text_of().alias("text"))
+def _ids(trusted: DataFrame) -> DataFrame:
+    return trusted.select("doc_id").where("doc_id is not null").distinct()
 
 
-def _check(table: pa.Table) -> int:
-    """Tells whether a block has the same rows again."""
-    digests = table["digest"].to_numpy().view(np.uint64)
-    return int((digests * (2 * np.arange(len(digests), dtype=np.uint64) + np.uint64(1))).sum().view(np.int64))
+def marked(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(doc_id, digest, lang, text, trusted).
 
-
-def trusted_places(rows: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(block, check, trusted): the places of a block's trusted rows, for every block; written once.
-
-    Ids meet in a join, and a few places per block are all that comes of it.
+    Ids are joined without the texts. What comes of it is a bit per row, in
+    rows of BITS bits by partition, written once. Up to MOST_BITS bytes of them
+    are broadcast to the texts; more are joined by a shuffle, and the result
+    written, so that it is the same whenever it is read.
+    Like the blocks, it counts on ``docs`` having the same rows in the same
+    partitions whenever it is read; ``scores`` makes sure of that.
     """
+    place = F.monotonically_increasing_id()
+    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    task, part, bit = F.shiftright("_place", 33).alias("_task"), F.floor(inside / BITS).alias("_part"), inside % BITS
+    found = docs.select("doc_id", place.alias("_place")).join(_ids(trusted), "doc_id", "left_semi")
+    bits = written(found.select(task, part, bit.alias("_bit")).groupBy("_task", "_part").agg(F.bitmap_construct_agg("_bit").alias("_bits")), "trusted")
+    rows = docs.select(
+        "doc_id", digest_of().alias("digest"), F.coalesce("lang", F.lit("")).alias("lang"), text_of().alias("text"), place.alias("_place"))
+    rows = rows.select("doc_id", "digest", "lang", "text", task, part, bit.cast("int").alias("_bit"))
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright("_bit", 3) + 1, F.lit(1))), 16, 10).cast("int")
+    known = F.expr("shiftright(_byte, _bit % 8) & 1") == 1
+    small = bits.count() * BITS // 8 <= MOST_BITS
+    told = rows.join(F.broadcast(bits) if small else bits, ["_task", "_part"], "left").withColumn("_byte", byte).select(
+        "doc_id", "digest", "lang", "text", F.coalesce(known, F.lit(False)).alias("trusted"))
+    return told if small else written(told, "marked")
+
+
+def block_grams(rows: DataFrame, order: int) -> DataFrame:
+    """(block, number, lang, gram, n): a block's distinct n-grams, and how often they occur in trusted texts; written once."""
     most_chars = BLOCK_CHARS
-    schema = T.StructType([
-        T.StructField("block", T.StringType()), T.StructField("check", T.LongType()),
-        T.StructField("ids", T.ArrayType(rows.schema["doc_id"].dataType))])
-    kinds = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, _, table in _blocks(batches, most_chars):
-            yield pa.RecordBatch.from_pydict({"block": [block], "check": [_check(table)], "ids": [table["doc_id"].to_pylist()]}, kinds)
-
-    known = trusted.select("doc_id").where("doc_id is not null").distinct().withColumn("known", F.lit(True))
-    placed = rows.mapInArrow(run, schema).select("block", "check", F.posexplode("ids").alias("place", "doc_id"))
-    return written(
-        placed.join(known, "doc_id", "left").groupBy("block", "check").agg(F.collect_list(F.when(F.col("known"), F.col("place"))).alias("trusted")),
-        "trusted")
+        for block, lang, table in _blocks(batches, most_chars):
+            grams = Grams(table["text"].to_pylist(), order)
+            counts = grams.counts(table["trusted"].to_numpy().astype(np.int64))
+            strings = grams.strings()
+            for at in range(0, grams.count, 65536):
+                part = pa.array(strings[at : at + 65536], pa.string())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([block] * len(part)), pa.array(np.arange(at, at + len(part), dtype=np.int32)), pa.array([lang] * len(part)),
+                    part, pa.array(counts[at : at + len(part)]),
+                ], names=["block", "number", "lang", "gram", "n"])
 
+    return written(rows.mapInArrow(run, "block string, number int, lang string, gram string, n long"), "ngrams")
 
-def packed_blocks(rows: DataFrame, places: DataFrame) -> DataFrame:
-    """(block, lang, rows, trusted): the same blocks with their rows compressed, beside the places of the trusted ones.
 
-    The documents are read again for it, in the same partitions, as files and
-    checkpoints are. A block that has other rows than before has no places,
-    which is an error where it is used.
-    """
+def packed_blocks(rows: DataFrame) -> DataFrame:
+    """(block, rows): the same blocks with their rows compressed, as they travel to their n-grams."""
     most_chars = BLOCK_CHARS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, lang, table in _blocks(batches, most_chars):
-            yield pa.RecordBatch.from_pydict({"block": [block], "check": [_check(table)], "lang": [lang], "rows": [_packed(table)]})
-
-    packed = rows.mapInArrow(run, "block string, check long, lang string, rows binary")
-    return packed.join(places, ["block", "check"], "left").select("block", "lang", "rows", "trusted")
-
-
-def _weights(places, rows: int) -> np.ndarray:
-    """One of every trusted row, zero of the others."""
-    if places is None:
-        raise RuntimeError("a block of documents changed between two reads")
-    weights = np.zeros(rows, np.int64)
-    weights[np.array(places, np.int64)] = 1
-    return weights
-
+        for block, _, table in _blocks(batches, most_chars):
+            yield pa.RecordBatch.from_pydict({"block": [block], "rows": [_packed(table)]})
 
-def block_grams(blocks: DataFrame, order: int) -> DataFrame:
-    """(block, number, lang, gram, n): a block's distinct n-grams, and how often they occur in trusted texts; written once."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, lang, rows, trusted in zip(*(batch.column(c) for c in ("block", "lang", "rows", "trusted"))):
-                table = _unpacked(rows.as_py())
-                grams = Grams(table["text"].to_pylist(), order)
-                counts = grams.counts(_weights(trusted.as_py(), table.num_rows))
-                strings = grams.strings()
-                for at in range(0, grams.count, 65536):
-                    part = pa.array(strings[at : at + 65536], pa.string())
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([block.as_py()] * len(part)), pa.array(np.arange(at, at + len(part), dtype=np.int32)), pa.array([lang.as_py()] * len(part)),
-                        part, pa.array(counts[at : at + len(part)]),
-                    ], names=["block", "number", "lang", "gram", "n"])
-                pa.default_memory_pool().release_unused()
-
-    return written(blocks.select("block", "lang", "rows", "trusted").mapInArrow(run, "block string, number int, lang string, gram string, n long"), "ngrams")
+    return rows.mapInArrow(run, "block string, rows binary")
 
 
 def _tail(gram: Column | str, length: int) -> Column:
@@ -290,9 +273,8 @@ def probabilities(queried: DataFrame, tables: list[DataFrame]) -> DataFrame:
 def scores(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame:
     """(doc_id, digest, lang, trusted, n_chars, surprise, repeats): mean negative log-probability per character, share of repeated n-grams; written once."""
     ship_package(docs.sparkSession)
-    rows = _prepared(docs)
-    blocks = packed_blocks(rows, trusted_places(rows, trusted))
-    grams = block_grams(blocks, order)
+    rows = marked(docs, trusted)
+    grams = block_grams(rows, order)
     known = grams.where("n > 0").groupBy("lang", "gram").agg(F.sum("n").alias("c"))
     tables = count_tables(written(known, "counts"), order)
     found = probabilities(written(grams.select("lang", "gram").distinct(), "asked"), tables)
@@ -305,20 +287,23 @@ def scores(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame
         table = _unpacked(packed["rows"][0].as_py())
         mine = Grams(table["text"].to_pylist(), order)
         if mine.count != numbers.num_rows:
-            raise RuntimeError("n-grams of a block are missing")
+            raise RuntimeError("a block of documents changed between two reads")
         log_p = np.empty(mine.count)
         log_p[numbers["number"].to_numpy()] = numbers["log_p"].to_numpy()
         with np.errstate(divide="ignore", invalid="ignore"):
             surprise, repeats = -mine.sums(log_p) / mine.lengths, mine.repeats() / mine.lengths
         return pa.table({
-            "doc_id": table["doc_id"], "digest": table["digest"], "lang": table["lang"],
-            "trusted": _weights(packed["trusted"][0].as_py(), table.num_rows).astype(bool),
+            "doc_id": table["doc_id"], "digest": table["digest"], "lang": table["lang"], "trusted": table["trusted"],
             "n_chars": pa.array(mine.lengths), "surprise": pa.array(surprise, mask=~np.isfinite(surprise)),
             "repeats": pa.array(repeats, mask=mine.lengths == 0),
         })
 
-    packed = blocks.select("block", "rows", "trusted").groupBy("block")
-    return settle(packed.cogroup(told.groupBy("block")).applyInArrow(score, schema))
+    found = settle(packed_blocks(rows).groupBy("block").cogroup(told.groupBy("block")).applyInArrow(score, schema))
+    wrong = found.select("doc_id", "trusted").join(_ids(trusted).withColumn("_known", F.lit(True)), "doc_id", "left").where(
+        F.col("trusted") != F.coalesce("_known", F.lit(False)))
+    if wrong.limit(1).count():
+        raise RuntimeError("the documents changed between two reads")
+    return found
 
 
 def judged(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame:

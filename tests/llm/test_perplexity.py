@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from siltstone.llm import perplexity as pp
 from siltstone.llm.perplexity import Grams, drop_unlikely, judged, scores, trusted_ids
@@ -81,6 +82,7 @@ def trusted_of(labels):
 @pytest.mark.parametrize("order,chars", [(4, 1 << 20), (2, 100), (1, 1 << 20)])
 def test_scores(spark, monkeypatch, order, chars):
     monkeypatch.setattr(pp, "BLOCK_CHARS", chars)
+    monkeypatch.setattr(pp, "MOST_BITS", chars)  # small: the bits are joined by a shuffle
     rows, labels = documents()
     good = trusted_of(labels)
     models = {}
@@ -184,10 +186,10 @@ def test_runs_of_words_are_caught(spark):
     assert sum(runs) <= 0.01 * len(runs) and sum(other) <= 0.05 * len(other) and sum(good) >= 0.98 * len(good)
 
 
-def test_documents_that_change_between_reads_are_an_error(spark):
+def test_documents_that_change_between_reads_are_an_error(spark, monkeypatch):
     docs = spark.range(50).selectExpr("id as doc_id", "'en' as lang", "concat('ab', id) as text")
-    other = spark.range(50).selectExpr("id as doc_id", "'en' as lang", "concat('ac', id) as text")
-    places = pp.trusted_places(pp._prepared(docs), docs.select("doc_id"))
-    assert pp.block_grams(pp.packed_blocks(pp._prepared(docs), places), 2).count() > 0
-    with pytest.raises(Exception, match="changed between two reads"):
-        pp.block_grams(pp.packed_blocks(pp._prepared(other), places), 2).count()
+    assert scores(docs, docs.select("doc_id"), 2).count() == 50
+    right = pp.marked
+    monkeypatch.setattr(pp, "marked", lambda d, t: right(d, t).withColumn("trusted", F.col("doc_id") < 7))
+    with pytest.raises(RuntimeError, match="changed between two reads"):
+        scores(docs, docs.select("doc_id"), 2)
