@@ -206,9 +206,9 @@ def test_recency_and_freshness(spark):
 
 def test_suite_and_enforcement(data):
     summary = K.run_checks(data, [
-        K.Check("fine", row="idx > 0"), K.Check("broken", row="idx < 3", error_if="> 5"),
-        K.Check("largest", measure="max(idx)", holds=lambda v: v < 4, where="s <> 'c'"),
-        K.Check("equal", frame=G.equality(data, data.where("idx > 1"), ["idx"]), fail_calc=G.EQUALITY_FAIL_CALC),
+        K.Check("fine", row="idx > 0"), K.Check("broken", row="idx < 40", error_if="> 5"),
+        K.Check("largest", measure="max(idx)", holds=lambda v: v < 50, where="s <> 'fir'"),
+        K.Check("equal", frame=G.equality(data, data.where("idx > 10"), ["idx"]), fail_calc=G.EQUALITY_FAIL_CALC),
     ])
     assert {(r.check, r.failures, r.status) for r in summary.collect()} == {
         ("fine", 0, "pass"), ("broken", 2, "warn"), ("largest", 0, "pass"), ("equal", 2, "error")
