@@ -8,7 +8,7 @@ from siltstone.functions.encoder import embed_text
 from siltstone.operators.search import compare_lanes as compare
 from siltstone.plans import jobs as J
 from siltstone.queries.common import (
-    AS_OF, DIM, GOLD, SILVER, bronze, digest, gold, hashed_text, silver, vectors_sql,
+    AS_OF, BRONZE, DIM, GOLD, SILVER, bronze, digest, gold, hashed_text, silver, vectors_sql,
 )
 from siltstone.queries.registry import ntz, query, rounded
 from siltstone.queries.search import KNN, knn
@@ -17,6 +17,7 @@ from siltstone.session import scratch_path
 from siltstone.sources import tables as S
 from siltstone.sources import versions as V
 from siltstone.streaming import ingest as I
+from siltstone.streaming import keyed
 
 SILVER_ROWS = f"WITH {SILVER} SELECT id, md5(content) AS content_md5, content_hash, source, metadata FROM silver"
 
@@ -51,21 +52,35 @@ def gold_by_source(t):
 
 @query("silver_incremental", SILVER_ROWS)
 def silver_incremental(t):
-    path, rows = scratch_path(t.spark, "state"), bronze(t)
+    root, rows = scratch_path(t.spark, "table"), bronze(t)
     middle = rows.agg(F.percentile_approx(F.col("ingested_at").cast("timestamp"), 0.5)).first()[0]
     # The first batch holds the later half, so the second one brings older and equal times.
     late = rows.where(F.col("ingested_at") > ntz(str(middle)))
-    silver = I.silver_incremental(late, path, 0, ntz(AS_OF), first=True)
-    return _silver_rows(I.silver_incremental(rows, path, 1, ntz(AS_OF), silver=silver))
+    keyed.merge_batch(late, root, 0, ntz(AS_OF), buckets=8)
+    keyed.merge_batch(rows, root, 1, ntz(AS_OF), buckets=8)
+    return _silver_rows(keyed.read_table(t.spark, root))
 
 
 @query("silver_stream", SILVER_ROWS)
 def silver_stream(t):
-    source, state, marks = (scratch_path(t.spark, n) for n in ("bronze", "state", "marks"))
+    source, root, marks = (scratch_path(t.spark, n) for n in ("bronze", "table", "marks"))
     rows = bronze(t)
     rows.repartition(3, "id").write.parquet(source)
-    I.run_silver_stream(t.spark, source, rows.schema, state, marks, files_per_batch=1)
-    return _silver_rows(I.silver_from_state(I.read_state(t.spark, state), ntz(AS_OF)))
+    keyed.run_table_stream(t.spark, source, rows.schema, root, marks, ntz(AS_OF), files_per_batch=1, buckets=8)
+    return _silver_rows(keyed.read_table(t.spark, root))
+
+
+@query("first_rows_stream", rf"""WITH {BRONZE}, hashed AS (
+  SELECT *, upper(sha256(lower(regexp_replace(content, '^\s+|\s+$', '', 'g')))) AS content_hash FROM bronze WHERE content IS NOT NULL)
+SELECT content_hash, count(DISTINCT content_hash) AS copies FROM hashed GROUP BY ALL""")
+def first_rows_stream(t):
+    source, root, marks = (scratch_path(t.spark, n) for n in ("bronze", "first", "marks"))
+    rows = bronze(t)
+    rows.repartition(3, "id").write.parquet(source)
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    keyed.run_first_stream(stream, root, marks, buckets=8)
+    written = t.spark.read.parquet(f"{root}/log")
+    return written.groupBy("content_hash").agg(F.count(F.lit(1)).alias("copies"))
 
 
 COVERED = f"""SELECT count(*) AS total_documents, count(*) AS documents_with_embeddings, '100.0%' AS embedding_coverage, 'ready' AS status FROM gold"""
