@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltstone.checks import generic as G
+from siltstone.checks import kept as P
 from siltstone.checks import kernel as K
-from siltstone.queries.common import GOLD, gold
+from siltstone.queries.common import BRONZE, GOLD, bronze, gold
 from siltstone.queries.registry import ntz, query, rounded
+from siltstone.session import scratch_path
+from siltstone.sources import tables as S
 
 
 def marked(t):
@@ -214,3 +217,55 @@ def run_checks(t):
         K.Check("many sources", measure="count(distinct source)", holds=lambda v: v > 1000),
         K.Check("id unique", frame=G.unique(rows, "id")),
     ])
+
+
+def _in_two_runs(t, run):
+    """Bronze by days, whose later half and late rows of every day come between two runs."""
+    table, kept = scratch_path(t.spark, "days"), scratch_path(t.spark, "kept")
+    rows = bronze(t)
+    middle = rows.agg(F.percentile_approx(F.col("ingested_at").cast("timestamp"), 0.5)).first()[0]
+    early = (F.col("ingested_at") <= ntz(str(middle))) & (F.pmod(F.xxhash64("id"), F.lit(5)) != 0)
+    S.create_bronze(rows.where(early), table)
+    run(table, kept)
+    S.append_bronze(rows.where(~early), table)
+    return run(table, kept)
+
+
+@query("run_checks_kept", f"""WITH {BRONZE}
+SELECT 'id not null' AS "check", count(*) FILTER (WHERE id IS NULL) AS failures, 'pass' AS status FROM bronze
+UNION ALL SELECT 'short', count(*) FILTER (WHERE NOT length(content) < 300), CASE WHEN count(*) FILTER (WHERE NOT length(content) < 300) > 0 THEN 'error' ELSE 'pass' END FROM bronze
+UNION ALL SELECT 'first time', CASE WHEN min(ingested_at) >= TIMESTAMP '2024-01-01' THEN 0 ELSE 1 END, 'pass' FROM bronze
+UNION ALL SELECT 'mean length', CASE WHEN avg(length(content)) < 1 THEN 0 ELSE 1 END, 'error' FROM bronze
+UNION ALL SELECT 'many sources', CASE WHEN count(DISTINCT source) > 1000 THEN 0 ELSE 1 END, 'error' FROM bronze""")
+def run_checks_kept(t):
+    checks = [
+        P.KeptCheck(P.failures("id not null", "id is not null")),
+        P.KeptCheck(P.failures("short", "length(content) < 300")),
+        P.KeptCheck(P.least("first time", "ingested_at"), lambda v: v >= ntz("2024-01-01")),
+        P.KeptCheck(P.mean("mean length", "length(content)"), lambda v: v < 1),
+        P.KeptCheck(P.distinct("many sources", "source"), lambda v: v > 1000),
+    ]
+    return _in_two_runs(t, lambda table, kept: P.run_kept_checks(t.spark, table, "ingest_day", checks, kept))
+
+
+@query("measures_kept", f"""WITH {BRONZE}
+SELECT source, count(*) AS n, sum(length(content))::BIGINT AS chars, min(length(content)) AS low, max(length(content)) AS high,
+  true AS distinct_near, true AS median_near FROM bronze GROUP BY ALL""")
+def measures_kept(t):
+    """Exact measures per source; sketches within 3 % of the distinct count and 3 % of the ranks."""
+    made = [
+        P.row_total("n"), P.total("chars", "length(content)"), P.least("low", "length(content)"),
+        P.greatest("high", "length(content)"), P.distinct("texts", "content"), P.quantile("middle", "length(content)", 0.5),
+    ]
+    found = _in_two_runs(t, lambda table, kept: P.measured(t.spark, table, "ingest_day", made, kept, ["source"]))
+    middles = found.select(F.col("source").alias("_source"), "texts", "middle")
+    size = F.length("content")
+    rows = bronze(t).join(middles, F.col("source").eqNullSafe(F.col("_source")))
+    near = rows.groupBy("_source", "texts").agg(
+        F.count_distinct("content").alias("d"), F.avg((size < F.col("middle")).cast("double")).alias("below"),
+        F.avg((size <= F.col("middle")).cast("double")).alias("upto"))
+    near = near.select(
+        "_source", (F.abs(F.col("texts") - F.col("d")) <= 0.03 * F.col("d")).alias("distinct_near"),
+        ((F.col("below") <= 0.53) & (F.col("upto") >= 0.47)).alias("median_near"))
+    return found.join(near, F.col("source").eqNullSafe(F.col("_source"))).select(
+        "source", "n", "chars", "low", "high", "distinct_near", "median_near")
