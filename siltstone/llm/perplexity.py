@@ -51,13 +51,17 @@ PAD = "\x02"
 BLOCK_CHARS = 4 << 20
 BLOCK_ROWS = 1 << 15
 MOST_CELLS = 1 << 24
+# Characters of a block whose wide temporary numbers are held at a time.
+SLICE = 1 << 18
 
 
 def _ranked(codes: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes in ascending order, and the place of each code among them."""
     if cells > MOST_CELLS:
-        distinct, rank = np.unique(codes, return_inverse=True)
-        return distinct, rank.astype(np.int32)
+        distinct, rank = np.unique(codes), np.empty(len(codes), np.int32)
+        for at in range(0, len(codes), SLICE):
+            rank[at : at + SLICE] = np.searchsorted(distinct, codes[at : at + SLICE])
+        return distinct, rank
     seen = np.zeros(cells, bool)
     seen[codes] = True
     distinct = np.flatnonzero(seen)
@@ -87,11 +91,16 @@ class Grams:
             longer *= kinds
             longer += symbol
             code = _ranked(longer, cells)[1]
-        code, at_text = code[is_text], np.flatnonzero(is_text)
+        longer = symbol = None
+        code = code[is_text]
         used, self.number = _ranked(code, int(code.max()) + 1 if len(code) else 1)
+        del code
         self.count = len(used)
-        place = np.empty(self.count, np.int64)
-        place[self.number] = at_text
+        place, done = np.empty(self.count, np.int64), 0
+        for at in range(0, len(is_text), SLICE):
+            at_text = np.flatnonzero(is_text[at : at + SLICE]) + at
+            place[self.number[done : done + len(at_text)]] = at_text
+            done += len(at_text)
         self.place, self.order = place, order
 
     def strings(self) -> list[str]:
@@ -100,7 +109,10 @@ class Grams:
 
     def counts(self, weights: np.ndarray) -> np.ndarray:
         """Occurrences by number, each text's as often as its weight."""
-        return np.bincount(self.number, np.repeat(weights, self.lengths), self.count).astype(np.int64)
+        total, each = np.zeros(self.count), np.repeat(weights.astype(np.int32), self.lengths)
+        for at in range(0, len(each), SLICE):
+            total += np.bincount(self.number[at : at + SLICE], each[at : at + SLICE], self.count)
+        return total.astype(np.int64)
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         """Per text, the sum of its n-grams' values."""
