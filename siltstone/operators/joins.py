@@ -96,21 +96,29 @@ def interval_blocks(start: Column, end: Column) -> Column:
     return F.flatten(F.array(*parts))
 
 
-def join_intervals(facts: DataFrame, at: Column, ranges: DataFrame, start: Column, end: Column) -> DataFrame:
+def join_intervals(
+    facts: DataFrame, at: Column, ranges: DataFrame, start: Column, end: Column, parts: Sequence[Column] = (),
+) -> DataFrame:
     """Inner join of facts with the ranges that contain them, start <= at < end, on whole numbers such as microseconds.
 
     A range is a few aligned blocks, and a fact has one block on each level that
     any range uses, so the join is on equality: facts are never compared with
     every range, and a range is not opened into its points. NULLs match nothing.
+
+    With ``parts``, named aggregates of the facts, each range comes with one row
+    of them per block that holds facts, to be merged by the caller: facts are
+    added up once per block, so the work does not grow with the pairs.
     """
-    blocked = ranges.withColumns({"_start": start, "_end": end}).where("_start < _end")
+    blocked = ranges.withColumns({"_start": start.cast("bigint"), "_end": end.cast("bigint")}).where("_start < _end")
     opened = blocked.withColumn("_block", F.explode(interval_blocks(F.col("_start"), F.col("_end")))).drop("_start", "_end")
     opened = opened.select(*ranges.columns, F.col("_block.level").alias("_level"), F.col("_block.number").alias("_number"))
     levels = [r["_level"] for r in opened.select("_level").distinct().collect()]  # at most BLOCK_LEVELS
     own = F.array(*[F.struct(F.lit(n).alias("_level"), F.shiftright(F.col("_at"), BLOCK_BITS * n).alias("_number")) for n in sorted(levels)])
     if not levels:
         own = F.array().cast("array<struct<_level:int,_number:bigint>>")
-    placed = facts.withColumn("_at", at).where("_at is not null").select(*facts.columns, F.inline(own))
+    placed = facts.withColumn("_at", at.cast("bigint")).where("_at is not null").select(*facts.columns, F.inline(own))
+    if parts:
+        placed = placed.groupBy("_level", "_number").agg(*parts)
     return placed.join(opened, ["_level", "_number"]).drop("_level", "_number")
 
 

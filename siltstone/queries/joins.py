@@ -67,13 +67,14 @@ def join_range_calendar(t):
 SELECT span_id, span_type, count(*) AS n, round(sum(value), 4) AS total, min(event_id) AS first_event, max(event_id) AS last_event
 FROM events JOIN spans ON ts >= start_ts AND ts < end_ts GROUP BY ALL""")
 def join_interval_seconds(t):
-    """Events within spans of an hour to four days, at microseconds."""
+    """Events within spans of an hour to four days, at microseconds, added up per block before they meet the spans."""
     spans = t.events.where("event_id % 50 = 0").selectExpr(
         "event_id as span_id", "event_type as span_type", "ts as start_ts", "ts + (1 + event_id % 97) * interval '1' hour as end_ts")
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    joined = J.join_intervals(t.events, micros("ts"), spans, micros("start_ts"), micros("end_ts"))
+    parts = [F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event")]
+    joined = J.join_intervals(t.events, micros("ts"), spans, micros("start_ts"), micros("end_ts"), parts)
     return joined.groupBy("span_id", "span_type").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"))
+        F.sum("n").alias("n"), F.round(F.sum("total"), 4).alias("total"), F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"))
 
 
 @query("join_cross_series", """SELECT n AS generated_number, count(p_partkey) AS parts

@@ -11,6 +11,7 @@ from siltstone.functions.chunks import register_table_functions
 from siltstone.operators import joins as J
 from siltstone.operators import ordered as O
 from siltstone.operators import windows as WO
+from siltstone.queries import load
 
 
 @pytest.fixture
@@ -87,6 +88,25 @@ def test_intervals_of_any_length(spark):
     assert J.join_intervals(left, F.col("at"), right.limit(0), F.col("s"), F.col("e")).count() == 0
 
 
+def test_parts_of_intervals_add_up_to_the_pairs(spark):
+    """Facts of one block are one row when they meet the ranges, however many they are."""
+    rng = random.Random(6)
+    facts = [(i, rng.randrange(-500, 5000), None if i % 7 == 0 else i / 4) for i in range(300)] + [(i, 4096 + i % 16, 1.0) for i in range(300, 800)]
+    ranges = [(i, s := rng.randrange(-500, 5000), s + rng.choice([0, 1, 16, 300, 4000])) for i in range(50)] + [(50, 4096, 4112), (51, None, 3)]
+    left, right = spark.createDataFrame(facts, "id int, at int, v double"), spark.createDataFrame(ranges, "span int, s int, e int")
+    parts = [F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"), F.min("id").alias("low"), F.max("id").alias("high")]
+    joined = J.join_intervals(left, F.col("at"), right, F.col("s"), F.col("e"), parts)
+    assert joined.where("span = 50").count() == 1
+    found = joined.groupBy("span").agg(F.sum("n"), F.sum("total"), F.min("low"), F.max("high")).collect()
+    expected = []
+    for n, s, e in ranges:
+        inside = [(i, v) for i, at, v in facts if s is not None and s <= at < e]
+        known = [v for _, v in inside if v is not None]
+        if inside:
+            expected.append((n, len(inside), sum(known) if known else None, min(inside)[0], max(inside)[0]))
+    assert sorted(tuple(r) for r in found) == sorted(expected)
+
+
 @pytest.mark.parametrize("size,overlap", [(10, 0), (10, 3), (4, 3)])
 def test_chunks_in_sql(spark, size, overlap):
     register_table_functions(spark)
