@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,8 +76,18 @@ def scan_parquet_glob(
 
     Whether there is a row is answered from one file, not by counting the rows.
     """
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    df = (reader.schema(schema) if schema else reader).parquet(path)
+    def read(names: str, kind: T.StructType | str | None, *paths: str) -> DataFrame:
+        reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", names)
+        return (reader.schema(kind) if kind else reader).parquet(*paths)
+
+    folders = folders_named(spark, path, pattern)
+    if folders:
+        inside = read("*.parquet", schema, *folders)
+        place = F.regexp_replace("_metadata.file_path", "^[^:/]+:(//[^/]*)?", "")
+        elsewhere = [~F.startswith(place, F.lit(f"{root}/")) for root in folders.values()]
+        df = inside.unionByName(read(pattern, inside.schema, path).where(reduce(Column.__and__, elsewhere)))
+    else:
+        df = read(pattern, schema, path)
     if df.isEmpty():
         raise FileNotFoundError(f"no rows below {path}")
     return df
@@ -87,6 +99,15 @@ def preview_documents(df: DataFrame, limit: int = 20, key: str = "id") -> DataFr
     return shown.select(key, F.left("content", F.lit(100)).alias("content_preview"), "metadata")
 
 
+def folders_named(spark: SparkSession, path: str, pattern: str) -> dict[str, str]:
+    """Folders directly below a path whose names fit, each with its path as file names show it; hidden ones are passed over."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop.Path(root, pattern))
+    places = [status.getPath() for status in found or [] if status.isDirectory()]
+    return {str(p.toString()): str(p.toUri().getRawPath()) for p in places if str(p.getName())[0] not in "_."}
+
+
 def as_replica(df: DataFrame, as_of: Column) -> DataFrame:
     """Chunks in the search replica's columns; rows without text are dropped."""
     return df.where(F.col("content").isNotNull()).select(

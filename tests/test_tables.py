@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from siltstone.plans import documents as P
 from siltstone.plans import jobs as J
+from siltstone.queries import load
 from siltstone.session import scratch_path
 from siltstone.sources import files as FI
 from siltstone.sources import tables as S
@@ -12,13 +13,6 @@ from siltstone.sources import versions as V
 from siltstone.streaming import ingest as I
 
 
-def ntz(v):
-    return F.lit(v).cast("timestamp_ntz")
-
-
-AS_OF = "2024-06-01"
-
-
 @pytest.fixture
 def replica(spark):
     def make(docs, vector=None):
@@ -304,3 +298,33 @@ def test_expired_versions_stay_expired(spark):
     with pytest.raises(FileNotFoundError):
         V.read_version(spark, root, as_of=ntz("2024-01-02"))
     assert V.read_version(spark, root, as_of=ntz("2024-01-03")).count() == 3
+
+
+def test_scan_reads_tables_that_are_folders_once(spark, rows):
+    path = scratch_path(spark, "lake")
+    spark.range(3).repartition(2).write.parquet(f"{path}/docs.parquet")  # part files have other names than the table
+    spark.range(3, 5).write.parquet(f"{path}/other.parquet")
+    spark.range(5, 6).coalesce(1).write.parquet(f"{path}/deep/docs.parquet")
+    assert rows(S.scan_parquet_glob(spark, path, pattern="docs.parquet")) == [(0,), (1,), (2,)]
+    assert rows(S.scan_parquet_glob(spark, path)) == [(n,) for n in range(6)]
+    assert rows(S.scan_parquet_glob(spark, path, "id bigint", "part-*")) == [(n,) for n in range(6)]
+    with pytest.raises(FileNotFoundError):
+        spark.range(0).write.parquet(f"{path}/none.parquet")
+        S.scan_parquet_glob(spark, path, pattern="none.parquet")
+
+
+def lake(spark, **tables):
+    """A folder of tables for a query; each is a folder of files."""
+    path = scratch_path(spark, "tables")
+    for name, df in tables.items():
+        df.write.parquet(f"{path}/{name}.parquet")
+    return path
+
+
+def test_scans_of_queries_read_folders(spark):
+    docs = spark.createDataFrame([(1, "a text", "en", "web", 6), (2, None, "de", "web", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    vectors = spark.createDataFrame([(i, i % 2, [1.0, float(i)]) for i in range(1, 30)], "vec_id long, label int, embedding array<float>")
+    path = lake(spark, documents=docs.repartition(2), embeddings=vectors.repartition(3))
+    assert sorted(r.doc_id for r in QUERIES["scan_parquet_glob"](spark, path).collect()) == [1, 2]
+    found = QUERIES["vector_topk_files"](spark, path).collect()
+    assert len(found) == 15 and found[0].vec_id == 7
