@@ -328,3 +328,12 @@ def test_scans_of_queries_read_folders(spark):
     assert sorted(r.doc_id for r in QUERIES["scan_parquet_glob"](spark, path).collect()) == [1, 2]
     found = QUERIES["vector_topk_files"](spark, path).collect()
     assert len(found) == 15 and found[0].vec_id == 7
+
+
+def test_queries_of_file_sizes_on_files_that_need_no_compaction(spark, monkeypatch):
+    monkeypatch.setattr(FI, "needs_compaction", lambda *_: False)
+    lines = spark.createDataFrame([("A", 1.0)] * 40 + [("R", 2.0)] * 20, "l_returnflag string, l_quantity double")
+    orders = spark.range(60).withColumnRenamed("id", "o_orderkey")
+    path = lake(spark, lineitem=lines.repartition(9), orders=orders.repartition(9))
+    assert sorted(tuple(r) for r in QUERIES["compact"](spark, path).collect()) == [("A", 40, 40.0, 6), ("R", 20, 40.0, 6)]
+    assert tuple(QUERIES["compare_file_stats"](spark, path).first()) == (6, 6, 0, True, 60)
