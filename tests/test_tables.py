@@ -337,3 +337,10 @@ def test_queries_of_file_sizes_on_files_that_need_no_compaction(spark, monkeypat
     path = lake(spark, lineitem=lines.repartition(9), orders=orders.repartition(9))
     assert sorted(tuple(r) for r in QUERIES["compact"](spark, path).collect()) == [("A", 40, 40.0, 6), ("R", 20, 40.0, 6)]
     assert tuple(QUERIES["compare_file_stats"](spark, path).first()) == (6, 6, 0, True, 60)
+
+
+@pytest.mark.parametrize("parts", [1, 9, 40])
+def test_file_stats_has_six_files_however_the_table_lies(spark, parts):
+    path = lake(spark, lineitem=spark.range(100).repartition(parts))
+    stats = QUERIES["file_stats"](spark, path).first()
+    assert (stats.file_count, stats.n) == (6, 100)
