@@ -1,9 +1,11 @@
 """Overlapping chunks as a table function, for use in SQL.
 
-    SELECT * FROM overlapping_chunks(1000, 100, TABLE(docs) PARTITION BY source)
+    SELECT * FROM overlapping_chunks(1000, 100, TABLE(docs))
 
 The numbers are the chunk's size and what it shares with the one before; the
-table has the columns ``id`` and ``content``. Texts come in Arrow batches.
+table has the columns ``id`` and ``content``. Texts come in Arrow batches. A
+text is cut by itself, so the table needs no ``PARTITION BY``, which would send
+all texts of a value to one task.
 """
 
 from __future__ import annotations

@@ -110,7 +110,7 @@ def chunk_text_udtf(t):
     t.documents.selectExpr("string(doc_id) as id", "text as content", "lang").createOrReplaceTempView("texts_to_chunk")
     return t.spark.sql("""
         SELECT id, chunk_index, total_chunks, chunk_id, md5(chunk_content) AS piece
-        FROM overlapping_chunks(1000, 100, TABLE(SELECT id, content, lang FROM texts_to_chunk) PARTITION BY lang)""")
+        FROM overlapping_chunks(1000, 100, TABLE(SELECT id, content, lang FROM texts_to_chunk))""")
 
 
 @query("length", "SELECT doc_id, length(text) AS chars FROM documents")

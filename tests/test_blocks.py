@@ -107,6 +107,16 @@ def test_parts_of_intervals_add_up_to_the_pairs(spark):
     assert sorted(tuple(r) for r in found) == sorted(expected)
 
 
+def test_chunks_of_a_query_are_cut_where_the_texts_lie(spark, tmp_path):
+    """Texts of one language are not sent to one task."""
+    docs = spark.createDataFrame([(i, "ab" * (i * 100), "en") for i in range(1, 20)], "doc_id long, text string, lang string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = load()[0]["chunk_text_udtf"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert "Exchange" not in plan
+    assert found.count() == sum(max(1, math.ceil((200 * i - 100) / 900)) for i in range(1, 20))
+
+
 @pytest.mark.parametrize("size,overlap", [(10, 0), (10, 3), (4, 3)])
 def test_chunks_in_sql(spark, size, overlap):
     register_table_functions(spark)
