@@ -174,3 +174,11 @@ def test_rows_are_repeated_in_blocks(spark, monkeypatch, at_once):
     df = spark.createDataFrame(list(counts.items()), "k string, n int")
     found = {r.k: r["count"] for r in R.repeat_rows(df, F.col("n")).groupBy("k").count().collect()}
     assert found == {k: n for k, n in counts.items() if n}
+
+
+def test_rows_of_a_group_are_not_sent_to_one_task_for_its_brackets(spark):
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("_v")).repartition(4)
+    near = O._collapse_far_values(df, ["g"], [0.5])
+    plan = near._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert near.count() == 5000
