@@ -200,7 +200,7 @@ def merge_staging(target: DataFrame, staging: DataFrame, key: str = "chunk_id")
 
 def sync_rows(replica: DataFrame, as_of: Column) -> DataFrame:
     """Replica rows as one-chunk gold rows."""
-    return replica.where(has_vector("embedding")).select(
+    return replica.select(
         "id", "content", F.lit(1).cast("bigint").alias("chunk_index"), F.lit(1).alias("total_chunks"),
         normalise_metadata("metadata").alias("metadata"), F.lit(SYNC_SOURCE).alias("source"),
         F.col("id").alias("original_content_hash"), "embedding",
@@ -212,6 +212,9 @@ def sync_replica_to_lake(
     gold: DataFrame, replica: DataFrame, as_of: Column, order: Sequence[Column | str] = (),
 ) -> DataFrame:
     """Gold with the replica's rows in place of gold rows of the same id; of rows with one id the last wins."""
-    rows = sync_rows(last_per_key(replica, "id", order or [c for c in ("created_at", "content") if c in replica.columns]), as_of)
+    order = order or [c for c in ("created_at", "content") if c in replica.columns]
+    # Looked at before the rows are shuffled, so that a reader without vectors does not sort them.
+    last = last_per_key(replica.withColumn("_has_vector", has_vector("embedding")), "id", order)
+    rows = sync_rows(last.where("_has_vector"), as_of)
     return gold.join(rows.select("id"), "id", "left_anti").unionByName(rows)
 

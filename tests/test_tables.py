@@ -344,3 +344,18 @@ def test_file_stats_has_six_files_however_the_table_lies(spark, parts):
     path = lake(spark, lineitem=spark.range(100).repartition(parts))
     stats = QUERIES["file_stats"](spark, path).first()
     assert (stats.file_count, stats.n) == (6, 100)
+
+
+def shown(df):
+    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def test_vectors_are_not_shuffled_for_readers_without_them(spark, raw, replica):
+    gold = P.gold_documents(P.silver_documents(raw, ntz(AS_OF)), ntz(AS_OF))
+    path = scratch_path(spark, "replica")
+    replica([("new", "x"), ("new", "y")], [1.0]).unionByName(replica([("none", "z")])).write.parquet(path)
+    merged = S.sync_replica_to_lake(gold, spark.read.parquet(path), ntz(AS_OF)).select("id", "content")
+    inputs = [line for line in shown(merged).splitlines() if "hashpartitioning(id" in line or line.startswith("Input") and "embedding" in line]
+    sorts = shown(merged).split("Window")
+    assert "embedding" not in "".join(part.splitlines()[0] + part.split("Input")[1].splitlines()[0] for part in sorts[1:] if "Input" in part), inputs
+    assert {(r.id, r.content) for r in merged.collect()} >= {("new", "y")} and "none" not in {r.id for r in merged.collect()}
