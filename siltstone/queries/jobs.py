@@ -13,7 +13,8 @@ from siltstone.queries.common import (
 from siltstone.queries.registry import ntz, query, rounded
 from siltstone.queries.search import KNN, knn
 from siltstone.queries.sources import GOLD_V2, _day_partitioned_silver, _show_v2
-from siltstone.session import scratch_path
+from siltstone.session import scratch_path, written
+from siltstone.sources import files
 from siltstone.sources import tables as S
 from siltstone.sources import versions as V
 from siltstone.streaming import ingest as I
@@ -63,10 +64,21 @@ def silver_incremental(t):
 
 @query("silver_stream", SILVER_ROWS)
 def silver_stream(t):
-    source, root, marks = (scratch_path(t.spark, n) for n in ("bronze", "table", "marks"))
+BATCHES, SOURCE_MB = 3, 64
+
+
+def _bronze_files(t, path):
+    """Raw rows for a stream of three batches, in files by the table's size; returns their schema and the files of a batch."""
     rows = bronze(t)
-    rows.repartition(3, "id").write.parquet(source)
-    keyed.run_table_stream(t.spark, source, rows.schema, root, marks, ntz(AS_OF), files_per_batch=1, buckets=8)
+    size = files.list_files(t.spark, f"{t.folder}/documents.parquet").agg(F.sum("length")).first()[0]
+    per_batch = max(1, math.ceil(size / (BATCHES * SOURCE_MB * files.MEGABYTE)))
+    rows.repartition(BATCHES * per_batch, "id").write.parquet(path)
+    return rows.schema, per_batch
+
+
+    source, root, marks = (scratch_path(t.spark, n) for n in ("bronze", "table", "marks"))
+    schema, per_batch = _bronze_files(t, source)
+    keyed.run_table_stream(t.spark, source, schema, root, marks, ntz(AS_OF), files_per_batch=per_batch, buckets=8)
     return _silver_rows(keyed.read_table(t.spark, root))
 
 
@@ -75,9 +87,8 @@ def silver_stream(t):
 SELECT content_hash, count(DISTINCT content_hash) AS copies FROM hashed GROUP BY ALL""")
 def first_rows_stream(t):
     source, root, marks = (scratch_path(t.spark, n) for n in ("bronze", "first", "marks"))
-    rows = bronze(t)
-    rows.repartition(3, "id").write.parquet(source)
-    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    schema, per_batch = _bronze_files(t, source)
+    stream = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(source)
     keyed.run_first_stream(stream, root, marks, buckets=8)
     written = t.spark.read.parquet(f"{root}/log")
     return written.groupBy("content_hash").agg(F.count(F.lit(1)).alias("copies"))

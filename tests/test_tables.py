@@ -346,6 +346,22 @@ def test_file_stats_has_six_files_however_the_table_lies(spark, parts):
     assert (stats.file_count, stats.n) == (6, 100)
 
 
+def test_streams_of_a_large_table_have_more_files_and_as_many_batches(spark, monkeypatch):
+    from siltstone.queries import jobs as Q
+
+    docs = spark.range(90).select(F.col("id").alias("doc_id"), F.concat(F.lit("x" * 60), F.col("id") % 40).alias("text"), F.lit("en").alias("lang"),
+                                  F.lit("web").alias("source"), F.lit(62).alias("n_chars"))
+    path = lake(spark, documents=docs)
+    size = FI.list_files(spark, f"{path}/documents.parquet").agg(F.sum("length")).first()[0] / FI.MEGABYTE
+    monkeypatch.setattr(Q, "SOURCE_MB", size / 12)
+    source = scratch_path(spark, "source")
+    assert Q._bronze_files(S.Tables(spark, path), source)[1] == 4
+    assert FI.list_files(spark, source).count() == 12
+    first = QUERIES["first_rows_stream"](spark, path).collect()
+    assert len(first) == 40 and all(r.copies == 1 for r in first)
+    assert QUERIES["silver_stream"](spark, path).count() == 40
+
+
 def shown(df):
     return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 
