@@ -54,9 +54,29 @@ def gathered(rows: DataFrame, *by: str) -> DataFrame:
     return rows.hint("rebalance", *[F.col(c) for c in by])
 
 
+# Folders that a task writes at a time; with more of them its rows are sorted by folder.
+OPEN_FOLDERS = 8
+
+
+@contextmanager
+def folders_open(spark: SparkSession, limit: int = OPEN_FOLDERS) -> Iterator[None]:
+    """Writes of folders inside keep files of several open instead of sorting a task's rows by folder.
+
+    Rows with vectors are many times larger in a sort than in the shuffle that Spark sizes tasks by.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, limit)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_by(rows: DataFrame, path: str, mode: str, *by: str) -> None:
     """Write one folder per value of the columns, with files by size."""
-    gathered(rows, *by).write.mode(mode).partitionBy(*by).parquet(path)
+    with folders_open(rows.sparkSession):
+        gathered(rows, *by).write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def append_bronze(rows: DataFrame, path: str) -> None:
@@ -69,11 +89,22 @@ def create_bronze(rows: DataFrame, path: str) -> None:
     write_by(rows.withColumn("ingest_day", F.to_date("ingested_at")), path, "error", "ingest_day")
 
 
+def folders_named(spark: SparkSession, path: str, pattern: str) -> dict[str, str]:
+    """Folders directly below a path whose names fit, each with its path as file names show it; hidden ones are passed over."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop.Path(root, pattern))
+    places = [status.getPath() for status in found or [] if status.isDirectory()]
+    return {str(p.toString()): str(p.toUri().getRawPath()) for p in places if str(p.getName())[0] not in "_."}
+
+
 def scan_parquet_glob(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, pattern: str = "*.parquet"
 ) -> DataFrame:
-    """All Parquet files below a folder; an empty result is an error.
+    """All Parquet files below a folder whose names fit; an empty result is an error.
 
+    A table of many files is a folder: where a folder directly below the path
+    fits, its Parquet files are read whatever their own names, and once.
     Whether there is a row is answered from one file, not by counting the rows.
     """
     def read(names: str, kind: T.StructType | str | None, *paths: str) -> DataFrame:
@@ -99,15 +130,6 @@ def preview_documents(df: DataFrame, limit: int = 20, key: str = "id") -> DataFr
     return shown.select(key, F.left("content", F.lit(100)).alias("content_preview"), "metadata")
 
 
-def folders_named(spark: SparkSession, path: str, pattern: str) -> dict[str, str]:
-    """Folders directly below a path whose names fit, each with its path as file names show it; hidden ones are passed over."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop.Path(root, pattern))
-    places = [status.getPath() for status in found or [] if status.isDirectory()]
-    return {str(p.toString()): str(p.toUri().getRawPath()) for p in places if str(p.getName())[0] not in "_."}
-
-
 def as_replica(df: DataFrame, as_of: Column) -> DataFrame:
     """Chunks in the search replica's columns; rows without text are dropped."""
     return df.where(F.col("content").isNotNull()).select(
@@ -180,7 +202,8 @@ def backup_partitioned(df: DataFrame, path: str, day: Column) -> None:
     dated = df.withColumns({"year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day)})
     days = ("year", "month", "day")
     writer = gathered(dated, *days).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*days).parquet(path)
+    with folders_open(df.sparkSession):
+        writer.partitionBy(*days).parquet(path)
 
 
 def discover_partitions(spark: SparkSession, path: str, column: str = "ingest_day") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from siltstone.sources.tables import gathered
+from siltstone.sources.tables import folders_open, gathered
 
 REGISTER_SCHEMA = "version int, folder string, published_at timestamp_ntz"
 
@@ -63,7 +63,8 @@ def publish_version(
     writer = (gathered(df, *partition_by) if partition_by else df).write.mode("overwrite")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{root}/{folder}")
+    with folders_open(spark):
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{root}/{folder}")
     for name, table in (beside or {}).items():
         table.write.mode("overwrite").parquet(f"{root}/{folder}/_{name}")  # readers of the version pass over such names
     stamp = F.current_timestamp() if published_at is None else published_at

@@ -375,3 +375,14 @@ def test_vectors_are_not_shuffled_for_readers_without_them(spark, raw, replica):
     sorts = shown(merged).split("Window")
     assert "embedding" not in "".join(part.splitlines()[0] + part.split("Input")[1].splitlines()[0] for part in sorts[1:] if "Input" in part), inputs
     assert {(r.id, r.content) for r in merged.collect()} >= {("new", "y")} and "none" not in {r.id for r in merged.collect()}
+
+
+def test_folders_are_written_without_sorting_the_rows(spark, rows):
+    path, size = scratch_path(spark, "folders"), "spark.sql.maxConcurrentOutputFileWriters"
+    with S.folders_open(spark):
+        assert spark.conf.get(size) == str(S.OPEN_FOLDERS)
+    assert spark.conf.get(size) == "0"
+    df = spark.range(500).withColumn("cell", F.col("id") % 23)
+    S.write_by(df, path, "error", "cell")  # more folders than are open
+    assert rows(spark.read.parquet(path).select("id", F.col("cell").cast("long"))) == rows(df)
+    assert spark.conf.get(size) == "0"
