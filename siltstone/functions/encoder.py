@@ -82,17 +82,21 @@ def hashed_embedding(c: Column | str, dim: int = EMBEDDING_DIM) -> Column:
     return F.when(as_col(c).isNotNull(), _once(count)(F.lower(as_col(c))))
 
 
-def _parts_by_size(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges that hold at most ``PART_BYTES`` of text, or a single row."""
+def parts_by_size(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """Row ranges that hold at most ``limit`` bytes of text, or a single row."""
     total = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     first = 0
     while first < len(texts):
         done = total[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(total, done + PART_BYTES, side="right")))
+        last = max(first + 1, int(np.searchsorted(total, done + limit, side="right")))
         yield first, last
         first = last
 
 
+def _parts_by_size(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    return parts_by_size(texts, PART_BYTES)
+
+
 @dataclass(frozen=True)
 class EncoderFactory:
     """Makes an encoder in the Python worker that needs it, such as a model read from files.

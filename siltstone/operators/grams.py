@@ -9,38 +9,65 @@ a scan. A pattern without a piece of three characters is scanned.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from siltstone.functions.encoder import parts_by_size
 from siltstone.functions.text import as_col, escape_like
+from siltstone.session import ship_package
+from siltstone.sources.tables import folders_open
 
 LENGTH, BUCKETS = 3, 64
 
+# Bytes of text whose trigrams are held at a time.
+PART_BYTES = 4 * 1024 * 1024
 
-def grams_of(text: Column | str) -> Column:
-    """Hashes of the distinct trigrams of a text in lower case; none of a NULL. Texts are checked, so a collision costs a look only."""
-    signs = F.split(F.lower(as_col(text)), "")
-    # Signs beside those that follow, so that a long text is read a few times and not once per place.
-    shifted = [(signs if back == 0 else F.slice(signs, 1 + back, F.size(signs))).alias(f"s{back}") for back in range(LENGTH)]
-    runs = F.transform(F.arrays_zip(*shifted), lambda z: F.concat(*[z[f"s{back}"] for back in range(LENGTH)]))
-    return F.array_distinct(F.transform(F.filter(runs, lambda g: g.isNotNull()), lambda g: F.xxhash64(g)))
 
+def grams_of(text: str) -> np.ndarray:
+    """Numbers of the distinct trigrams of a text, rising: 21 bits per sign, mixed, so that no two share a number."""
+    signs = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    n = max(0, len(signs) - LENGTH + 1)
+    codes = np.zeros(n, np.uint64)
+    for back in range(LENGTH):
+        codes |= signs[back : back + n] << np.uint64(21 * back)
+    codes *= np.uint64(0x9E3779B97F4A7C15)
+    return np.unique((codes ^ (codes >> np.uint64(32))).view(np.int64))
 
-def bucket_of(gram: Column | str) -> Column:
-    return F.pmod(as_col(gram), F.lit(BUCKETS)).cast("int")
+
+def bucket_of(gram: np.ndarray) -> np.ndarray:
+    return (gram % BUCKETS).astype(np.int32)
 
 
 def build_postings(df: DataFrame, key: str = "id", text: str = "content") -> DataFrame:
-    """(bucket, gram, key): a row per distinct trigram of every text."""
-    grams = df.select(F.col(key), F.explode(grams_of(text)).alias("gram"))
-    return grams.select(bucket_of("gram").alias("bucket"), "gram", key)
+    """(bucket, gram, key): a row per distinct trigram of every text in lower case; none of a NULL."""
+    rows = df.select(key, F.lower(as_col(text)).alias("_text")).where("_text is not null")
+    schema = T.StructType([*T.StructType.fromDDL("bucket int, gram bigint").fields, rows.schema[0]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, texts = batch.columns
+            for first, last in parts_by_size(texts, PART_BYTES):
+                found = [grams_of(t) for t in texts.slice(first, last - first).to_pylist()]
+                grams = np.concatenate(found)
+                place = np.repeat(np.arange(first, last), [len(g) for g in found])
+                yield pa.RecordBatch.from_arrays([pa.array(bucket_of(grams)), pa.array(grams), keys.take(pa.array(place))], names=schema.names)
+
+    ship_package(df.sparkSession)
+    return rows.mapInArrow(run, schema)
 
 
 def write_postings(postings: DataFrame, path: str) -> None:
-    """One folder per bucket, in as many files as its size asks for, each sorted by trigram."""
-    postings.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "gram").write.partitionBy("bucket").parquet(path)
+    """One folder per bucket, in as many files as its size asks for, each sorted by trigram.
+
+    A task's buckets are open together, so that its rows are sorted by one number.
+    """
+    with folders_open(postings.sparkSession, BUCKETS):
+        postings.hint("rebalance", F.col("bucket")).sortWithinPartitions("gram").write.partitionBy("bucket").parquet(path)
 
 
 def fixed_pieces(pattern: str, escape: str = "\\") -> list[str]:
@@ -60,8 +87,8 @@ def fixed_pieces(pattern: str, escape: str = "\\") -> list[str]:
 def pattern_grams(df: DataFrame, pattern: str) -> list[tuple[int, int]]:
     """(bucket, trigram) of the fixed pieces, lowered as Spark lowers the texts."""
     pieces = df.sparkSession.createDataFrame([(p,) for p in fixed_pieces(pattern)], "piece string")
-    found = pieces.select(F.explode(grams_of("piece")).alias("gram")).distinct()
-    return sorted((r["bucket"], r["gram"]) for r in found.select(bucket_of("gram").alias("bucket"), "gram").collect())
+    found = {int(g) for r in pieces.select(F.lower("piece").alias("piece")).collect() for g in grams_of(r["piece"])}
+    return sorted((g % BUCKETS, g) for g in found)
 
 
 def candidates(postings: DataFrame, grams: Sequence[tuple[int, int]], key: str = "id") -> DataFrame:

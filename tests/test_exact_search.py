@@ -95,3 +95,20 @@ def test_only_the_lists_of_a_pattern_are_read(spark, tmp_path):
     plan = G.candidates(postings, grams)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert len(grams) == 4 and "PartitionFilters: [isnotnull(bucket" in plan.replace("PartitionFilters: [bucket", "PartitionFilters: [isnotnull(bucket")
     assert "PushedFilters: [" in plan and "In(gram" in plan
+
+
+def test_trigrams_are_told_apart_and_sorted_within_files(spark, tmp_path):
+    """Every trigram has a number of its own; a bucket's file rises though its task holds several buckets."""
+    texts = [f"{a}{b}{c}" for a in "aqé" for b in "bQ\U0001f600" for c in " c\U0010ffff"]
+    numbers = {int(g) for t in texts for g in G.grams_of(t)}
+    assert len(numbers) == len(texts) and len(G.grams_of("ab")) == len(G.grams_of("")) == 0 and len(G.grams_of("aaaaa")) == 1
+    df = spark.createDataFrame([(i, f"{i} words of text {i * i}") for i in range(200)], "id long, content string")
+    G.write_postings(G.build_postings(df), str(tmp_path / "grams"))
+    postings = spark.read.parquet(str(tmp_path / "grams"))
+    assert postings.count() == sum(len(G.grams_of(r.content)) for r in df.collect())
+    files = postings.select(F.input_file_name().alias("file"), "gram", F.monotonically_increasing_id().alias("at"))
+    seen = {}
+    for r in files.orderBy("at").collect():
+        assert seen.get(r.file, r.gram) <= r.gram
+        seen[r.file] = r.gram
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
