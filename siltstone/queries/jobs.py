@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from siltstone.functions.encoder import embed_text
@@ -62,8 +64,6 @@ def silver_incremental(t):
     return _silver_rows(keyed.read_table(t.spark, root))
 
 
-@query("silver_stream", SILVER_ROWS)
-def silver_stream(t):
 BATCHES, SOURCE_MB = 3, 64
 
 
@@ -76,6 +76,8 @@ def _bronze_files(t, path):
     return rows.schema, per_batch
 
 
+@query("silver_stream", SILVER_ROWS)
+def silver_stream(t):
     source, root, marks = (scratch_path(t.spark, n) for n in ("bronze", "table", "marks"))
     schema, per_batch = _bronze_files(t, source)
     keyed.run_table_stream(t.spark, source, schema, root, marks, ntz(AS_OF), files_per_batch=per_batch, buckets=8)
@@ -140,7 +142,7 @@ def _reindexed(t, gold_rows=None):
             "source_file", stamp.alias("created_at"),
         )
 
-    chunks = gold(t)
+    chunks = written(gold(t), "chunks")  # read four times
     stale = chunks.where("chunk_index = 1").select("id", F.concat(F.lit("old "), "id").alias("content"), F.lit("index").alias("source_file"))
     added = t.conversations.select(
         F.concat_ws("-", F.lit("ui"), "conv_id", "turn").alias("id"), F.col("text").alias("content"), F.lit("index").alias("source_file")
@@ -174,7 +176,9 @@ SELECT id, round(s, 6) AS score FROM near ORDER BY s DESC, id LIMIT 1""")
 def search_replica(t):
     """The published index finds the row whose vector is asked for, reading a few cells."""
     root, _ = _reindexed(t)
-    wanted = V.read_version(t.spark, root).where("source_file = 'gold'").orderBy("id").select("embedding").first()["embedding"]
+    fresh = V.read_version(t.spark, root).where("source_file = 'gold'")
+    first = fresh.agg(F.min("id")).first()[0]  # without reading the vectors of all rows
+    wanted = fresh.where(F.col("id") == first).select("embedding").first()["embedding"]
     return rounded(J.search_replica(t.spark, root, wanted, 1, 3), 6, "score")
 
 
