@@ -13,6 +13,14 @@ from siltstone.sources import versions as V
 from siltstone.streaming import ingest as I
 
 
+def ntz(v):
+    return F.lit(v).cast("timestamp_ntz")
+
+
+AS_OF = "2024-06-01"
+QUERIES = load()[0]
+
+
 @pytest.fixture
 def replica(spark):
     def make(docs, vector=None):
