@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from siltstone.llm.keys import numbered
 from siltstone.llm.units import UnitTable, parts_by_size
-from siltstone.session import settle, ship_package
+from siltstone.session import settle, ship_package, small_batches
 
 CAPACITY = 2048
 END_ID = 0
@@ -133,6 +133,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
                         at.append(i)
                         found.append(piece)
                 yield _rows(batch, at, found)
+            pa.default_memory_pool().release_unused()
 
     def _rows(batch: pa.RecordBatch, at: list[int], found: list[tuple]) -> pa.RecordBatch:
         piece, start, length, crc = zip(*found)
@@ -142,8 +143,9 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
             names=["doc_id", "row", "piece", "start", "length", "ids_crc32"],
         )
 
-    return settle(
-        docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(encode, schema))
+    with small_batches(docs.sparkSession):
+        return settle(
+            docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(encode, schema))
 
 
 @dataclass

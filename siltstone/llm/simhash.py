@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 from siltstone.llm.components import components
 from siltstone.llm.keys import boxed, join_facts, text_of, unboxed
-from siltstone.session import settle, ship_package
+from siltstone.session import settle, ship_package, small_batches
 
 SHINGLE = 4
 MOST_BITS = 4
@@ -146,7 +146,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             prints = np.array([fingerprint(t.as_py() or "") for t in batch.column("text")], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(prints)], names=schema.names)
 
-    return settle(docs.select("doc_id", _digest().alias("digest"), "text").mapInArrow(run, schema))
+    with small_batches(docs.sparkSession):
+        return settle(docs.select("doc_id", _digest().alias("digest"), "text").mapInArrow(run, schema))
 
 
 def keyed(nodes: DataFrame) -> DataFrame:

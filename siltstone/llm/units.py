@@ -16,15 +16,16 @@ import pyarrow.compute as pc
 
 # Ids from which a generation is full; a process remembers two, and keeps them for later tasks.
 MOST_IDS = 1 << 22
-# Bytes of text whose words are parted at a time.
-PART_BYTES = 16 << 20
+# Bytes of text whose words are parted at a time; a process needs some ten times as much beside its tables.
+PART_BYTES = 4 << 20
 
 
 def spans_of(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The places starts[0], starts[0] + 1, ... of every span, one span after another."""
     ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
+    places = np.repeat(starts - (ends - lengths), lengths)
+    places += np.arange(len(places))
+    return places
 
 
 def sums_of(values: np.ndarray, counts: np.ndarray) -> np.ndarray:

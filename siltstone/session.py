@@ -8,6 +8,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,6 +90,22 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Bytes from which a batch of rows goes to a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside sends rows to Python by their size: batches of so many rows, as Spark sends them else, grow with the texts."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: as lasting as ``settle``, and compressed."""
     path = scratch_path(df.sparkSession, label)

@@ -1,5 +1,6 @@
 """Packing: every token placed once, few sequences, dominated sets fixed."""
 
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,6 +13,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from siltstone.llm.packing import WordEncoder, best_fit, pack, plan, plan_table, reduce_by_dominance
+from siltstone.llm.units import parts_by_size
+from siltstone.session import BATCH_BYTES, small_batches
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -119,3 +122,27 @@ def test_rows_against_the_tokenizer(spark, capacity):
 
 def test_empty_table(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_memory_of_a_batch_is_bounded():
+    texts = pa.array(["to be or not to be " * 55] * 24_000)  # 25 MB
+    tracemalloc.start()
+    tokens_found = sum(len(ids) for a, b in parts_by_size(texts) for ids in OWN.encode(texts.slice(a, b - a)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert tokens_found == 24_000 * 55 * 6
+    assert peak < 64 << 20
+
+
+def test_batches_go_to_python_by_their_size(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    texts = spark.range(0, 3000, 1, 1).selectExpr("concat(id, repeat(' word', 1000)) as text")
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    with small_batches(spark):
+        found = texts.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r["rows"] for r in found) == 3000 and max(r["bytes"] for r in found) < BATCH_BYTES + 10_000
+    assert spark.conf.get(name) == before
